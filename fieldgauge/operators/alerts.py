@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json_text import CORRUPT, is_envelope, loose_int, parse_json, text_at
+from ..functions.json_text import CORRUPT, is_envelope, loose_int, text_at, with_parsed
 from ..schema import ALERT_INVALID_TEXT, ALERT_TEXT, ALERT_THRESHOLD
 
 
@@ -24,11 +24,9 @@ def over_threshold(
     """
     wanted = {name: path} | (extra or {})
     wire = text_at(list(wanted.values())).add(CORRUPT, "string")
-    value = F.col(json_col)
     fields = {n: loose_int(F.col(f"_j.{p}")) for n, p in wanted.items()}
     return (
-        df.filter(is_envelope(value))
-        .withColumn("_j", parse_json(value, wire))
+        with_parsed(df.filter(is_envelope(F.col(json_col))), json_col, wire, "_j")
         .withColumns(fields)
         .filter(F.col(name) > threshold)
         .drop("_j")

@@ -12,8 +12,8 @@ from ..functions.json_text import (
     loose_double,
     loose_int,
     loose_long,
-    parse_json,
     text_at,
+    with_parsed,
 )
 from ..functions.times import in_calendar
 from ..schema import DEFAULT_KEY, FEED, FEED_BATTERY, NESTED, NESTED_FIELDS, READING
@@ -47,7 +47,7 @@ def classify(df: DataFrame, value: str = "value") -> DataFrame:
     to a dead letter table and good ones to the archive.
     """
     wire = text_at(list(WIRE_PATHS.values())).add(CORRUPT, "string")
-    parsed = df.withColumn("_j", parse_json(F.col(value), wire)).withColumns(
+    parsed = with_parsed(df, value, wire, "_j").withColumns(
         {
             f.name: _COERCE[f.dataType.simpleString()](F.col(f"_j.{WIRE_PATHS[f.name]}"))
             for f in READING.fields
@@ -137,7 +137,7 @@ def adapt_feed(
         return F.coalesce(loose_double(F.col(f"_j.current.{name}")), F.lit(0.0))
 
     numbered = number_rows(
-        df.withColumn("_j", parse_json(F.col(document), FEED)).select(
+        with_parsed(df, document, FEED, "_j").select(
             *dict.fromkeys([*feed, *order_by]),
             station_id.alias("_station"),
             seconds.alias("_seconds"),

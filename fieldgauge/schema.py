@@ -20,13 +20,12 @@ FEED_BATTERY = "high"
 # Header of the snapshot export.
 SNAPSHOT_HEADER = "key,value"
 
-# Rows per archive file, and the size in bytes at which a log file is closed.
-ARCHIVE_ROWS_PER_FILE = 10_000
-LOG_FILE_BYTES = 64 * 1024 * 1024
+# Messages per archive flush, and the log file size of 64 MB at 200 bytes per message.
+BATCH_ROWS = 10_000
+LOG_ROWS_PER_FILE = 64 * 1024 * 1024 // 200
 
-# How often the topic is polled and the change log compacted.
+# How often the topic is polled.
 POLL_INTERVAL = "100 milliseconds"
-COMPACTION_INTERVAL = "1 minute"
 
 # ---- messages ---------------------------------------------------------------------
 

@@ -60,7 +60,8 @@ def archive_schema(data: T.StructType = READING, station: str = "station_id") ->
 def read_archive(
     spark: SparkSession, path: str, data: T.StructType = READING, station: str = "station_id"
 ) -> DataFrame:
-    return spark.read.schema(archive_schema(data, station)).parquet(path)
+    schema = archive_schema(data, station)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_slice(archive: DataFrame, **folder: object) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.latest import latest_per_key
-from ..schema import LOG, LOG_FILE_BYTES
+from ..schema import LOG, LOG_ROWS_PER_FILE
 from .storage import Folder
 
 
@@ -47,16 +47,16 @@ class ChangeLog:
 
     # ---- writing
 
-    def append(self, df: DataFrame, batch_id: int) -> None:
+    def append(self, df: DataFrame, batch_id: int, reduce: bool = True) -> None:
         """Write one batch. Repeating a batch id replaces that batch.
 
         Values that are no longer the latest inside the batch cannot be read by anyone,
-        so they are dropped before the write.
+        so they are left out, unless the caller says that keys are unique already.
         """
-        rows = latest_per_key(df.select(*self.schema.names), self.key, self.version)
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(
-            f"{self._batches.path}/b={batch_id}"
-        )
+        rows = df.select(*self.schema.names)
+        if reduce:
+            rows = latest_per_key(rows, self.key, self.version).select(*rows.columns)
+        rows.write.mode("overwrite").parquet(f"{self._batches.path}/b={batch_id}")
 
     # ---- reading
 
@@ -93,7 +93,9 @@ class ChangeLog:
 
     # ---- maintenance
 
-    def compact(self, through: int | None = None, file_bytes: int = LOG_FILE_BYTES) -> Commit:
+    def compact(
+        self, through: int | None = None, rows_per_file: int = LOG_ROWS_PER_FILE
+    ) -> Commit:
         """Merge the closed batches into a new snapshot. Never changes what readers see.
 
         The snapshot is sorted by key, so a lookup reads the row groups that can hold
@@ -109,7 +111,7 @@ class ChangeLog:
             view.select(*self.schema.names)
             .repartitionByRange(self.key)
             .sortWithinPartitions(self.key)
-            .write.option("parquet.block.size", file_bytes)
+            .write.option("maxRecordsPerFile", rows_per_file)
             .parquet(f"{self._snapshots.path}/{name}")
         )
         done = Commit(at.number + 1, name, batches[-1])

@@ -122,4 +122,8 @@ def start_latest(
     State holds one row per key; keys never expire. `log.rebuild()` is the view.
     """
     latest = latest_per_key(stream.select(*log.schema.names), log.key, log.version)
-    return start_batches(latest, log.append, checkpoint, trigger, "update")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        log.append(batch, batch_id, reduce=False)
+
+    return start_batches(latest, write, checkpoint, trigger, "update")
