@@ -43,6 +43,22 @@ def pair_lines(df: DataFrame, file: str, line_no: str, line: str, sep: str = "")
     )
 
 
+def pair_text(df: DataFrame, file: str, text: str, sep: str = "") -> DataFrame:
+    """`pair_lines` for whole texts; no shuffle, the lines of a text are in one row."""
+    all_lines = F.split(F.col(text), "\n", -1)
+    pairs = F.arrays_zip(
+        F.filter(all_lines, lambda x, i: i % 2 == 0).alias("first"),
+        F.filter(all_lines, lambda x, i: i % 2 == 1).alias("second"),
+    )
+    return df.select(file, F.posexplode(pairs).alias("_i", "_pair")).select(
+        file,
+        (F.col("_i") + 1).cast("bigint").alias("pair_no"),
+        "_pair.first",
+        "_pair.second",
+        F.concat_ws(sep, "_pair.first", "_pair.second").alias("pair"),
+    )
+
+
 def pair_selected_lines(
     df: DataFrame, file: str, order_by: str, line: str, sep: str = ""
 ) -> DataFrame:

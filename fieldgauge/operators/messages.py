@@ -104,17 +104,33 @@ def to_messages(df: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
-def normalise_json(df: DataFrame, value: str = "value") -> DataFrame:
-    """Rewrite good messages in compact form with fields in fixed order.
+def spaced_text() -> Column:
+    """Wire form of a reading as text with a space after each colon and comma."""
+
+    def item(name: str) -> Column:
+        text = F.col(name).cast("string")
+        if READING[name].dataType.simpleString() == "string":
+            text = F.regexp_extract(F.to_json(F.array(name)), r"^\[(.*)\]$", 1)
+        return F.concat(F.lit(f'"{name}": '), text)
+
+    nested = F.concat(
+        F.lit(f'"{NESTED}": {{'), F.concat_ws(", ", *map(item, NESTED_FIELDS)), F.lit("}")
+    )
+    flat = [item(name) for name in READING.names if name not in NESTED_FIELDS]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *flat, nested), F.lit("}"))
+
+
+def normalise_json(df: DataFrame, value: str = "value", spaced: bool = False) -> DataFrame:
+    """Rewrite good messages with their fields in fixed order, compact or spaced.
 
     Text that is not a complete message is passed through unchanged.
     """
     names = df.columns
-    compact = F.to_json(envelope())
-    rewritten = F.when(F.col("reason").isNull(), compact).otherwise(F.col(value))
+    good = spaced_text() if spaced else F.to_json(envelope())
+    text = F.when(F.col("reason").isNull(), good).otherwise(F.col(value))
     return (
         classify(df, value)
-        .withColumn("_text", rewritten)
+        .withColumn("_text", text)
         .select(*[F.col("_text").alias(n) if n == value else F.col(n) for n in names])
     )
 

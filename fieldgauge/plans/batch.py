@@ -9,7 +9,7 @@ from ..functions.times import epoch_seconds
 from ..operators import alerts, audit, latest, lines, messages as msg
 from ..operators.ordering import offset_block
 from ..sources import archive, exports
-from .tables import READING_COLUMNS, messages, readings, table
+from .tables import messages, readings, table
 
 
 def parquet_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -78,6 +78,10 @@ def normalise_value(spark: SparkSession, d: str) -> DataFrame:
     return msg.normalise_json(messages(spark, d)).select("offset", "value")
 
 
+def normalise_spaced(spark: SparkSession, d: str) -> DataFrame:
+    return msg.normalise_json(messages(spark, d), spaced=True).select("offset", "value")
+
+
 def feed_documents(spark: SparkSession, d: str) -> DataFrame:
     """Events as documents of external feeds, one feed per event type."""
     current = F.struct(
@@ -157,6 +161,11 @@ def pair_lines(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("doc_id", "pair_no", "pair")
 
 
+def pair_text(spark: SparkSession, d: str) -> DataFrame:
+    pairs = lines.pair_text(table(spark, d, "documents"), "doc_id", "text")
+    return pairs.select("doc_id", "pair_no", "pair")
+
+
 def pair_selected_lines(spark: SparkSession, d: str) -> DataFrame:
     chosen = lines.select_lines(table(spark, d, "events"), "event_type", "view", "click", "error")
     return lines.pair_selected_lines(chosen, "user_id", "event_id", "event_type", "+")
@@ -213,6 +222,7 @@ QUERIES = {
         envelope_json,
         keyed_rows,
         normalise_value,
+        normalise_spaced,
         adapt_feed,
         status_share,
         sequence_audit,
@@ -224,6 +234,7 @@ QUERIES = {
         count_lines,
         select_lines,
         pair_lines,
+        pair_text,
         pair_selected_lines,
         top_k,
         top_k_weighted,

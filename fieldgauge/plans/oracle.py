@@ -88,6 +88,12 @@ _LINES = """with l as (
     from documents
 )"""
 
+_PAIRS = f"""{_LINES}, p as (
+    select *, lead(line) over (partition by doc_id order by line_no) as next from l
+)
+select doc_id, cast((line_no + 1) // 2 as bigint) as pair_no, line || coalesce(next, '') as pair
+from p where line_no % 2 = 1"""
+
 
 def _runs(rows: str, station: str, seq: str, order: str) -> str:
     return f"""with r as ({rows}), p as (
@@ -129,6 +135,13 @@ select cast(user_id as varchar) as "key", t as "value" from texts""",
     "normalise_value": f"""with {_MESSAGES}
 select c."offset", case when c.reason is null then t.t else c.v end as "value"
 from classified c join texts t on t.event_id = c."offset" """,
+    "normalise_spaced": f"""with {_MESSAGES}
+select "offset", case when reason is not null then v else
+    '{{"station_id": ' || station_id || ', "s_no": ' || s_no || ', "battery_status": "'
+    || battery_status || '", "status_timestamp": ' || status_timestamp || ', "weather": {{"humidity": '
+    || humidity || ', "temperature": ' || temperature || ', "wind_speed": ' || wind_speed || '}}}}'
+    end as "value"
+from classified""",
     "adapt_feed": """select event_id, cast(11 as bigint) as station_id,
     row_number() over (partition by event_type order by event_id) as s_no,
     'high' as battery_status, cast(floor(epoch(ts)) as bigint) as status_timestamp,
@@ -163,11 +176,8 @@ from events group by all""",
 from events group by user_id""",
     "count_lines": f"{_LINES} select count(*) as n from l where contains(line, 'license')",
     "select_lines": f"{_LINES} select * from l where regexp_matches(line, 'license|email|the')",
-    "pair_lines": f"""{_LINES}, p as (
-    select *, lead(line) over (partition by doc_id order by line_no) as next from l
-)
-select doc_id, cast((line_no + 1) // 2 as bigint) as pair_no, line || coalesce(next, '') as pair
-from p where line_no % 2 = 1""",
+    "pair_lines": _PAIRS,
+    "pair_text": _PAIRS,
     "pair_selected_lines": """with s as (
     select *, row_number() over (partition by user_id order by event_id) as i,
         lead(event_type) over (partition by user_id order by event_id) as second

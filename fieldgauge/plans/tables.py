@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.times import epoch_seconds
 from ..operators.messages import build_envelope
-from ..schema import READING
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +60,3 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(table(spark, sf_dir, "events"))
-
-
-READING_COLUMNS = READING.names

@@ -20,8 +20,7 @@ FEED_BATTERY = "high"
 # Header of the snapshot export.
 SNAPSHOT_HEADER = "key,value"
 
-# Messages per archive flush, and the log file size of 64 MB at 200 bytes per message.
-BATCH_ROWS = 10_000
+# A log file ends at 64 MB; a message has about 200 bytes.
 LOG_ROWS_PER_FILE = 64 * 1024 * 1024 // 200
 
 # How often the topic is polled.

@@ -1,0 +1,177 @@
+"""Order-dependent operators against plain Python, with one key holding most rows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldgauge.operators import audit, latest, lines
+from fieldgauge.operators.ordering import number_rows, offset_block
+
+
+def skewed(seed, n=600, keys=("hot", "a", "b", None)):
+    rng = random.Random(seed)
+    order = rng.sample(range(5 * n), n)
+    return [
+        ("hot" if rng.random() < 0.6 else rng.choice(keys), at, rng.randrange(40)) for at in order
+    ]
+
+
+def runs(rows):
+    """Reference: one pass over each key in order."""
+    out = {}
+    for key in {r[0] for r in rows}:
+        run, seen = 0, []
+        for _, _, number in sorted((r for r in rows if r[0] == key), key=lambda r: r[1]):
+            if seen and number < seen[-1]:
+                out[key, run] = seen
+                run, seen = run + 1, []
+            seen.append(number)
+        out[key, run] = seen
+    return {
+        k: (min(s), max(s), len(s), len(set(s)), max(s) - min(s) + 1 - len(set(s)))
+        for k, s in out.items()
+    }
+
+
+def collected(df):
+    return {
+        (r.key, r.run): (r.first_no, r.last_no, r.messages, r.received, r.dropped)
+        for r in df.collect()
+    }
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_number_rows(spark, seed):
+    rows = skewed(seed)
+    df = spark.createDataFrame(rows, "key string, at bigint, n bigint")
+    got = {(r.key, r.at): r.i for r in number_rows(df, ["key"], ["at"], "i", 7).collect()}
+    want = {}
+    for key in {r[0] for r in rows}:
+        for i, at in enumerate(sorted(r[1] for r in rows if r[0] == key), 1):
+            want[key, at] = i
+    assert got == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("block", [None, 1, 10, 100_000])
+def test_sequence_runs(spark, seed, block):
+    rows = skewed(seed)
+    df = spark.createDataFrame(rows, "key string, at bigint, n bigint")
+    blocks = None if block is None else offset_block(F.col("at"), block)
+    assert collected(audit.sequence_runs(df, "key", "n", ["at"], blocks)) == runs(rows)
+
+
+@pytest.mark.parametrize("block", [None, 4])
+def test_long_runs_over_many_blocks(spark, block):
+    numbers = [i // 3 for i in range(200)] + [5] * 30 + list(range(6, 90, 2))
+    rows = [("hot", i, n) for i, n in enumerate(numbers)]
+    df = spark.createDataFrame(rows, "key string, at bigint, n bigint")
+    blocks = None if block is None else offset_block(F.col("at"), block)
+    assert collected(audit.sequence_runs(df, "key", "n", ["at"], blocks)) == runs(rows)
+
+
+CASES = {
+    "no loss": ([1, 2, 3], [0]),
+    "gap": ([10, 11, 14], [2]),
+    "repeat": ([10, 11, 11, 12], [0]),
+    "restart": ([5, 6, 1, 2, 4], [0, 1]),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_sequence_cases(spark, name):
+    numbers, dropped = CASES[name]
+    df = spark.createDataFrame(
+        [(1, i, n) for i, n in enumerate(numbers)], "station bigint, at bigint, s_no bigint"
+    )
+    got = audit.sequence_runs(df, "station", "s_no", ["at"]).orderBy("run").collect()
+    assert [r.dropped for r in got] == dropped
+
+
+def test_sequence_audit_and_cadence(spark):
+    df = spark.createDataFrame(
+        [(1, 10, 100), (1, 11, 101), (1, 11, 101), (1, 14, 105), (2, 3, 7)],
+        "station bigint, s_no bigint, seconds bigint",
+    )
+    got = {r.station: (r.received, r.dropped) for r in audit.sequence_audit(df, "station", "s_no").collect()}
+    assert got == {1: (3, 2), 2: (1, 0)}
+    got = {r.station: (r.expected, r.dropped) for r in audit.cadence_audit(df, "station", "seconds").collect()}
+    assert got == {1: (6, 2), 2: (1, 0)}
+
+
+def test_snapshots_show_no_loss(spark):
+    # Two exports 12 seconds apart: number and time grow alike.
+    df = spark.createDataFrame(
+        [(1, 27671 + i, 1779481997 + i) for i in range(13)], "station bigint, s_no bigint, t bigint"
+    )
+    assert audit.sequence_audit(df, "station", "s_no").first().dropped == 0
+    assert audit.cadence_audit(df, "station", "t").first().dropped == 0
+
+
+def test_status_share(spark):
+    rows = [(1, s) for s in ["low"] * 3 + ["medium"] * 4 + ["high"] * 3]
+    df = spark.createDataFrame(rows, "station bigint, status string")
+    got = {r.status: (r.n, r.pct) for r in audit.status_share(df, "station", "status").collect()}
+    assert got == {"low": (3, 30.0), "medium": (4, 40.0), "high": (3, 30.0)}
+
+
+def test_latest(spark):
+    rows = [("k", f"v{i}", i) for i in range(100)] + [("other", "x", 3), ("tie", "a", 1), ("tie", "b", 1)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "key string, value string, version bigint")
+    view = latest.latest_per_key(df, "key", "version")
+    got = {r.key: r.value for r in view.collect()}
+    assert got == {"k": "v99", "other": "x", "tie": "b"}
+    assert latest.lookup(view, "key", "k").first().value == "v99"
+    assert latest.lookup(view, "key", "none").count() == 0
+
+
+def test_latest_is_reduced_before_the_shuffle(spark):
+    df = spark.range(10).select((F.col("id") % 2).alias("key"), "id", F.lit("x").alias("value"))
+    plan = latest.latest_per_key(df, "key", "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_max") > plan.index("Exchange hashpartitioning")  # below it
+
+
+LOG = [
+    "startTime = 1",
+    "objectClass = A",
+    "weight = 2 kB",
+    "objectClass = B",
+    "weight = 1.5 MB",
+    "objectClass = A",
+    "weight = 3 kB",
+    "objectClass = C",
+]
+
+
+def test_pairs(spark):
+    df = spark.createDataFrame([("f", "\n".join(LOG)), ("g", "one"), ("h", "")], "file string, text string")
+    rows = lines.to_lines(df, "file", "text")
+    want = {("f", i // 2 + 1): LOG[i] + LOG[i + 1] for i in range(0, 8, 2)} | {("g", 1): "one", ("h", 1): ""}
+    for pairs in (lines.pair_lines(rows, "file", "line_no", "line"), lines.pair_text(df, "file", "text")):
+        assert {(r.file, r.pair_no): r.pair for r in pairs.collect()} == want
+
+
+def test_allocations(spark):
+    df = lines.to_lines(
+        spark.createDataFrame([("f", "\n".join(LOG))], "file string, text string"), "file", "text"
+    )
+    got = [(r.object_class, r.weight) for r in lines.allocation_top_k(df, "file", "line_no", "line", 2).collect()]
+    assert got == [("B", 1.5 * 1024 * 1024), ("A", 5.0 * 1024)]
+
+
+def test_line_reports(spark):
+    text = ["duration = 15 ms", "duration = 2 s", "path = /x", "bytesRead = 3", "duration = 300 us",
+            "duration = 1 m 5 s", "other"]
+    df = spark.createDataFrame([(t,) for t in text], "line string")
+    assert lines.count_lines(df, "line", "duration").first().n == 4
+    assert lines.select_lines(df, "line", "path", "bytesRead", "duration").count() == 6
+    assert lines.max_duration(df, "line").first().max_ms == 65_000.0
+    assert lines.max_duration(df.filter("line not like '% m %'"), "line").first().max_ms == 2_000.0
+    assert lines.max_duration(df.filter("line = 'other'"), "line").first().max_ms is None
+
+
+def test_top_k_ties(spark):
+    df = spark.createDataFrame([(v,) for v in "ccbbaad"], "x string")
+    assert [(r.x, r.n) for r in lines.top_k(df, "x", 3).collect()] == [("a", 2), ("b", 2), ("c", 2)]

@@ -1,0 +1,240 @@
+import csv
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldgauge.functions.times import in_calendar, utc_date
+from fieldgauge.operators.latest import latest_per_key, lookup
+from fieldgauge.schema import READING
+from fieldgauge.sources import archive, exports, feeds, topics
+from fieldgauge.sources.change_log import ChangeLog
+
+
+def rows_of(spark, *rows):
+    return spark.createDataFrame(rows, "key string, value string, version bigint")
+
+
+def view_of(log):
+    return {r.key: r.value for r in log.rebuild().collect()}
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    return ChangeLog(spark, str(tmp_path / "log"))
+
+
+def test_empty_log(log):
+    assert view_of(log) == {}
+    assert log.compact().number == 0
+    log.vacuum()
+
+
+def test_update_replaces_and_reopen_keeps(spark, log):
+    log.append(rows_of(spark, ("a", "1", 1), ("b", "1", 2)), 0)
+    log.append(rows_of(spark, ("a", "2", 3)), 1)
+    assert view_of(log) == {"a": "2", "b": "1"}
+    assert view_of(ChangeLog(spark, log.root)) == {"a": "2", "b": "1"}
+
+
+def test_repeated_batch_counts_once(spark, log):
+    for _ in range(2):
+        log.append(rows_of(spark, ("a", "1", 1), ("a", "0", 0)), 0)
+    assert spark.read.parquet(f"{log.root}/batches/b=0").count() == 1
+
+
+def test_compaction_never_changes_the_answer(spark, log):
+    for batch in range(5):
+        log.append(rows_of(spark, *[(f"k{i}", f"v{batch}", batch) for i in range(batch, 10)]), batch)
+    before = view_of(log)
+    log.compact(through=2)
+    assert view_of(log) == before
+    log.append(rows_of(spark, ("k0", "new", 9)), 5)
+    log.compact(through=3)
+    assert view_of(log) == before | {"k0": "new"}
+    log.vacuum()
+    assert view_of(log) == before | {"k0": "new"}
+    assert log.closed_batches() == [4, 5]
+    log.compact()
+    log.vacuum()
+    assert log.closed_batches() == [] and len(os.listdir(f"{log.root}/snapshots")) == 1
+    assert view_of(log) == before | {"k0": "new"}
+
+
+def test_many_versions(spark, log):
+    versions = spark.range(10_000).select(
+        F.concat(F.lit("k"), F.col("id") % 10).alias("key"),
+        F.concat(F.lit("v"), F.floor(F.col("id") / 10)).alias("value"),
+        F.floor(F.col("id") / 10).alias("version"),
+    )
+    log.append(versions, 0)
+    log.compact()
+    assert view_of(log) == {f"k{i}": "v999" for i in range(10)}
+
+
+def test_older_arrival_in_a_later_batch_loses(spark, log):
+    log.append(rows_of(spark, ("a", "new", 9)), 0)
+    log.append(rows_of(spark, ("a", "old", 1)), 1)
+    assert view_of(log) == {"a": "new"}
+    log.compact()
+    assert view_of(log) == {"a": "new"}
+
+
+def test_unfinished_batch_and_snapshot_are_not_read(spark, log):
+    log.append(rows_of(spark, ("a", "1", 1)), 0)
+    log.append(rows_of(spark, ("a", "2", 2)), 1)
+    os.remove(f"{log.root}/batches/b=1/_SUCCESS")
+    os.makedirs(f"{log.root}/snapshots/v=1-dead")
+    assert view_of(log) == {"a": "1"}
+    log.compact()
+    assert view_of(log) == {"a": "1"}
+
+
+def test_two_compactions_cannot_both_commit(spark, log):
+    log.append(rows_of(spark, ("a", "1", 1)), 0)
+    log.compact()
+    with pytest.raises(Exception):
+        log._commits.create_json("000000000001.json", {"snapshot": "x", "through": 0})
+    assert view_of(log) == {"a": "1"}
+
+
+def test_snapshot_files_are_bounded(spark, log):
+    log.append(rows_of(spark, *[(f"k{i}", "v", i) for i in range(100)]), 0)
+    done = log.compact(rows_per_file=10)
+    folder = f"{log.root}/snapshots/{done.snapshot}"
+    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert all(spark.read.parquet(f"{folder}/{f}").count() <= 10 for f in files)
+
+
+def test_lookup_reaches_the_scan(spark, log):
+    log.append(rows_of(spark, ("a", "1", 1), ("b", "2", 2)), 0)
+    log.compact()
+    found = lookup(log.rebuild(), "key", "a")
+    assert [r.value for r in found.collect()] == ["1"]
+    assert "EqualTo(key,a)" in found._jdf.queryExecution().executedPlan().toString()
+
+
+READINGS = [
+    (1, 1, "low", 1714521599, 50, 60, 10),  # last second of April 2024, UTC
+    (1, 2, "high", 1714521600, 80, 61, 11),
+    (2, 1, "medium", 1735689599, 20, 62, 12),
+    (2, 2, "medium", 1735689600, 20, 62, 12),
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_archive(spark, tmp_path, zone):
+    path = str(tmp_path / "archive")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(READINGS, READING)
+        archive.write_archive(archive.with_partitions(df), path)
+        archive.write_archive(archive.with_partitions(df), path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(os.listdir(f"{path}/station_id=1/year=2024")) == ["month=04", "month=05"]
+    back = archive.read_archive(spark, path)
+    assert dict(back.dtypes)["station_id"] == "bigint"
+    assert sorted(tuple(r) for r in back.select(*READING.names).collect()) == sorted(READINGS * 2)
+    part = archive.read_slice(back, station_id=1, year=2024, month=5)
+    assert {r.s_no for r in part.collect()} == {2}
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "month#" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_repeated_archive_batch_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    df = archive.with_partitions(spark.createDataFrame(READINGS, READING))
+    for batch in (0, 1, 0):
+        archive.write_archive(df, path, batch_id=batch)
+    assert archive.read_archive(spark, path).count() == 8
+
+
+def test_archive_file_size(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    df = spark.range(100).select(
+        F.lit(1).cast("bigint").alias("station_id"), "id", F.lit(2024).alias("year"), F.lit("01").alias("month")
+    )
+    archive.write_archive(df, path, rows_per_file=30)
+    files = [f for f in os.listdir(f"{path}/station_id=1/year=2024/month=01") if f.endswith(".parquet")]
+    assert len(files) >= 4
+
+
+def test_large_station_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    df = spark.range(0, 400_000, 1, 16).select(
+        F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id") % 5 + 2).alias("station_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.lit(2024).alias("year"),
+        F.lit("01").alias("month"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        archive.write_archive(df, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+    def files(station):
+        return [f for f in os.listdir(f"{path}/station_id={station}/year=2024/month=01") if f.endswith(".parquet")]
+
+    assert len(files(1)) > 4
+    assert len(files(2)) <= 2
+
+
+def test_calendar_bounds(spark):
+    df = spark.createDataFrame([(0,), (-1,), (253402300799,), (-62135596800,), (253402300800,)], "t bigint")
+    got = df.filter(in_calendar(F.col("t"))).select("t", utc_date(F.col("t")).cast("string").alias("d"))
+    assert {r.t: r.d for r in got.collect()} == {
+        0: "1970-01-01",
+        -1: "1969-12-31",
+        253402300799: "9999-12-31",
+        -62135596800: "0001-01-01",
+    }
+
+
+VIEW = [("1", '{"a": 1, "b": "x,y"}'), ("2", "plain"), ("3", 'say "hi"')]
+
+
+def test_snapshot_as_one_file(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    view = spark.createDataFrame(VIEW, "key string, value string")
+    exports.write_snapshot(view, path)
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    text = "".join(open(os.path.join(path, p)).read() for p in parts).splitlines()
+    assert text[0] == "key,value"
+    assert sorted(text[1:]) == sorted(f"{k},{v}" for k, v in VIEW)
+    assert sorted(tuple(r) for r in exports.read_snapshot(spark, path).collect()) == VIEW
+
+
+def test_quoted_csv(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    view = spark.createDataFrame([*VIEW, ("4", "two\nlines")], "key string, value string")
+    exports.write_csv(view.coalesce(1), path)
+    assert sorted(tuple(r) for r in exports.read_csv(spark, path).collect()) == [*VIEW, ("4", "two\nlines")]
+    part = next(f for f in os.listdir(path) if f.startswith("part-"))
+    with open(os.path.join(path, part), newline="") as f:
+        assert list(csv.reader(f))[0] == ["key", "value"]
+
+
+def test_feed_files(spark, tmp_path):
+    (tmp_path / "doc.json").write_text('{"current": {\n "temperature_2m": 23.6,\n "wind_speed_10m": 16.2}}')
+    row = feeds.read_feed(spark, str(tmp_path), multi_line=True).first()
+    assert (row.current.temperature_2m, row.current.relative_humidity_2m) == ("23.6", None)
+
+
+def test_topic_options():
+    options = topics.kafka_options("host:9092", "readings", "earliest", maxOffsetsPerTrigger=10_000)
+    assert options == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "readings",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "10000",
+    }
+
+
+def test_topic_columns(spark):
+    raw = spark.createDataFrame(
+        [(bytearray(b"1"), bytearray(b"{}"), 0, 5, "t")],
+        "key binary, value binary, partition int, offset bigint, topic string",
+    )
+    assert topics.as_messages(raw).first().asDict() == {"key": "1", "value": "{}", "partition": 0, "offset": 5}
