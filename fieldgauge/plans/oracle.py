@@ -1,7 +1,7 @@
 """The registered queries as plain SQL over the same tables."""
 
 _READINGS = """readings as (
-    select *, user_id as station_id, event_id as s_no, event_type as battery_status,
+    select *, user_id % 10 + 1 as station_id, event_id as s_no, event_type as battery_status,
         cast(floor(epoch(ts)) as bigint) as status_timestamp,
         cast(json_extract_string(props, '$.k') as int) as humidity,
         cast(floor("value") as int) as temperature,
@@ -131,7 +131,7 @@ select station_id, s_no, battery_status, status_timestamp, humidity, temperature
 from classified where reason is null""",
     "envelope_json": f'with {_READINGS} select event_id, t as "value" from texts',
     "keyed_rows": f"""with {_READINGS}
-select cast(user_id as varchar) as "key", t as "value" from texts""",
+select cast(station_id as varchar) as "key", t as "value" from texts""",
     "normalise_value": f"""with {_MESSAGES}
 select c."offset", case when c.reason is null then t.t else c.v end as "value"
 from classified c join texts t on t.event_id = c."offset" """,
