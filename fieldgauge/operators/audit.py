@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import BLOCK, join_carry, range_blocks
+from .ordering import BLOCK, join_carry, keep, range_blocks
 
 
 def status_share(df: DataFrame, station: str, status: str) -> DataFrame:
@@ -55,12 +55,12 @@ def sequence_runs(
     else:
         tagged = narrow.select(*wanted, block.alias(BLOCK))
 
-    # Pieces of runs inside each block.
+    # Pieces of runs inside each block: as a rule far fewer rows than the input.
     arrival = Window.partitionBy(station, BLOCK).orderBy(*order_by)
     previous = F.lag(seq).over(arrival)
     falls = F.coalesce((F.col(seq) < previous).cast("int"), F.lit(0))
     rises = F.coalesce((F.col(seq) > previous).cast("int"), F.lit(0))
-    pieces = (
+    pieces = keep(
         tagged.withColumns({"_fall": falls, "_rise": rises})
         .withColumn("_piece", F.sum("_fall").over(arrival))
         .groupBy(station, BLOCK, "_piece")

@@ -21,24 +21,27 @@ def range_blocks(
     """Tag each row with a block number; works for any total order.
 
     Range partitioning on (by, order_by) splits a large key over as many partitions as
-    it fills. Its bounds come from a sample, so the tagged rows are checkpointed: every
-    later read, also one after a lost executor, sees the same blocks. At most one key
-    reaches into a block from the block before.
+    it fills. At most one key reaches into a block from the block before. The bounds come
+    from a sample, so two uses of the result can have different blocks: reduce it and
+    `keep` that, then use it as often as needed.
     """
-    shared_folder(df.sparkSession)
     count = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        df.repartitionByRange(count, *by, *order_by)
-        .withColumn(BLOCK, F.spark_partition_id().cast("bigint"))
-        .checkpoint()
+    return df.repartitionByRange(count, *by, *order_by).withColumn(
+        BLOCK, F.spark_partition_id().cast("bigint")
     )
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def offset_block(offset: Column, rows: int = 1_000_000) -> Column:
     """Block for rows ordered by a whole number that is unique within the key.
 
-    Needs no sample and no checkpoint: a block covers `rows` offsets, so it holds at
-    most that many rows of a key.
+    Needs no sample and no range partitioning: a block covers `rows` offsets, so it holds
+    at most that many rows of a key.
     """
     return offset - F.pmod(offset, F.lit(rows))
 
@@ -64,17 +67,16 @@ def number_rows(
     blocks: int | None = None,
 ) -> DataFrame:
     """row_number() over (partition by `by` order by `order_by`), counted in blocks."""
-    tagged = range_blocks(df, by, order_by, blocks)
-    in_order = Window.partitionBy(*by).orderBy(BLOCK)
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    counts = tagged.groupBy(*by, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
+    in_block = Window.partitionBy(*by, BLOCK).orderBy(*order_by)
+    numbered = keep(
+        range_blocks(df, by, order_by, blocks).withColumn("_i", F.row_number().over(in_block))
+    )
+    earlier = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy(*by, BLOCK).agg(F.max("_i").cast("bigint").alias("_rows"))
     # Only a key that continues from an earlier block has a start above 0, so this
     # table has fewer rows than there are blocks.
-    starts = counts.withColumn("_start", F.sum("_n").over(earlier)).filter("_start > 0")
-
-    in_block = Window.partitionBy(*by, BLOCK).orderBy(*order_by)
-    numbered = tagged.withColumn("_i", F.row_number().over(in_block))
-    position = (F.col("_i") + F.coalesce("_start", F.lit(0))).cast("bigint")
-    return join_carry(numbered, starts.drop("_n"), by, one_per_block=True).select(
-        *df.columns, position.alias(name)
+    starts = sizes.select(*by, BLOCK, F.sum("_rows").over(earlier).alias("_start"))
+    position = F.col("_i") + F.coalesce("_start", F.lit(0))
+    return join_carry(numbered, starts.filter("_start > 0"), by, one_per_block=True).select(
+        *df.columns, position.cast("bigint").alias(name)
     )
