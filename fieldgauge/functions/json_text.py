@@ -26,14 +26,14 @@ def parse_json(value: Column, schema: T.StructType | str) -> Column:
     return F.from_json(value, schema, JSON_OPTIONS)
 
 
-def with_parsed(df: DataFrame, value: str, schema: T.StructType, name: str) -> DataFrame:
+def with_parsed(df: DataFrame, value: Column, schema: T.StructType, name: str) -> DataFrame:
     """Add the parsed document as a struct column, parsing each text once.
 
     A plain column would be parsed again in every filter that uses it, since a filter is
     moved below the projection and takes a copy of the expression along. A filter is not
     moved below a generated column.
     """
-    return df.select("*", F.explode(F.array(parse_json(F.col(value), schema))).alias(name))
+    return df.select("*", F.explode(F.array(parse_json(value, schema))).alias(name))
 
 
 def text_at(paths: list[str]) -> T.StructType:

@@ -24,9 +24,10 @@ def over_threshold(
     """
     wanted = {name: path} | (extra or {})
     wire = text_at(list(wanted.values())).add(CORRUPT, "string")
+    value = F.col(json_col)
     fields = {n: loose_int(F.col(f"_j.{p}")) for n, p in wanted.items()}
     return (
-        with_parsed(df.filter(is_envelope(F.col(json_col))), json_col, wire, "_j")
+        with_parsed(df, F.when(is_envelope(value), value), wire, "_j")
         .withColumns(fields)
         .filter(F.col(name) > threshold)
         .drop("_j")

@@ -47,7 +47,7 @@ def classify(df: DataFrame, value: str = "value") -> DataFrame:
     to a dead letter table and good ones to the archive.
     """
     wire = text_at(list(WIRE_PATHS.values())).add(CORRUPT, "string")
-    parsed = with_parsed(df, value, wire, "_j").withColumns(
+    parsed = with_parsed(df, F.col(value), wire, "_j").withColumns(
         {
             f.name: _COERCE[f.dataType.simpleString()](F.col(f"_j.{WIRE_PATHS[f.name]}"))
             for f in READING.fields
@@ -153,7 +153,7 @@ def adapt_feed(
         return F.coalesce(loose_double(F.col(f"_j.current.{name}")), F.lit(0.0))
 
     numbered = number_rows(
-        with_parsed(df, document, FEED, "_j").select(
+        with_parsed(df, F.col(document), FEED, "_j").select(
             *dict.fromkeys([*feed, *order_by]),
             station_id.alias("_station"),
             seconds.alias("_seconds"),

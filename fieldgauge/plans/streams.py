@@ -27,7 +27,7 @@ def event_stream(spark: SparkSession, d: str) -> DataFrame:
     if Folder(spark, path).is_folder():
         return stream_files(spark, path, events.schema)
     landed = scratch(spark, "landed")
-    events.repartitionByRange(4, "event_id").write.parquet(landed)
+    events.repartition(4).write.parquet(landed)
     return stream_files(spark, landed, events.schema, maxFilesPerTrigger=1)
 
 

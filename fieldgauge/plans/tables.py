@@ -7,12 +7,25 @@ from pyspark.sql import functions as F
 
 from ..functions.times import epoch_seconds
 from ..operators.messages import build_envelope
+from ..sources.storage import Folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are dear to process, such as JSON to parse.
+
+    One file of one row group is read by one task, so its rows are first dealt out to
+    all cores. A table of many files is spread already and gets no shuffle.
+    """
+    df = table(spark, sf_dir, name)
+    if Folder(spark, f"{sf_dir}/{name}.parquet").is_folder():
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 # Stations in the reading side of the data; the archive has folders for each, so their
 # number must not grow with the rows. Message keys are the users, of which there are many.
 STATIONS = 10
@@ -60,8 +73,8 @@ def as_messages(events: DataFrame) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_messages(table(spark, sf_dir, "events"))
+    return as_messages(spread(spark, sf_dir, "events"))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_readings(table(spark, sf_dir, "events"))
+    return as_readings(spread(spark, sf_dir, "events"))
