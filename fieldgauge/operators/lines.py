@@ -96,6 +96,8 @@ def allocation_top_k(
 
 
 def max_duration(df: DataFrame, line: str, name: str = "duration") -> DataFrame:
-    """Longest `duration = <number> <unit>` in milliseconds, whatever the units."""
-    longest = F.max(duration_ms(field_text(F.col(line), name)))
-    return df.agg(longest.alias("max_ms"))
+    """Line with the longest `duration = <number> <unit>`, whatever the unit, and its
+    length in milliseconds; nulls when there is none."""
+    ms = duration_ms(field_text(F.col(line), name))
+    longest = df.select(ms.alias("max_ms"), F.col(line).alias("line")).filter("max_ms is not null")
+    return longest.agg(F.max(F.struct("max_ms", "line")).alias("_l")).select("_l.max_ms", "_l.line")

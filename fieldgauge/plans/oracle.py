@@ -193,8 +193,10 @@ from events group by user_id order by weight desc, user_id limit 10""",
     "allocation_top_k": """select event_type as object_class,
     cast(sum(cast(json_extract_string(props, '$.k') as int)) as double) * 1024 as weight
 from events group by event_type order by weight desc, object_class limit 10""",
-    "max_duration": """select max("value" * case user_id % 3 when 0 then 0.001::double
-    when 1 then 1.0::double else 1000.0::double end) as max_ms from events""",
+    "max_duration": """select "value" * case user_id % 3 when 0 then 0.001::double
+        when 1 then 1.0::double else 1000.0::double end as max_ms,
+    'duration = ' || "value" || case user_id % 3 when 0 then ' us' when 1 then ' ms' else ' s' end as line
+from events order by max_ms desc, line desc limit 1""",
     "archive_round_trip": """select event_id, user_id, event_type, "value",
     cast(year(ts) as int) as year, cast(month(ts) as int) as month from events""",
     "slice": """select event_id, user_id, "value" from events

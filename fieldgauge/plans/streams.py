@@ -15,17 +15,19 @@ from ..sources.topics import stream_files
 from ..streaming.ingest import DRAIN, start_alerts, start_ingest, start_latest
 from .tables import as_messages, table
 
+BATCH_BYTES = 256 * 1024**3
+
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
     """The events as a stream of several batches.
 
     A table in one file would be one batch, so it is first cut into four files. A table
-    that already has many files is streamed from where it is.
+    that already has many files is streamed from where it is, in batches of bounded size.
     """
     path = f"{d}/events.parquet"
     events = table(spark, d, "events")
     if Folder(spark, path).is_folder():
-        return stream_files(spark, path, events.schema)
+        return stream_files(spark, path, events.schema, maxBytesPerTrigger=BATCH_BYTES)
     landed = scratch(spark, "landed")
     events.repartition(4).write.parquet(landed)
     return stream_files(spark, landed, events.schema, maxFilesPerTrigger=1)

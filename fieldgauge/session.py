@@ -28,7 +28,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def get_session(app: str = "fieldgauge", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        # Delete the files of a checkpoint once nothing refers to it.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    )
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -54,8 +59,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, removed when the application ends."""
-    path = f"{shared_folder(spark).rstrip('/')}/fieldgauge/{name}-{uuid.uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.deleteOnExit(hadoop_path)
-    return path
+    folder = f"{shared_folder(spark).rstrip('/')}/fieldgauge/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/data"

@@ -26,7 +26,11 @@ POLL = {"processingTime": POLL_INTERVAL}
 
 
 def split_batch(
-    batch: DataFrame, batch_id: int, root: str, rows_per_file: int | None = None
+    batch: DataFrame,
+    batch_id: int,
+    root: str,
+    rows_per_file: int | None = None,
+    reject: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
     """Send one batch of messages to its three tables below `root`.
 
@@ -35,14 +39,19 @@ def split_batch(
     archive:      complete messages, flat.
 
     Every table is written per batch id, so a batch that runs twice leaves one copy.
+    `reject` takes the dead letters instead of the table, to send them to a topic.
     """
+
+    def to_table(rows: DataFrame, batch_id: int) -> None:
+        # Few rows from many tasks: rebalanced, so that they do not make as many files.
+        rows.hint("rebalance").write.mode("overwrite").parquet(
+            f"{root}/dead_letters/b={batch_id}"
+        )
+
     classified = classify(with_default_key(batch)).persist()
     try:
-        (
-            dead_letters(classified, "key", "value", "partition", "offset")
-            .write.mode("overwrite")
-            .parquet(f"{root}/dead_letters/b={batch_id}")
-        )
+        rejected = dead_letters(classified, "key", "value", "partition", "offset")
+        (reject or to_table)(rejected, batch_id)
         accepted = classified.filter(~classified.reason.eqNullSafe(NOT_ENVELOPE))
         ChangeLog(batch.sparkSession, f"{root}/log").append(
             accepted.withColumnRenamed("offset", "version"), batch_id
@@ -79,11 +88,12 @@ def start_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     rows_per_file: int | None = None,
+    reject: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Route a stream of messages; a restart goes on where the checkpoint ends."""
     return start_batches(
         messages,
-        lambda batch, batch_id: split_batch(batch, batch_id, root, rows_per_file),
+        lambda batch, batch_id: split_batch(batch, batch_id, root, rows_per_file, reject),
         checkpoint,
         trigger,
     )

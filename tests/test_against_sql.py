@@ -24,6 +24,14 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module")
+def folder_dir(spark, tmp_path_factory):
+    """The events as a folder of many files, as on a cluster."""
+    path = tmp_path_factory.mktemp("tables")
+    spark.read.parquet(f"{SF_DIR}/events.parquet").repartition(6).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
 def comparable(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -56,3 +64,14 @@ def test_query(spark, duck, name):
     same = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
     assert {n: same[t] for n, t in got.dtypes} == duck_types
+
+
+@pytest.mark.parametrize(
+    "name", ["latest_per_key", "alert_render", "adapt_feed", "stream_latest", "stream_view", "stream_alerts"]
+)
+def test_query_on_folder(spark, duck, folder_dir, name, monkeypatch):
+    monkeypatch.setattr("fieldgauge.plans.streams.BATCH_BYTES", 100_000)
+    got = contract.queries()[name](spark, folder_dir)
+    want = duck.execute(contract.oracle_sql()[name])
+    names = [c[0] for c in want.description]
+    assert rows(got.columns, got.collect()) == rows(names, want.fetchall())

@@ -82,6 +82,14 @@ def test_batch_that_runs_twice(spark, tmp_path):
     assert state(spark, root) == (DEAD, VIEW, ROWS)
 
 
+def test_rejected_rows_can_go_elsewhere(spark, tmp_path):
+    got = []
+    batch = spark.createDataFrame(BATCHES[1], MESSAGE)
+    split_batch(batch, 7, str(tmp_path), reject=lambda rows, i: got.append((i, rows.count())))
+    assert got == [(7, 2)]
+    assert not (tmp_path / "dead_letters").exists()
+
+
 def test_alerts(spark, landing, tmp_path):
     root = str(tmp_path / "alerts")
     for _ in range(2):
