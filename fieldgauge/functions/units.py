@@ -24,26 +24,33 @@ SIZE_BYTES = {
 }
 
 
-def _amount(text: Column, factors: dict[str, float]) -> Column:
-    """Sum of all `<number> <unit>` parts in the text, null when there is none."""
+def _amount(text: Column, name: str, factors: dict[str, float]) -> Column:
     units = "|".join(factors)
     part = rf"([0-9]+(?:\.[0-9]+)?)\s*({units})\b"
-    numbers = F.regexp_extract_all(text, F.lit(part), F.lit(1))
-    names = F.regexp_extract_all(text, F.lit(part), F.lit(2))
+    pattern = rf"(?m)(?:^|\s){name}\s*=\s*{part}(?:\s+{part})?"
     factor = F.create_map(*[F.lit(x) for pair in factors.items() for x in pair])
-    parts = F.zip_with(numbers, names, lambda n, u: n.cast("double") * F.element_at(factor, u))
-    return F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0.0), lambda a, b: a + b))
 
+    def amount(group: int) -> Column:
+        number = F.regexp_extract(text, pattern, group).try_cast("double")
+        return number * F.element_at(factor, F.regexp_extract(text, pattern, group + 1))
 
-def duration_ms(text: Column) -> Column:
-    return _amount(text, DURATION_MS)
+    return amount(1) + F.coalesce(amount(3), F.lit(0.0))
 
 
-def size_bytes(text: Column) -> Column:
-    return _amount(text, SIZE_BYTES)
+def duration_ms(text: Column, name: str = "duration") -> Column:
+    """Milliseconds in a `name = <number> <unit>` line, null without one.
 
+    A long duration is written in two parts, such as `1 m 5 s`.
+    """
+    return _amount(text, name, DURATION_MS)
 
-def field_text(line: Column, name: str) -> Column:
-    """Right-hand side of a `name = text` line, null when the line has another name."""
-    found = F.regexp_extract(line, rf"(?:^|\s){name}\s*=\s*(.*)$", 1)
+
+def size_bytes(text: Column, name: str = "weight") -> Column:
+    """Bytes in a `name = <number> <unit>` line, null without one."""
+    return _amount(text, name, SIZE_BYTES)
+
+
+def field_text(text: Column, name: str) -> Column:
+    """Right-hand side of the first `name = text` line, null without one."""
+    found = F.regexp_extract(text, rf"(?m)(?:^|\s){name}\s*=\s*(.*)$", 1)
     return F.when(found != "", F.trim(found))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import duration_ms, field_text, size_bytes
-from .ordering import number_rows
+from .ordering import BLOCK, join_carry, keep, range_blocks
 
 
 def to_lines(df: DataFrame, file: str, text: str) -> DataFrame:
@@ -60,11 +60,58 @@ def pair_text(df: DataFrame, file: str, text: str, sep: str = "") -> DataFrame:
 
 
 def pair_selected_lines(
-    df: DataFrame, file: str, order_by: str, line: str, sep: str = ""
+    df: DataFrame,
+    file: str,
+    order_by: str,
+    line: str,
+    sep: str = "",
+    blocks: int | None = None,
 ) -> DataFrame:
-    """`pair_lines` for lines left over after a selection, whose numbers have gaps."""
-    numbered = number_rows(df.select(file, order_by, line), [file], [order_by], "_position")
-    return pair_lines(numbered, file, "_position", line, sep)
+    """`pair_lines` for lines left over after a selection, whose numbers have gaps.
+
+    Positions are counted and neighbours found inside blocks of a file; a block with an
+    odd start, or whose last line pairs with the next block, learns so from a summary.
+    """
+    in_block = Window.partitionBy(file, BLOCK).orderBy(order_by)
+    rows = keep(
+        range_blocks(df.select(file, order_by, line), [file], [order_by], blocks).withColumns(
+            {
+                "_i": F.row_number().over(in_block),
+                "_next": F.lead(line).over(in_block),
+                "_more": F.lead(F.lit(True), 1, False).over(in_block),
+            }
+        )
+    )
+    ends = (
+        rows.filter("_i = 1 or not _more")
+        .groupBy(file, BLOCK)
+        .agg(
+            F.max("_i").cast("bigint").alias("_rows"),
+            F.max(F.when(F.col("_i") == 1, F.col(line))).alias("_head"),
+        )
+    )
+    along = Window.partitionBy(file).orderBy(BLOCK)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    # Two rows per block at most: the file that comes in and the file that goes on.
+    carry = ends.select(
+        file,
+        BLOCK,
+        F.sum("_rows").over(earlier).alias("_start"),
+        F.lead("_head").over(along).alias("_following"),
+    ).filter("_start > 0 or _following is not null")
+    position = F.col("_i") + F.coalesce("_start", F.lit(0))
+    second = F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_following"))
+    return (
+        join_carry(rows, carry, [file], broadcast=True)
+        .filter(position % 2 == 1)
+        .select(
+            file,
+            ((position + 1) / 2).cast("bigint").alias("pair_no"),
+            F.col(line).alias("first"),
+            second.alias("second"),
+            F.concat_ws(sep, line, second).alias("pair"),
+        )
+    )
 
 
 def top_k(df: DataFrame, by: str, k: int = 10, weight: Column | None = None) -> DataFrame:
@@ -83,14 +130,11 @@ def allocation_top_k(
     df: DataFrame, file: str, line_no: str, line: str, k: int = 10
 ) -> DataFrame:
     """Classes with the most allocated memory, from `objectClass =` / `weight =` lines."""
-
-    def either(name: str) -> Column:
-        return F.coalesce(field_text(F.col("first"), name), field_text(F.col("second"), name))
-
     chosen = select_lines(df, line, "objectClass", "weight")
-    pairs = pair_selected_lines(chosen, file, line_no, line)
-    samples = pairs.select(
-        either("objectClass").alias("object_class"), size_bytes(either("weight")).alias("_bytes")
+    pair = F.col("pair")
+    samples = pair_selected_lines(chosen, file, line_no, line, "\n").select(
+        field_text(pair, "objectClass").alias("object_class"),
+        size_bytes(pair, "weight").alias("_bytes"),
     )
     return top_k(samples, "object_class", k, F.col("_bytes"))
 
@@ -98,6 +142,6 @@ def allocation_top_k(
 def max_duration(df: DataFrame, line: str, name: str = "duration") -> DataFrame:
     """Line with the longest `duration = <number> <unit>`, whatever the unit, and its
     length in milliseconds; nulls when there is none."""
-    ms = duration_ms(field_text(F.col(line), name))
-    longest = df.select(ms.alias("max_ms"), F.col(line).alias("line")).filter("max_ms is not null")
-    return longest.agg(F.max(F.struct("max_ms", "line")).alias("_l")).select("_l.max_ms", "_l.line")
+    longest = df.agg(F.max(F.struct(duration_ms(F.col(line), name), line)).alias("_l"))
+    ms = F.col("_l.col1")
+    return longest.select(ms.alias("max_ms"), F.when(ms.isNotNull(), F.col(f"_l.{line}")).alias("line"))

@@ -46,17 +46,17 @@ def offset_block(offset: Column, rows: int = 1_000_000) -> Column:
     return offset - F.pmod(offset, F.lit(rows))
 
 
-def join_carry(rows: DataFrame, carry: DataFrame, by: list[str], one_per_block: bool) -> DataFrame:
+def join_carry(rows: DataFrame, carry: DataFrame, by: list[str], broadcast: bool) -> DataFrame:
     """Left join of a per-block table on the block and the keys; null keys are equal.
 
-    With `one_per_block` the table has at most one row per block, whatever the data
-    size, and is broadcast.
+    `broadcast` is for tables of range blocks: one or two rows per block, whatever the
+    data size.
     """
     renamed = carry.withColumnsRenamed({name: f"_carry_{name}" for name in [*by, BLOCK]})
     condition = F.col(BLOCK) == F.col(f"_carry_{BLOCK}")
     for name in by:
         condition = condition & F.col(name).eqNullSafe(F.col(f"_carry_{name}"))
-    return rows.join(F.broadcast(renamed) if one_per_block else renamed, condition, "left")
+    return rows.join(F.broadcast(renamed) if broadcast else renamed, condition, "left")
 
 
 def number_rows(
@@ -77,6 +77,6 @@ def number_rows(
     # table has fewer rows than there are blocks.
     starts = sizes.select(*by, BLOCK, F.sum("_rows").over(earlier).alias("_start"))
     position = F.col("_i") + F.coalesce("_start", F.lit(0))
-    return join_carry(numbered, starts.filter("_start > 0"), by, one_per_block=True).select(
+    return join_carry(numbered, starts.filter("_start > 0"), by, broadcast=True).select(
         *df.columns, position.cast("bigint").alias(name)
     )
