@@ -88,7 +88,7 @@ def sequence_runs(
         .filter(F.col("_before").isNotNull())
         .select(station, BLOCK, "_base", (F.col("_first") == F.col("_before")).alias("_again"))
     )
-    joined = join_carry(pieces, carry, [station], broadcast=block is None)
+    joined = join_carry(pieces, carry, [station], bounded=block is None)
     repeated = ((F.col("_piece") == 0) & F.coalesce("_again", F.lit(False))).cast("int")
     run = F.col("_piece") + F.coalesce("_base", F.lit(0))
     received = F.sum("_different") - F.sum("_repeated")

@@ -102,7 +102,7 @@ def pair_selected_lines(
     position = F.col("_i") + F.coalesce("_start", F.lit(0))
     second = F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_following"))
     return (
-        join_carry(rows, carry, [file], broadcast=True)
+        join_carry(rows, carry, [file], bounded=True)
         .filter(position % 2 == 1)
         .select(
             file,

@@ -142,11 +142,13 @@ def adapt_feed(
     seconds: Column,
     feed: list[str],
     order_by: list[str],
+    block: Column | None = None,
 ) -> DataFrame:
     """Turn documents of an external feed into readings.
 
     `document` holds the JSON text. A number that is absent counts as 0. `s_no` counts
-    the documents of each feed from 1 in the given order, which must be total.
+    the documents of each feed from 1 in the given order, which must be total; `block`
+    cuts the order into pieces, see `number_rows`.
     """
 
     def current(name: str) -> Column:
@@ -164,6 +166,7 @@ def adapt_feed(
         feed,
         order_by,
         "s_no",
+        block,
     )
     return numbered.select(
         *dict.fromkeys([*feed, *order_by]),

@@ -14,6 +14,9 @@ from ..session import shared_folder
 
 BLOCK = "_block"
 
+# Rows of some 40 bytes that may be sent to every executor.
+BROADCAST_ROWS = 500_000
+
 
 def range_blocks(
     df: DataFrame, by: list[str], order_by: list[str], blocks: int | None = None
@@ -46,17 +49,20 @@ def offset_block(offset: Column, rows: int = 1_000_000) -> Column:
     return offset - F.pmod(offset, F.lit(rows))
 
 
-def join_carry(rows: DataFrame, carry: DataFrame, by: list[str], broadcast: bool) -> DataFrame:
+def join_carry(rows: DataFrame, carry: DataFrame, by: list[str], bounded: bool) -> DataFrame:
     """Left join of a per-block table on the block and the keys; null keys are equal.
 
-    `broadcast` is for tables of range blocks: one or two rows per block, whatever the
-    data size.
+    `bounded` is for range blocks: one or two rows per block, whatever the data size.
+    Otherwise the table is counted, and broadcast only if it is small.
     """
+    if not bounded:
+        carry = keep(carry)
+        bounded = carry.count() <= BROADCAST_ROWS
     renamed = carry.withColumnsRenamed({name: f"_carry_{name}" for name in [*by, BLOCK]})
     condition = F.col(BLOCK) == F.col(f"_carry_{BLOCK}")
     for name in by:
         condition = condition & F.col(name).eqNullSafe(F.col(f"_carry_{name}"))
-    return rows.join(F.broadcast(renamed) if broadcast else renamed, condition, "left")
+    return rows.join(F.broadcast(renamed) if bounded else renamed, condition, "left")
 
 
 def number_rows(
@@ -64,19 +70,25 @@ def number_rows(
     by: list[str],
     order_by: list[str],
     name: str = "row_number",
+    block: Column | None = None,
     blocks: int | None = None,
 ) -> DataFrame:
-    """row_number() over (partition by `by` order by `order_by`), counted in blocks."""
+    """row_number() over (partition by `by` order by `order_by`), counted in blocks.
+
+    `block` is a column that cuts the order into pieces, such as `offset_block`; without
+    one the rows are range partitioned, which reads the input a second time for a sample.
+    """
+    if block is None:
+        tagged = range_blocks(df, by, order_by, blocks)
+    else:
+        tagged = df.withColumn(BLOCK, block)
     in_block = Window.partitionBy(*by, BLOCK).orderBy(*order_by)
-    numbered = keep(
-        range_blocks(df, by, order_by, blocks).withColumn("_i", F.row_number().over(in_block))
-    )
+    numbered = keep(tagged.withColumn("_i", F.row_number().over(in_block)))
     earlier = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     sizes = numbered.groupBy(*by, BLOCK).agg(F.max("_i").cast("bigint").alias("_rows"))
-    # Only a key that continues from an earlier block has a start above 0, so this
-    # table has fewer rows than there are blocks.
+    # Only a key that continues from an earlier block has a start above 0.
     starts = sizes.select(*by, BLOCK, F.sum("_rows").over(earlier).alias("_start"))
     position = F.col("_i") + F.coalesce("_start", F.lit(0))
-    return join_carry(numbered, starts.filter("_start > 0"), by, broadcast=True).select(
+    return join_carry(numbered, starts.filter("_start > 0"), by, bounded=block is None).select(
         *df.columns, position.cast("bigint").alias(name)
     )

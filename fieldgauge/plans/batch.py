@@ -104,6 +104,7 @@ def adapt_feed(spark: SparkSession, d: str) -> DataFrame:
         epoch_seconds(F.col("ts")),
         ["event_type"],
         ["event_id"],
+        offset_block(F.col("event_id")),
     ).drop("event_type")
 
 

@@ -41,11 +41,13 @@ def collected(df):
     }
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_number_rows(spark, seed):
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("block", [None, 1, 50, 100_000])
+def test_number_rows(spark, seed, block):
     rows = skewed(seed)
+    pieces = None if block is None else offset_block(F.col("at"), block)
     df = spark.createDataFrame(rows, "key string, at bigint, n bigint")
-    got = {(r.key, r.at): r.i for r in number_rows(df, ["key"], ["at"], "i", 7).collect()}
+    got = {(r.key, r.at): r.i for r in number_rows(df, ["key"], ["at"], "i", pieces, 7).collect()}
     want = {}
     for key in {r[0] for r in rows}:
         for i, at in enumerate(sorted(r[1] for r in rows if r[0] == key), 1):
@@ -62,6 +64,19 @@ def test_sequence_runs(spark, seed, block):
     assert collected(audit.sequence_runs(df, "key", "n", ["at"], blocks)) == runs(rows)
 
 
+def test_large_carry_is_not_broadcast(spark, monkeypatch):
+    rows = skewed(9)
+    df = spark.createDataFrame(rows, "key string, at bigint, n bigint")
+    monkeypatch.setattr("fieldgauge.operators.ordering.BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = audit.sequence_runs(df, "key", "n", ["at"], offset_block(F.col("at"), 10))
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert collected(got) == runs(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("block", [None, 4])
 def test_long_runs_over_many_blocks(spark, block):
     numbers = [i // 3 for i in range(200)] + [5] * 30 + list(range(6, 90, 2))
