@@ -91,7 +91,7 @@ def compact_rebuild(spark: SparkSession, d: str) -> DataFrame:
     log = ChangeLog(spark, scratch(spark, "log"), schema, "user_id", "event_id")
     for batch in range(3):
         log.append(events.filter(F.col("event_id") % 3 == batch), batch)
-    log.compact(through=1)
+    log.compact(through={"main": 1})
     return log.rebuild()
 
 

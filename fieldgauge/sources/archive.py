@@ -22,25 +22,25 @@ def write_archive(
     df: DataFrame,
     path: str,
     station: str = "station_id",
-    batch_id: int | None = None,
+    batch: str | None = None,
     rows_per_file: int | None = None,
 ) -> None:
     """Write rows that carry `year` and `month` into station / year / month folders.
 
     Rows are brought together per folder to get few files. The rebalance hint lets
     Spark cut a folder that outgrows the advisory partition size into several tasks, so
-    one large station does not end up in one. With `batch_id` the folder gets one more
+    one large station does not end up in one. With `batch` the folder gets one more
     level, and writing the same batch again replaces its files only.
     """
     folders = [station, *PARTITIONS]
     out = df.hint("rebalance", *folders)
-    if batch_id is not None:
-        out = out.withColumn("batch", F.lit(batch_id).cast("bigint"))
+    if batch is not None:
+        out = out.withColumn("batch", F.lit(batch))
         folders.append("batch")
     writer = out.write.partitionBy(*folders).option("compression", "snappy")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    if batch_id is None:
+    if batch is None:
         writer.mode("append").parquet(path)
     else:
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)

@@ -1,18 +1,18 @@
 """Change log in batch folders, compacted into snapshots.
 
-    root/batches/b=<id>/        rows written by one micro-batch, replaced if it repeats
-    root/snapshots/<name>/      latest row per key over all batches up to some id
-    root/commits/<number>.json  {"snapshot": <name>, "through": <id>}
+    root/batches/<writer>/b=<id>/  rows of one micro-batch, replaced if it repeats
+    root/snapshots/<name>/         latest row per key over all batches up to some id
+    root/commits/<number>.json     {"snapshot": <name>, "through": {<writer>: <id>}}
 
-The newest commit names the snapshot in force. Readers merge it with the batches after
-`through`. Written folders never change their content and commits are never replaced, so
+A writer is whoever numbers batches from 0, such as one streaming checkpoint. The newest
+commit names the snapshot in force. Readers merge it with the batches after `through`. Written folders never change their content and commits are never replaced, so
 a compaction that dies half way, or a reader that started earlier, sees whole data.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +22,14 @@ from ..operators.latest import latest_per_key
 from ..schema import LOG, LOG_ROWS_PER_FILE
 from .storage import Folder
 
+MAIN = "main"
+
 
 @dataclass(frozen=True)
 class Commit:
     number: int = 0
     snapshot: str | None = None
-    through: int = -1
+    through: dict[str, int] = field(default_factory=dict)
 
 
 class ChangeLog:
@@ -47,7 +49,9 @@ class ChangeLog:
 
     # ---- writing
 
-    def append(self, df: DataFrame, batch_id: int, reduce: bool = True) -> None:
+    def append(
+        self, df: DataFrame, batch_id: int, writer: str = MAIN, reduce: bool = True
+    ) -> None:
         """Write one batch. Repeating a batch id replaces that batch.
 
         Values that are no longer the latest inside the batch cannot be read by anyone,
@@ -56,7 +60,7 @@ class ChangeLog:
         rows = df.select(*self.schema.names)
         if reduce:
             rows = latest_per_key(rows, self.key, self.version).select(*rows.columns)
-        rows.write.mode("overwrite").parquet(f"{self._batches.path}/b={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{self._batches.path}/{writer}/b={batch_id}")
 
     # ---- reading
 
@@ -66,19 +70,26 @@ class ChangeLog:
             return Commit()
         return Commit(int(names[-1].removesuffix(".json")), **self._commits.read_json(names[-1]))
 
-    def closed_batches(self, after: int = -1, through: int | None = None) -> list[int]:
-        """Ids of the completely written batches in the given range."""
-        ids = (int(n.removeprefix("b=")) for n in self._batches.names() if n.startswith("b="))
+    def closed_batches(
+        self, after: dict[str, int] | None = None, through: dict[str, int] | None = None
+    ) -> list[tuple[str, int]]:
+        """Writer and id of the completely written batches in the given range."""
+        after = after or {}
         return sorted(
-            i
-            for i in ids
-            if i > after
-            and (through is None or i <= through)
-            and self._batches.exists(f"b={i}", "_SUCCESS")
+            (writer, i)
+            for writer in self._batches.names()
+            for i in self._batch_ids(writer)
+            if i > after.get(writer, -1)
+            and (through is None or i <= through.get(writer, -1))
+            and self._batches.exists(writer, f"b={i}", "_SUCCESS")
         )
 
-    def _rows(self, snapshot: str | None, batches: list[int]) -> DataFrame:
-        paths = [f"{self._batches.path}/b={i}" for i in batches]
+    def _batch_ids(self, writer: str) -> list[int]:
+        names = Folder(self.spark, f"{self._batches.path}/{writer}").names()
+        return [int(n.removeprefix("b=")) for n in names if n.startswith("b=")]
+
+    def _rows(self, snapshot: str | None, batches: list[tuple[str, int]]) -> DataFrame:
+        paths = [f"{self._batches.path}/{writer}/b={i}" for writer, i in batches]
         if snapshot:
             paths.append(f"{self._snapshots.path}/{snapshot}")
         if not paths:
@@ -94,7 +105,7 @@ class ChangeLog:
     # ---- maintenance
 
     def compact(
-        self, through: int | None = None, rows_per_file: int = LOG_ROWS_PER_FILE
+        self, through: dict[str, int] | None = None, rows_per_file: int = LOG_ROWS_PER_FILE
     ) -> Commit:
         """Merge the closed batches into a new snapshot. Never changes what readers see.
 
@@ -114,7 +125,8 @@ class ChangeLog:
             .write.option("maxRecordsPerFile", rows_per_file)
             .parquet(f"{self._snapshots.path}/{name}")
         )
-        done = Commit(at.number + 1, name, batches[-1])
+        # Sorted by id, so the last id of each writer stays.
+        done = Commit(at.number + 1, name, at.through | dict(batches))
         self._commits.create_json(
             f"{done.number:012d}.json", {"snapshot": name, "through": done.through}
         )
@@ -131,8 +143,8 @@ class ChangeLog:
         kept = [self._commits.read_json(n) for n in names[-max(keep, 1) :]]
         for name in names[: -max(keep, 1)]:
             self._commits.delete(name)
-        for batch in self.closed_batches(through=kept[0]["through"]):
-            self._batches.delete(f"b={batch}")
+        for writer, batch in self.closed_batches(through=kept[0]["through"]):
+            self._batches.delete(f"{writer}/b={batch}")
         in_use = {c["snapshot"] for c in kept}
         newest = int(names[-1].removesuffix(".json"))
         for name in self._snapshots.names():

@@ -18,7 +18,8 @@ from ..operators.messages import (
 )
 from ..schema import POLL_INTERVAL
 from ..sources.archive import with_partitions, write_archive
-from ..sources.change_log import ChangeLog
+from ..sources.change_log import MAIN, ChangeLog
+from ..sources.storage import Folder
 
 # Drain everything that has arrived, in batches, then stop.
 DRAIN = {"availableNow": True}
@@ -29,6 +30,7 @@ def split_batch(
     batch: DataFrame,
     batch_id: int,
     root: str,
+    writer: str = MAIN,
     rows_per_file: int | None = None,
     reject: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
@@ -38,14 +40,15 @@ def split_batch(
     log:          latest value per key; any envelope counts, its content is not read.
     archive:      complete messages, flat.
 
-    Every table is written per batch id, so a batch that runs twice leaves one copy.
+    Every table is written per writer and batch id, so a batch that runs twice leaves
+    one copy, and a query that starts over with a new checkpoint replaces nothing.
     `reject` takes the dead letters instead of the table, to send them to a topic.
     """
 
     def to_table(rows: DataFrame, batch_id: int) -> None:
         # Few rows from many tasks: rebalanced, so that they do not make as many files.
         rows.hint("rebalance").write.mode("overwrite").parquet(
-            f"{root}/dead_letters/b={batch_id}"
+            f"{root}/dead_letters/w={writer}/b={batch_id}"
         )
 
     classified = classify(with_default_key(batch)).persist()
@@ -54,18 +57,23 @@ def split_batch(
         (reject or to_table)(rejected, batch_id)
         accepted = classified.filter(~classified.reason.eqNullSafe(NOT_ENVELOPE))
         ChangeLog(batch.sparkSession, f"{root}/log").append(
-            accepted.withColumnRenamed("offset", "version"), batch_id
+            accepted.withColumnRenamed("offset", "version"), batch_id, writer
         )
         write_archive(
             with_partitions(readings(classified)),
             f"{root}/archive",
-            batch_id=batch_id,
+            batch=f"{writer}-{batch_id}",
             rows_per_file=rows_per_file,
         )
     finally:
         classified.unpersist()
 
 
+def writer_of(batch: DataFrame, checkpoint: str) -> str:
+    """Name of the query that owns a checkpoint; stays the same over restarts."""
+    return Folder(batch.sparkSession, checkpoint).read_json("metadata")["id"]
+
+
 def start_batches(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -91,12 +99,12 @@ def start_ingest(
     reject: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Route a stream of messages; a restart goes on where the checkpoint ends."""
-    return start_batches(
-        messages,
-        lambda batch, batch_id: split_batch(batch, batch_id, root, rows_per_file, reject),
-        checkpoint,
-        trigger,
-    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = writer_of(batch, checkpoint)
+        split_batch(batch, batch_id, root, writer, rows_per_file, reject)
+
+    return start_batches(messages, write, checkpoint, trigger)
 
 
 def start_alerts(
@@ -134,6 +142,6 @@ def start_latest(
     latest = latest_per_key(stream.select(*log.schema.names), log.key, log.version)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log.append(batch, batch_id, reduce=False)
+        log.append(batch, batch_id, writer_of(batch, checkpoint), reduce=False)
 
     return start_batches(latest, write, checkpoint, trigger, "update")

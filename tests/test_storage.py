@@ -40,21 +40,21 @@ def test_update_replaces_and_reopen_keeps(spark, log):
 def test_repeated_batch_counts_once(spark, log):
     for _ in range(2):
         log.append(rows_of(spark, ("a", "1", 1), ("a", "0", 0)), 0)
-    assert spark.read.parquet(f"{log.root}/batches/b=0").count() == 1
+    assert spark.read.parquet(f"{log.root}/batches/main/b=0").count() == 1
 
 
 def test_compaction_never_changes_the_answer(spark, log):
     for batch in range(5):
         log.append(rows_of(spark, *[(f"k{i}", f"v{batch}", batch) for i in range(batch, 10)]), batch)
     before = view_of(log)
-    log.compact(through=2)
+    log.compact(through={"main": 2})
     assert view_of(log) == before
     log.append(rows_of(spark, ("k0", "new", 9)), 5)
-    log.compact(through=3)
+    log.compact(through={"main": 3})
     assert view_of(log) == before | {"k0": "new"}
     log.vacuum()
     assert view_of(log) == before | {"k0": "new"}
-    assert log.closed_batches() == [4, 5]
+    assert log.closed_batches() == [("main", 4), ("main", 5)]
     log.compact()
     log.vacuum()
     assert log.closed_batches() == [] and len(os.listdir(f"{log.root}/snapshots")) == 1
@@ -80,10 +80,20 @@ def test_older_arrival_in_a_later_batch_loses(spark, log):
     assert view_of(log) == {"a": "new"}
 
 
+def test_writers_number_their_batches_alone(spark, log):
+    log.append(rows_of(spark, ("a", "1", 1)), 0, "first")
+    log.compact()
+    log.append(rows_of(spark, ("a", "2", 2)), 0, "second")
+    assert view_of(log) == {"a": "2"}
+    assert log.compact().through == {"first": 0, "second": 0}
+    log.vacuum()
+    assert view_of(log) == {"a": "2"} and log.closed_batches() == []
+
+
 def test_unfinished_batch_and_snapshot_are_not_read(spark, log):
     log.append(rows_of(spark, ("a", "1", 1)), 0)
     log.append(rows_of(spark, ("a", "2", 2)), 1)
-    os.remove(f"{log.root}/batches/b=1/_SUCCESS")
+    os.remove(f"{log.root}/batches/main/b=1/_SUCCESS")
     os.makedirs(f"{log.root}/snapshots/v=1-dead")
     assert view_of(log) == {"a": "1"}
     log.compact()
@@ -94,7 +104,7 @@ def test_two_compactions_cannot_both_commit(spark, log):
     log.append(rows_of(spark, ("a", "1", 1)), 0)
     log.compact()
     with pytest.raises(Exception):
-        log._commits.create_json("000000000001.json", {"snapshot": "x", "through": 0})
+        log._commits.create_json("000000000001.json", {"snapshot": "x", "through": {}})
     assert view_of(log) == {"a": "1"}
 
 
@@ -146,7 +156,7 @@ def test_repeated_archive_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "archive")
     df = archive.with_partitions(spark.createDataFrame(READINGS, READING))
     for batch in (0, 1, 0):
-        archive.write_archive(df, path, batch_id=batch)
+        archive.write_archive(df, path, batch=f"w-{batch}")
     assert archive.read_archive(spark, path).count() == 8
 
 

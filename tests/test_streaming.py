@@ -75,6 +75,16 @@ def test_ingest_and_restart(spark, landing, tmp_path):
     assert state(spark, root) == (DEAD, VIEW | {"3": message(3, 2)}, sorted([*ROWS, (3, 2)]))
 
 
+def test_new_checkpoint_replaces_nothing(spark, landing, tmp_path):
+    root = str(tmp_path / "out")
+    for checkpoint in ("first", "second"):
+        stream = stream_files(spark, landing, MESSAGE, maxFilesPerTrigger=1)
+        start_ingest(stream, root, f"{root}/{checkpoint}", DRAIN).awaitTermination()
+        ChangeLog(spark, f"{root}/log").compact()
+    dead, view, rows = state(spark, root)
+    assert (dead, view, rows) == (DEAD, VIEW, sorted(ROWS * 2))
+
+
 def test_batch_that_runs_twice(spark, tmp_path):
     root = str(tmp_path / "out")
     for batch in (0, 1, 1, 2):
