@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import duration_ms, field_text, size_bytes
-from .ordering import BLOCK, join_carry, keep, range_blocks
+from .ordering import BLOCK, join_carry, keep, offset_block
 
 
 def to_lines(df: DataFrame, file: str, text: str) -> DataFrame:
@@ -62,19 +62,20 @@ def pair_text(df: DataFrame, file: str, text: str, sep: str = "") -> DataFrame:
 def pair_selected_lines(
     df: DataFrame,
     file: str,
-    order_by: str,
+    line_no: str,
     line: str,
     sep: str = "",
-    blocks: int | None = None,
+    block_rows: int = 1_000_000,
 ) -> DataFrame:
     """`pair_lines` for lines left over after a selection, whose numbers have gaps.
 
     Positions are counted and neighbours found inside blocks of a file; a block with an
     odd start, or whose last line pairs with the next block, learns so from a summary.
     """
-    in_block = Window.partitionBy(file, BLOCK).orderBy(order_by)
+    in_block = Window.partitionBy(file, BLOCK).orderBy(line_no)
+    tagged = df.select(file, line_no, line, offset_block(F.col(line_no), block_rows).alias(BLOCK))
     rows = keep(
-        range_blocks(df.select(file, order_by, line), [file], [order_by], blocks).withColumns(
+        tagged.withColumns(
             {
                 "_i": F.row_number().over(in_block),
                 "_next": F.lead(line).over(in_block),
@@ -92,7 +93,7 @@ def pair_selected_lines(
     )
     along = Window.partitionBy(file).orderBy(BLOCK)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    # Two rows per block at most: the file that comes in and the file that goes on.
+    # Files that fill more than one block.
     carry = ends.select(
         file,
         BLOCK,
@@ -102,7 +103,7 @@ def pair_selected_lines(
     position = F.col("_i") + F.coalesce("_start", F.lit(0))
     second = F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_following"))
     return (
-        join_carry(rows, carry, [file], bounded=True)
+        join_carry(rows, carry, [file], bounded=False)
         .filter(position % 2 == 1)
         .select(
             file,

@@ -21,7 +21,7 @@ BATCH_BYTES = 256 * 1024**3
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
     """The events as a stream of several batches.
 
-    A table in one file would be one batch, so it is first cut into four files. A table
+    A table in one file would be one batch, so it is first cut into files for four. A table
     that already has many files is streamed from where it is, in batches of bounded size.
     """
     path = f"{d}/events.parquet"
@@ -29,8 +29,8 @@ def event_stream(spark: SparkSession, d: str) -> DataFrame:
     if Folder(spark, path).is_folder():
         return stream_files(spark, path, events.schema, maxBytesPerTrigger=BATCH_BYTES)
     landed = scratch(spark, "landed")
-    events.repartition(4).write.parquet(landed)
-    return stream_files(spark, landed, events.schema, maxFilesPerTrigger=1)
+    events.repartition(16).write.parquet(landed)
+    return stream_files(spark, landed, events.schema, maxFilesPerTrigger=4)
 
 
 def _ingest(spark: SparkSession, d: str) -> str:

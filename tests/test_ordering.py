@@ -168,8 +168,8 @@ def test_pairs(spark):
         assert {(r.file, r.pair_no): r.pair for r in pairs.collect()} == want
 
 
-@pytest.mark.parametrize("blocks", [1, 7, 64])
-def test_pairs_of_selected_lines(spark, blocks):
+@pytest.mark.parametrize("block_rows", [1, 7, 64, 100_000])
+def test_pairs_of_selected_lines(spark, block_rows):
     rows = [(key, at, f"line {n}") for key, at, n in skewed(5)]
     df = spark.createDataFrame(rows, "file string, at bigint, line string")
     want = {}
@@ -177,7 +177,7 @@ def test_pairs_of_selected_lines(spark, blocks):
         text = [r[2] for r in sorted((r for r in rows if r[0] == key), key=lambda r: r[1])]
         for i in range(0, len(text), 2):
             want[key, i // 2 + 1] = "+".join(text[i : i + 2])
-    pairs = lines.pair_selected_lines(df, "file", "at", "line", "+", blocks)
+    pairs = lines.pair_selected_lines(df, "file", "at", "line", "+", block_rows)
     assert {(r.file, r.pair_no): r.pair for r in pairs.collect()} == want
 
 
