@@ -46,8 +46,8 @@ def duration_ms(text: Column, name: str = "duration") -> Column:
 
 
 def size_bytes(text: Column, name: str = "weight") -> Column:
-    """Bytes in a `name = <number> <unit>` line, null without one."""
-    return _amount(text, name, SIZE_BYTES)
+    """Whole bytes in a `name = <number> <unit>` line, null without one."""
+    return F.round(_amount(text, name, SIZE_BYTES)).cast("bigint")
 
 
 def field_text(text: Column, name: str) -> Column:

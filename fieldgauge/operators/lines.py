@@ -133,11 +133,13 @@ def allocation_top_k(
     """Classes with the most allocated memory, from `objectClass =` / `weight =` lines."""
     chosen = select_lines(df, line, "objectClass", "weight")
     pair = F.col("pair")
-    samples = pair_selected_lines(chosen, file, line_no, line, "\n").select(
+    # Equal pairs are counted first: sizes have few digits, so there are not many to parse.
+    samples = pair_selected_lines(chosen, file, line_no, line, "\n").groupBy("pair").count()
+    parsed = samples.select(
         field_text(pair, "objectClass").alias("object_class"),
-        size_bytes(pair, "weight").alias("_bytes"),
+        (size_bytes(pair, "weight") * F.col("count")).alias("_bytes"),
     )
-    return top_k(samples, "object_class", k, F.col("_bytes"))
+    return top_k(parsed, "object_class", k, F.col("_bytes"))
 
 
 def max_duration(df: DataFrame, line: str, name: str = "duration") -> DataFrame:

@@ -191,7 +191,7 @@ group by user_id order by n desc, user_id limit 10""",
     "top_k_weighted": """select user_id, cast(sum(cast(round("value" * 100) as bigint)) as bigint) as weight
 from events group by user_id order by weight desc, user_id limit 10""",
     "allocation_top_k": """select event_type as object_class,
-    cast(sum(cast(json_extract_string(props, '$.k') as int)) as double) * 1024 as weight
+    cast(sum(cast(json_extract_string(props, '$.k') as int)) * 1024 as bigint) as weight
 from events group by event_type order by weight desc, object_class limit 10""",
     "max_duration": """select "value" * case user_id % 3 when 0 then 0.001::double
         when 1 then 1.0::double else 1000.0::double end as max_ms,
