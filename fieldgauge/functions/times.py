@@ -14,7 +14,7 @@ LAST_SECOND = 253_402_300_799
 
 def utc_date(seconds: Column) -> Column:
     days = (seconds - F.pmod(seconds, F.lit(86_400))) / 86_400
-    return F.date_add(F.lit(datetime.date(1970, 1, 1)), days.cast("int"))
+    return F.date_add(F.lit(datetime.date(1970, 1, 1)), days.try_cast("int"))
 
 
 def in_calendar(seconds: Column) -> Column:

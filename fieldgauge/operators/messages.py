@@ -43,7 +43,7 @@ def with_validity(df: DataFrame, value: str = "value", name: str = "valid") -> D
 def classify(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the fields of a reading, and `reason`: null for a good row.
 
-    The text is parsed once. Every row is kept, so that a caller can send rejected rows
+    Columns of the same names are replaced. The text is parsed once. Every row is kept, so that a caller can send rejected rows
     to a dead letter table and good ones to the archive.
     """
     wire = text_at(list(WIRE_PATHS.values())).add(CORRUPT, "string")
@@ -125,13 +125,12 @@ def normalise_json(df: DataFrame, value: str = "value", spaced: bool = False) ->
 
     Text that is not a complete message is passed through unchanged.
     """
-    names = df.columns
     good = spaced_text() if spaced else F.to_json(envelope())
-    text = F.when(F.col("reason").isNull(), good).otherwise(F.col(value))
-    return (
-        classify(df, value)
-        .withColumn("_text", text)
-        .select(*[F.col("_text").alias(n) if n == value else F.col(n) for n in names])
+    text = F.when(F.col("reason").isNull(), good).otherwise(F.col("_text"))
+    # The row is put aside, since its columns can have the names of reading fields.
+    aside = df.select(F.struct(*df.columns).alias("_row"), F.col(value).alias("_text"))
+    return classify(aside, "_text").select(
+        *[text.alias(n) if n == value else F.col(f"_row.{n}") for n in df.columns]
     )
 
 

@@ -82,6 +82,9 @@ from events group by user_id"""
 
 _EVENT_ROWS = 'select event_id, user_id, event_type, "value" from events'
 
+_SLICE = """select event_id, user_id, "value" from events
+where event_type = 'view' and year(ts) = 2024 and month(ts) = 1"""
+
 _LINES = """with l as (
     select doc_id, unnest(string_split("text", chr(10))) as line,
         unnest(range(1, len(string_split("text", chr(10))) + 1)) as line_no
@@ -199,8 +202,8 @@ from events group by event_type order by weight desc, object_class limit 10""",
 from events order by max_ms desc, line desc limit 1""",
     "archive_round_trip": """select event_id, user_id, event_type, "value",
     cast(year(ts) as int) as year, cast(month(ts) as int) as month from events""",
-    "slice": """select event_id, user_id, "value" from events
-where event_type = 'view' and year(ts) = 2024 and month(ts) = 1""",
+    "slice": _SLICE,
+    "slice_folder": _SLICE,
     "snapshot_csv": _SNAPSHOT,
     "snapshot_csv_quoted": _SNAPSHOT,
     "export_json": _SNAPSHOT,

@@ -25,21 +25,25 @@ EVENT_ROW = T.StructType(
 )
 
 
-def _archive(spark: SparkSession, d: str) -> DataFrame:
+def _archive(spark: SparkSession, d: str) -> str:
     events = archive.with_partitions(table(spark, d, "events"), epoch_seconds(F.col("ts")))
     path = scratch(spark, "archive")
     archive.write_archive(events.select(*EVENT_ROW.names, "year", "month"), path, "event_type")
-    return archive.read_archive(spark, path, EVENT_ROW, "event_type")
+    return path
 
 
 def archive_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    return _archive(spark, d)
+    return archive.read_archive(spark, _archive(spark, d), EVENT_ROW, "event_type")
 
 
 def slice(spark: SparkSession, d: str) -> DataFrame:
-    return archive.read_slice(_archive(spark, d), event_type="view", year=2024, month=1).select(
-        "event_id", "user_id", "value"
-    )
+    part = archive.read_slice(archive_round_trip(spark, d), event_type="view", year=2024, month=1)
+    return part.select("event_id", "user_id", "value")
+
+
+def slice_folder(spark: SparkSession, d: str) -> DataFrame:
+    part = archive.read_folder(spark, _archive(spark, d), "view", 2024, 1, EVENT_ROW, "event_type")
+    return part.select("event_id", "user_id", "value")
 
 
 def _view(spark: SparkSession, d: str) -> DataFrame:
@@ -100,6 +104,7 @@ QUERIES = {
     for f in (
         archive_round_trip,
         slice,
+        slice_folder,
         snapshot_csv,
         snapshot_csv_quoted,
         export_json,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.times import month_text, utc_date
 from ..schema import READING
+from .storage import Folder
 
 PARTITIONS = ("year", "month")
 
@@ -65,7 +66,25 @@ def read_archive(
 
 
 def read_slice(archive: DataFrame, **folder: object) -> DataFrame:
-    """Rows of the given station, year and month; only those folders are listed and read."""
+    """Rows of the given station, year and month; no other folder is scanned."""
     for name, value in folder.items():
         archive = archive.filter(F.col(name) == F.lit(value))
     return archive
+
+
+def read_folder(
+    spark: SparkSession,
+    path: str,
+    station: object,
+    year: int,
+    month: int,
+    data: T.StructType = READING,
+    station_col: str = "station_id",
+) -> DataFrame:
+    """`read_slice` for one folder, without listing the rest of a large archive first."""
+    schema = archive_schema(data, station_col)
+    folder = f"{station_col}={station}/year={year}/month={month:02d}"
+    if not Folder(spark, path).exists(folder):
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(f"{path}/{folder}").select(*schema.names)

@@ -5,8 +5,9 @@
     root/commits/<number>.json     {"snapshot": <name>, "through": {<writer>: <id>}}
 
 A writer is whoever numbers batches from 0, such as one streaming checkpoint. The newest
-commit names the snapshot in force. Readers merge it with the batches after `through`. Written folders never change their content and commits are never replaced, so
-a compaction that dies half way, or a reader that started earlier, sees whole data.
+commit names the snapshot in force. Readers merge it with the batches after `through`.
+Snapshots and commits are never replaced, so a compaction that dies half way, or a reader
+that started earlier, sees whole data.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.latest import latest_per_key

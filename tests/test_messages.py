@@ -138,6 +138,8 @@ def test_normalise(rows):
     assert compact["leading_blanks"] == json.dumps(json.loads(GOOD), separators=(",", ":"))
     assert spaced["leading_blanks"] == GOOD
     assert compact["plain"] == spaced["plain"] == "hello"
+    other = rows.filter("key = 'good'").withColumn("station_id", F.lit("mine"))
+    assert messages.normalise_json(other).first().station_id == "mine"
     quoted = rows.filter("key = 'good'").withColumn(
         "value", F.replace("value", F.lit('"low"'), F.lit(r'"a\"b\n]"'))
     )

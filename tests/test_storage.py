@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldgauge.functions.times import in_calendar, utc_date
-from fieldgauge.operators.latest import latest_per_key, lookup
+from fieldgauge.operators.latest import lookup
 from fieldgauge.schema import READING
 from fieldgauge.sources import archive, exports, feeds, topics
 from fieldgauge.sources.change_log import ChangeLog
@@ -148,6 +148,9 @@ def test_archive(spark, tmp_path, zone):
     assert sorted(tuple(r) for r in back.select(*READING.names).collect()) == sorted(READINGS * 2)
     part = archive.read_slice(back, station_id=1, year=2024, month=5)
     assert {r.s_no for r in part.collect()} == {2}
+    folder = archive.read_folder(spark, path, 1, 2024, 5)
+    assert sorted(folder.collect()) == sorted(part.collect())
+    assert archive.read_folder(spark, path, 9, 2024, 5).count() == 0
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "month#" in plan.split("PartitionFilters:")[1].split("]")[0]
 
