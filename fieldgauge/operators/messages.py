@@ -139,41 +139,43 @@ def adapt_feed(
     document: str,
     station_id: Column,
     seconds: Column,
-    feed: list[str],
-    order_by: list[str],
-    block: Column | None = None,
+    sequence: Column,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Turn documents of an external feed into readings.
+    """Turn documents of an external feed into readings; works on tables and streams.
 
-    `document` holds the JSON text. A number that is absent counts as 0. `s_no` counts
-    the documents of each feed from 1 in the given order, which must be total; `block`
-    cuts the order into pieces, see `number_rows`.
+    `document` holds the JSON text; a number that is absent counts as 0. `sequence` is
+    the number of the document within its feed, for instance its offset in a topic.
     """
 
     def current(name: str) -> Column:
         return F.coalesce(loose_double(F.col(f"_j.current.{name}")), F.lit(0.0))
 
-    numbered = number_rows(
-        with_parsed(df, F.col(document), FEED, "_j").select(
-            *dict.fromkeys([*feed, *order_by]),
-            station_id.alias("_station"),
-            seconds.alias("_seconds"),
-            cut_to_int(current("relative_humidity_2m")).alias("humidity"),
-            cut_to_int(current("temperature_2m")).alias("temperature"),
-            cut_to_int(current("wind_speed_10m")).alias("wind_speed"),
-        ),
-        feed,
-        order_by,
-        "s_no",
-        block,
-    )
-    return numbered.select(
-        *dict.fromkeys([*feed, *order_by]),
-        F.col("_station").alias("station_id"),
-        "s_no",
+    return with_parsed(df, F.col(document), FEED, "_j").select(
+        *(keep or []),
+        station_id.alias("station_id"),
+        sequence.cast("bigint").alias("s_no"),
         F.lit(FEED_BATTERY).alias("battery_status"),
-        F.col("_seconds").alias("status_timestamp"),
-        "humidity",
-        "temperature",
-        "wind_speed",
+        seconds.alias("status_timestamp"),
+        cut_to_int(current("relative_humidity_2m")).alias("humidity"),
+        cut_to_int(current("temperature_2m")).alias("temperature"),
+        cut_to_int(current("wind_speed_10m")).alias("wind_speed"),
     )
+
+
+def adapt_ordered_feed(
+    df: DataFrame,
+    document: str,
+    station_id: Column,
+    seconds: Column,
+    feed: list[str],
+    order_by: list[str],
+    block: Column | None = None,
+) -> DataFrame:
+    """`adapt_feed` for a table, with `s_no` counted from 1 in each feed.
+
+    `order_by` must be total; `block` cuts it into pieces, see `number_rows`.
+    """
+    keep = list(dict.fromkeys([*feed, *order_by]))
+    parsed = adapt_feed(df, document, station_id, seconds, F.lit(0), keep).drop("s_no")
+    return number_rows(parsed, feed, order_by, "s_no", block).select(*keep, *READING.names)

@@ -97,7 +97,7 @@ def feed_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def adapt_feed(spark: SparkSession, d: str) -> DataFrame:
-    return msg.adapt_feed(
+    return msg.adapt_ordered_feed(
         feed_documents(spark, d),
         "document",
         F.lit(11).cast("bigint"),
@@ -108,6 +108,16 @@ def adapt_feed(spark: SparkSession, d: str) -> DataFrame:
     ).drop("event_type")
 
 
+def adapt_feed_by_offset(spark: SparkSession, d: str) -> DataFrame:
+    return msg.adapt_feed(
+        feed_documents(spark, d),
+        "document",
+        F.lit(11).cast("bigint"),
+        epoch_seconds(F.col("ts")),
+        F.col("event_id") + 1,
+    )
+
+
 def status_share(spark: SparkSession, d: str) -> DataFrame:
     return audit.status_share(table(spark, d, "events"), "user_id", "event_type")
 
@@ -225,6 +235,7 @@ QUERIES = {
         normalise_value,
         normalise_spaced,
         adapt_feed,
+        adapt_feed_by_offset,
         status_share,
         sequence_audit,
         sequence_runs,

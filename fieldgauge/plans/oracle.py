@@ -82,6 +82,11 @@ from events group by user_id"""
 
 _EVENT_ROWS = 'select event_id, user_id, event_type, "value" from events'
 
+_FEED = """cast(11 as bigint) as station_id, 'high' as battery_status,
+    cast(floor(epoch(ts)) as bigint) as status_timestamp,
+    cast(json_extract_string(props, '$.k') as int) as humidity,
+    cast(trunc("value") as int) as temperature, cast(trunc("value" / 2) as int) as wind_speed"""
+
 _SLICE = """select event_id, user_id, "value" from events
 where event_type = 'view' and year(ts) = 2024 and month(ts) = 1"""
 
@@ -145,12 +150,9 @@ select "offset", case when reason is not null then v else
     || humidity || ', "temperature": ' || temperature || ', "wind_speed": ' || wind_speed || '}}}}'
     end as "value"
 from classified""",
-    "adapt_feed": """select event_id, cast(11 as bigint) as station_id,
-    row_number() over (partition by event_type order by event_id) as s_no,
-    'high' as battery_status, cast(floor(epoch(ts)) as bigint) as status_timestamp,
-    cast(json_extract_string(props, '$.k') as int) as humidity,
-    cast(trunc("value") as int) as temperature, cast(trunc("value" / 2) as int) as wind_speed
-from events""",
+    "adapt_feed": f"""select event_id,
+    row_number() over (partition by event_type order by event_id) as s_no, {_FEED} from events""",
+    "adapt_feed_by_offset": f"select event_id + 1 as s_no, {_FEED} from events",
     "status_share": """select user_id, event_type, count(*) as n,
     cast(count(*) as double) * 100 / cast(sum(count(*)) over (partition by user_id) as double) as pct
 from events group by user_id, event_type""",

@@ -163,7 +163,7 @@ def test_adapt_feed(spark):
         ("a", 4, '{"current":{"temperature_2m":1e12}}'),
     ]
     df = spark.createDataFrame(docs, "feed string, n bigint, doc string")
-    got = messages.adapt_feed(
+    got = messages.adapt_ordered_feed(
         df, "doc", F.lit(11).cast("bigint"), F.lit(100).cast("bigint"), ["feed"], ["n"]
     )
     rows = {

@@ -1,5 +1,6 @@
 import csv
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +117,26 @@ def test_snapshot_files_are_bounded(spark, log):
     assert all(spark.read.parquet(f"{folder}/{f}").count() <= 10 for f in files)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_random_batches_and_compactions(spark, log, seed):
+    rng, want, version = random.Random(seed), {}, 0
+    for batch in range(6):
+        rows = []
+        for _ in range(rng.randrange(1, 30)):
+            version += 1
+            key = rng.choice("aaaabcd")
+            rows.append((key, f"v{version}", version))
+            want[key] = f"v{version}"
+        rng.shuffle(rows)
+        log.append(rows_of(spark, *rows), batch)
+        step = rng.choice(["compact", "vacuum", "both", "none"])
+        if step in ("compact", "both"):
+            log.compact()
+        if step in ("vacuum", "both"):
+            log.vacuum()
+        assert view_of(log) == want
+
+
 def test_lookup_reaches_the_scan(spark, log):
     log.append(rows_of(spark, ("a", "1", 1), ("b", "2", 2)), 0)
     log.compact()
@@ -173,7 +194,8 @@ def test_archive_file_size(spark, tmp_path):
     assert len(files) >= 4
 
 
-def test_large_station_is_written_by_several_tasks(spark, tmp_path):
+@pytest.mark.parametrize("batch", [None, "w-1"])
+def test_large_station_is_written_by_several_tasks(spark, tmp_path, batch):
     path = str(tmp_path / "archive")
     df = spark.range(0, 400_000, 1, 16).select(
         F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id") % 5 + 2).alias("station_id"),
@@ -183,12 +205,13 @@ def test_large_station_is_written_by_several_tasks(spark, tmp_path):
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
     try:
-        archive.write_archive(df, path)
+        archive.write_archive(df, path, batch=batch)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
     def files(station):
-        return [f for f in os.listdir(f"{path}/station_id={station}/year=2024/month=01") if f.endswith(".parquet")]
+        folder = f"{path}/station_id={station}/year=2024/month=01"
+        return [f for _, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
 
     assert len(files(1)) > 4
     assert len(files(2)) <= 2

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldgauge.operators.latest import latest_per_key
+from fieldgauge.operators.messages import adapt_feed
 from fieldgauge.schema import LOG, MESSAGE
 from fieldgauge.sources.archive import read_archive
 from fieldgauge.sources.change_log import ChangeLog
+from fieldgauge.sources.feeds import stream_documents
 from fieldgauge.sources.topics import stream_files
 from fieldgauge.streaming.ingest import DRAIN, split_batch, start_alerts, start_ingest, start_latest
 
@@ -133,3 +135,19 @@ def test_single_file_as_stream(spark, landing):
     query = stream.writeStream.format("memory").queryName("one").trigger(**DRAIN).start()
     query.awaitTermination()
     assert spark.table("one").count() in {len(b) for b in BATCHES}
+
+
+def test_feed_as_stream(spark, tmp_path):
+    path = tmp_path / "feed"
+    path.mkdir()
+    for i in range(3):
+        (path / f"{i}.json").write_text(
+            json.dumps({"current": {"temperature_2m": 20.9 + i, "relative_humidity_2m": 60 + i}}) + "\n"
+        )
+    readings = adapt_feed(
+        stream_documents(spark, str(path)), "value", F.lit(11), F.lit(1714521600), F.lit(1)
+    )
+    query = readings.writeStream.format("memory").queryName("feed").trigger(**DRAIN).start()
+    query.awaitTermination()
+    rows = {(r.humidity, r.temperature, r.wind_speed) for r in spark.table("feed").collect()}
+    assert rows == {(60, 20, 0), (61, 21, 0), (62, 22, 0)}
