@@ -31,7 +31,7 @@ def latest_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, d: str) -> DataFrame:
-    return latest.lookup(latest_per_key(spark, d), "user_id", 42).select(
+    return latest.lookup(latest_per_key(spark, d), "user_id", 7).select(
         "user_id", "event_id", "event_type"
     )
 

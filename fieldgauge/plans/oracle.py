@@ -125,7 +125,7 @@ from events group by user_id""",
     "latest_orders": """select o_custkey, o_orderkey, o_orderdate, o_totalprice from (
     select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
     from orders) where rn = 1""",
-    "lookup": f"select * from ({_LATEST}) where user_id = 42",
+    "lookup": f"select * from ({_LATEST}) where user_id = 7",
     "alert_filter": """select event_id, cast(json_extract_string(props, '$.k') as int) as k
 from events where cast(json_extract_string(props, '$.k') as int) > 70""",
     "alert_render": _ALERTS,

@@ -43,7 +43,7 @@ def test_only_needed_columns_are_read(spark, name, columns):
 
 
 def test_lookup_filters_the_scan(spark):
-    assert "EqualTo(user_id,42)" in plan(spark, "lookup")
+    assert "EqualTo(user_id,7)" in plan(spark, "lookup")
 
 
 def test_slice_reads_one_folder(spark):

@@ -2,6 +2,8 @@ import csv
 import os
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,6 +186,21 @@ def test_repeated_archive_batch_replaces_itself(spark, tmp_path):
     assert archive.read_archive(spark, path).count() == 8
 
 
+def test_files_that_hold_the_station_too(spark, tmp_path):
+    # As other writers leave them; the folder counts.
+    folder = tmp_path / "station_id=1" / "year=2024" / "month=05"
+    folder.mkdir(parents=True)
+    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    columns = {
+        f.name: pa.array([v], types[f.dataType.simpleString()])
+        for f, v in zip(READING.fields, READINGS[1])
+    }
+    columns["station_id"] = pa.array([3_000_000_000], pa.int64())
+    pq.write_table(pa.table(columns), folder / "1714521600000.parquet")
+    row = archive.read_slice(archive.read_archive(spark, str(tmp_path)), month=5).first()
+    assert (row.station_id, row.s_no, row.month) == (1, 2, 5)
+
+
 def test_archive_file_size(spark, tmp_path):
     path = str(tmp_path / "archive")
     df = spark.range(100).select(
