@@ -25,6 +25,7 @@ def write_archive(
     station: str = "station_id",
     batch: str | None = None,
     rows_per_file: int | None = None,
+    gather: bool = True,
 ) -> None:
     """Write rows that carry `year` and `month` into station / year / month folders.
 
@@ -32,9 +33,12 @@ def write_archive(
     Spark cut a folder that outgrows the advisory partition size into several tasks, so
     one large station does not end up in one. With `batch` the folder gets one more
     level, and writing the same batch again replaces its files only.
+
+    `gather=False` saves the shuffle where each input partition holds few stations
+    anyway, as those of a keyed topic do.
     """
     folders = [station, *PARTITIONS]
-    out = df.hint("rebalance", *folders)
+    out = df.hint("rebalance", *folders) if gather else df
     if batch is not None:
         out = out.withColumn("batch", F.lit(batch))
         folders.append("batch")

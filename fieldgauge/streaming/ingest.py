@@ -31,8 +31,8 @@ def split_batch(
     batch_id: int,
     root: str,
     writer: str = MAIN,
-    rows_per_file: int | None = None,
     reject: Callable[[DataFrame, int], None] | None = None,
+    **archive_options: object,
 ) -> None:
     """Send one batch of messages to its three tables below `root`.
 
@@ -43,6 +43,7 @@ def split_batch(
     Every table is written per writer and batch id, so a batch that runs twice leaves
     one copy, and a query that starts over with a new checkpoint replaces nothing.
     `reject` takes the dead letters instead of the table, to send them to a topic.
+    `archive_options` are those of `write_archive`.
     """
 
     def to_table(rows: DataFrame, batch_id: int) -> None:
@@ -63,7 +64,7 @@ def split_batch(
             with_partitions(readings(classified)),
             f"{root}/archive",
             batch=f"{writer}-{batch_id}",
-            rows_per_file=rows_per_file,
+            **archive_options,
         )
     finally:
         classified.unpersist()
@@ -95,14 +96,16 @@ def start_ingest(
     root: str,
     checkpoint: str,
     trigger: dict | None = None,
-    rows_per_file: int | None = None,
-    reject: Callable[[DataFrame, int], None] | None = None,
+    **options: object,
 ) -> StreamingQuery:
-    """Route a stream of messages; a restart goes on where the checkpoint ends."""
+    """Route a stream of messages; a restart goes on where the checkpoint ends.
+
+    `options` are those of `split_batch`.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = writer_of(batch, checkpoint)
-        split_batch(batch, batch_id, root, writer, rows_per_file, reject)
+        split_batch(batch, batch_id, root, writer, **options)
 
     return start_batches(messages, write, checkpoint, trigger)
 

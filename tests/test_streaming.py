@@ -90,7 +90,8 @@ def test_new_checkpoint_replaces_nothing(spark, landing, tmp_path):
 def test_batch_that_runs_twice(spark, tmp_path):
     root = str(tmp_path / "out")
     for batch in (0, 1, 1, 2):
-        split_batch(spark.createDataFrame(BATCHES[batch], MESSAGE), batch, root)
+        rows = spark.createDataFrame(BATCHES[batch], MESSAGE)
+        split_batch(rows, batch, root, gather=batch != 2, rows_per_file=1)
     assert state(spark, root) == (DEAD, VIEW, ROWS)
 
 
