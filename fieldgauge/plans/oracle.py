@@ -217,8 +217,8 @@ from events order by max_ms desc, line desc limit 1""",
     "stream_dead_letters": _DEAD_LETTERS,
     "stream_archive": f"""with {_MESSAGES}
 select station_id, s_no, battery_status, status_timestamp, humidity, temperature, wind_speed,
-    cast(year(to_timestamp(status_timestamp) at time zone 'UTC') as int) as year,
-    cast(month(to_timestamp(status_timestamp) at time zone 'UTC') as int) as month
+    cast(year(make_timestamp(status_timestamp * 1000000)) as int) as year,
+    cast(month(make_timestamp(status_timestamp * 1000000)) as int) as month
 from classified where reason is null""",
     "stream_view": f"""with {_MESSAGES}, k as (
     select coalesce("key", 'unknown_station') as "key", v as "value", "offset" as version

@@ -18,7 +18,6 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    con.execute("set timezone = 'UTC'")
     for name in TABLES:
         con.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
     return con
