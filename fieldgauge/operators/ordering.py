@@ -14,8 +14,9 @@ from ..session import shared_folder
 
 BLOCK = "_block"
 
-# Rows of some 40 bytes that may be sent to every executor.
-BROADCAST_ROWS = 500_000
+# Size of a table that may be sent to every executor, and of a row without its texts.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 64
 
 
 def range_blocks(
@@ -49,15 +50,23 @@ def offset_block(offset: Column, rows: int = 1_000_000) -> Column:
     return offset - F.pmod(offset, F.lit(rows))
 
 
+def _bytes(df: DataFrame) -> int:
+    size = F.lit(ROW_BYTES)
+    for name, kind in df.dtypes:
+        if kind == "string":
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
 def join_carry(rows: DataFrame, carry: DataFrame, by: list[str], bounded: bool) -> DataFrame:
     """Left join of a per-block table on the block and the keys; null keys are equal.
 
     `bounded` is for range blocks: one or two rows per block, whatever the data size.
-    Otherwise the table is counted, and broadcast only if it is small.
+    Otherwise its bytes are counted, and it is broadcast only if it is small.
     """
     if not bounded:
         carry = keep(carry)
-        bounded = carry.count() <= BROADCAST_ROWS
+        bounded = _bytes(carry) <= BROADCAST_BYTES
     renamed = carry.withColumnsRenamed({name: f"_carry_{name}" for name in [*by, BLOCK]})
     condition = F.col(BLOCK) == F.col(f"_carry_{BLOCK}")
     for name in by:

@@ -67,7 +67,7 @@ def test_sequence_runs(spark, seed, block):
 def test_large_carry_is_not_broadcast(spark, monkeypatch):
     rows = skewed(9)
     df = spark.createDataFrame(rows, "key string, at bigint, n bigint")
-    monkeypatch.setattr("fieldgauge.operators.ordering.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("fieldgauge.operators.ordering.BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         got = audit.sequence_runs(df, "key", "n", ["at"], offset_block(F.col("at"), 10))
