@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -14,6 +15,9 @@ TABLES = (
 ).split()
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
+# The queries of the folder for training data have their own tests.
+NAMES = [name for name in contract.queries() if not re.match(r"op\d+_|pipeline$", name)]
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -43,14 +47,14 @@ def rows(names, data):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(NAMES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
     got = contract.queries()[name](spark, SF_DIR)
     want = duck.execute(contract.oracle_sql()[name])
