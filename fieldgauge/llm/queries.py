@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import packing, prefix_counts, token_files
+from . import packing, prefix_counts, simhash, token_files
 from .common import table
 from .tokens import vocabulary
 
@@ -28,6 +28,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id"
+    )
+
+
 def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = prefix_counts.with_prefix_steps(docs, vocabulary(VOCABULARY)).select(
@@ -42,6 +48,7 @@ def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
     "op7_prefix_token_counts": op7_prefix_token_counts,
 }
 ORACLE: dict[str, str] = {}
