@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import packing, prefix_counts, simhash, token_files
+from . import line_dedup, packing, prefix_counts, simhash, token_files
 from .common import table
 from .tokens import vocabulary
 
@@ -45,10 +45,16 @@ def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, removed="removed_lines")
+
+
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
     "op7_prefix_token_counts": op7_prefix_token_counts,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {}
