@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import line_dedup, packing, prefix_counts, simhash, token_files
+from . import decontaminate, line_dedup, packing, prefix_counts, simhash, token_files
 from .common import table
 from .tokens import vocabulary
 
@@ -34,6 +34,10 @@ def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = prefix_counts.with_prefix_steps(docs, vocabulary(VOCABULARY)).select(
@@ -54,6 +58,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
+    "op5_decontamination": op5_decontamination,
     "op7_prefix_token_counts": op7_prefix_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
