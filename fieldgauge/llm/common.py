@@ -14,6 +14,8 @@ from ..session import scratch
 
 # Text that a Python worker takes at once. The record bound is Spark's own default.
 BATCH_BYTES = 8 << 20
+# Bytes that separate words: ASCII but letters and digits.
+_BLANK = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,3 +56,24 @@ def text_slices(texts: pa.Array, size: int = BATCH_BYTES // 2) -> Iterator[tuple
         stop = max(start + 1, int(np.searchsorted(ends, base + size, "right")))
         yield start, texts.slice(start, stop - start)
         start = stop
+
+
+def plain_words(texts: pa.Array) -> pa.ListArray:
+    """Lower-case words without ASCII punctuation; a text without any has one empty word."""
+    raw = [t.lower().encode().translate(_BLANK).strip() for t in texts.to_pylist()]
+    return pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
+
+
+def isotonic(scores: list[float], hits: list[float], counts: list[float]) -> list[tuple[float, float]]:
+    """Points (score, share of hits) of the rising step function nearest to the data.
+
+    Neighbouring groups whose shares fall are pooled. A point stands at the mean score of
+    its group; between points one interpolates.
+    """
+    pools: list[list[float]] = []
+    for score, hit, count in sorted(zip(scores, hits, counts)):
+        pools.append([score * count, hit, count])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    return [(score / count, hit / count) for score, hit, count in pools]

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, text_array, text_slices
+from .common import bound_batches, plain_words, text_array, text_slices
 
 GRAM = 3
 THRESHOLD = 0.5
@@ -34,9 +34,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 200_000
 ALIGNED_AT_ONCE = 256
 
-# Bytes that separate words: ASCII but letters and digits.
-_BLANK = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
-
 FOUND = T.ArrayType(
     T.StructType(
         [
@@ -49,12 +46,6 @@ FOUND = T.ArrayType(
 )
 
 
-def plain_words(texts: pa.Array) -> pa.ListArray:
-    """Lower-case words without ASCII punctuation; a text without any has one empty word."""
-    raw = [t.lower().encode().translate(_BLANK).strip() for t in texts.to_pylist()]
-    return pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
-
-
 @dataclass
 class Items:
     """Items of one block: words by number, and the n-grams that lead to them."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import decontaminate, line_dedup, packing, prefix_counts, simhash, token_files
+from . import decontaminate, line_dedup, packing, prefix_counts, quality, simhash, token_files, toxicity
 from .common import table
 from .tokens import vocabulary
 
@@ -14,6 +14,11 @@ VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(VOCABULARY))
@@ -49,17 +54,24 @@ def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, removed="removed_lines")
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_token_files": op2_token_files,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
     "op5_decontamination": op5_decontamination,
     "op7_prefix_token_counts": op7_prefix_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {}
