@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import decontaminate, line_dedup, packing, prefix_counts, quality, simhash, token_files, toxicity
+from . import decontaminate, line_dedup, packing, prefix_counts, quality, simhash, token_files, topk, toxicity, url_filter
 from .common import table
 from .tokens import vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+URL_RULES = (
+    url_filter.Rule("net/", "block"),
+    url_filter.Rule("example.net/en/", "allow"),
+    url_filter.Rule("example.com/de/", "block"),
+    url_filter.Rule("org/fr/", "allow"),
+)
+QUERY_STEP = 50
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +50,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = prefix_counts.with_prefix_steps(docs, vocabulary(VOCABULARY)).select(
@@ -59,6 +70,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(topk.vector_blocks(vectors), vectors.where(F.col("vec_id") % QUERY_STEP == 0))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, removed="removed_lines")
@@ -70,8 +86,28 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
     "op5_decontamination": op5_decontamination,
+    "op6_url_filter": op6_url_filter,
     "op7_prefix_token_counts": op7_prefix_token_counts,
     "op8_toxicity": op8_toxicity,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE: dict[str, str] = {}
+# The other operators end in hashes, models or vocabulary files that SQL has no functions
+# for; tests hold them against brute force.
+ORACLE = {
+    "op9_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS n
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(CAST(q.n AS DOUBLE[]), CAST(c.n AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.n) = len(c.n)
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+        WHERE rank <= 5""",
+}
