@@ -1,22 +1,54 @@
-"""Cleaning and packing of a corpus, stage by stage."""
+"""Cleaning and packing of a corpus, stage by stage.
+
+Every stage but the last returns the columns of `documents`. Each works on all rows that
+the stage before has kept; the docstrings of the operators say what becomes of nulls,
+empty texts, repeated rows and empty tables.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldgauge.llm import packing
+from fieldgauge.llm import decontaminate, line_dedup, packing, quality, simhash
 from fieldgauge.llm.common import stored, table
 from fieldgauge.llm.queries import VOCABULARY
 from fieldgauge.llm.tokens import vocabulary
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score reaches the threshold."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.keep_good(docs, model)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the blocks of lines that earlier ones have."""
+    return line_dedup.dedup_lines(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no item of the benchmark is found."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 4096 tokens with their place in the sequences."""
+    """Pieces of at most 4096 tokens with their ids and their place in the sequences."""
     return packing.pack(docs, vocabulary(VOCABULARY))
 
 
-STAGES = [("pack", pack)]
-# Token ids, fingerprints and models are beyond SQL; the tests hold the stages against
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_repeated_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("best-fit packing", pack),
+]
+# Models, fingerprints and token ids are beyond SQL; the tests hold the stages against
 # brute force instead.
 ORACLE_SQL = None
 
@@ -25,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
