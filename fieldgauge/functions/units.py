@@ -24,17 +24,25 @@ SIZE_BYTES = {
 }
 
 
+# A character that no report holds, to cut the parts of a match apart.
+_CUT = "\x01"
+
+
 def _amount(text: Column, name: str, factors: dict[str, float]) -> Column:
     units = "|".join(factors)
     part = rf"([0-9]+(?:\.[0-9]+)?)\s*({units})\b"
-    pattern = rf"(?m)(?:^|\s){name}\s*=\s*{part}(?:\s+{part})?"
+    # One search per line: the text is replaced by the parts of its first match.
+    pattern = rf"(?ms)\A.*?(?:^|\s){name}\s*=\s*{part}(?:\s+{part})?.*\z"
+    found = F.split(F.regexp_replace(text, pattern, rf"{_CUT}$1{_CUT}$2{_CUT}$3{_CUT}$4"), _CUT)
     factor = F.create_map(*[F.lit(x) for pair in factors.items() for x in pair])
 
-    def amount(group: int) -> Column:
-        number = F.regexp_extract(text, pattern, group).try_cast("double")
-        return number * F.element_at(factor, F.regexp_extract(text, pattern, group + 1))
+    def amount(at: int) -> Column:
+        return F.get(found, F.lit(at)).try_cast("double") * F.element_at(factor, F.get(found, F.lit(at + 1)))
 
-    return amount(1) + F.coalesce(amount(3), F.lit(0.0))
+    # Without a match there is no cut at the beginning.
+    return F.when(F.startswith(text, F.lit(_CUT)), None).when(
+        F.get(found, F.lit(0)) == "", amount(1) + F.coalesce(amount(3), F.lit(0.0))
+    )
 
 
 def duration_ms(text: Column, name: str = "duration") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import BLOCK, join_carry, keep, range_blocks
+from .ordering import BLOCK, keep, of_mark, range_blocks, with_marks
 
 
 def status_share(df: DataFrame, station: str, status: str) -> DataFrame:
@@ -55,12 +55,13 @@ def sequence_runs(
     else:
         tagged = narrow.select(*wanted, block.alias(BLOCK))
 
-    # Pieces of runs inside each block: as a rule far fewer rows than the input.
+    # Pieces of runs inside each block: many when numbers fall often, few when producers
+    # seldom restart.
     arrival = Window.partitionBy(station, BLOCK).orderBy(*order_by)
     previous = F.lag(seq).over(arrival)
     falls = F.coalesce((F.col(seq) < previous).cast("int"), F.lit(0))
     rises = F.coalesce((F.col(seq) > previous).cast("int"), F.lit(0))
-    pieces = keep(
+    pieces = (
         tagged.withColumns({"_fall": falls, "_rise": rises})
         .withColumn("_piece", F.sum("_fall").over(arrival))
         .groupBy(station, BLOCK, "_piece")
@@ -72,6 +73,9 @@ def sequence_runs(
             (F.sum("_rise") + 1).alias("_different"),
         )
     )
+    if block is None:
+        # The pieces are used twice, and range bounds can differ between two runs.
+        pieces = keep(pieces)
 
     # One row per block: how it joins the block before, and the runs started so far.
     ends = pieces.groupBy(station, BLOCK).agg(
@@ -84,13 +88,20 @@ def sequence_runs(
     started = F.lag("_falls").over(along) + (F.col("_first") < before).cast("int")
     carry = (
         ends.withColumns({"_before": before, "_started": started})
-        .withColumn("_base", F.sum("_started").over(along))
-        .filter(F.col("_before").isNotNull())
-        .select(station, BLOCK, "_base", (F.col("_first") == F.col("_before")).alias("_again"))
+        .withColumn("_base", F.coalesce(F.sum("_started").over(along), F.lit(0)))
+        .select(
+            station,
+            BLOCK,
+            "_base",
+            F.coalesce(F.col("_first") == F.col("_before"), F.lit(False)).alias("_again"),
+        )
     )
-    joined = join_carry(pieces, carry, [station], bounded=block is None)
-    repeated = ((F.col("_piece") == 0) & F.coalesce("_again", F.lit(False))).cast("int")
-    run = F.col("_piece") + F.coalesce("_base", F.lit(0))
+    both, in_block, is_row = with_marks(pieces, carry, [station], ["_piece"])
+    joined = both.withColumns(
+        {"_from": of_mark("_base", in_block), "_repeat": of_mark("_again", in_block)}
+    ).filter(is_row)
+    repeated = ((F.col("_piece") == 0) & F.col("_repeat")).cast("int")
+    run = F.col("_piece") + F.col("_from")
     received = F.sum("_different") - F.sum("_repeated")
     first_no, last_no = F.min("_lo"), F.max("_hi")
     return (
@@ -117,12 +128,19 @@ def sequence_runs(
 def cadence_audit(
     df: DataFrame, station: str, seconds: str, every: int = 1
 ) -> DataFrame:
-    """Messages lost per station at one message per `every` seconds."""
+    """Messages lost per station at one message per `every` seconds.
+
+    Several messages of one second count as one received; the others are `repeated`, so
+    that a repeat cannot hide a loss.
+    """
+    # By second first, which spreads a large station over all tasks.
+    per_second = df.filter(F.col(seconds).isNotNull()).groupBy(station, seconds).agg(F.count(F.lit(1)).alias("_n"))
     spanned = F.max(seconds) - F.min(seconds)
     expected = F.floor(spanned / every).cast("bigint") + 1
     received = F.count(F.lit(1))
-    return df.groupBy(station).agg(
+    return per_second.groupBy(station).agg(
         expected.alias("expected"),
         received.alias("received"),
+        (F.sum("_n") - received).alias("repeated"),
         (expected - received).alias("dropped"),
     )

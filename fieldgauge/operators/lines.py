@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import duration_ms, field_text, size_bytes
-from .ordering import BLOCK, join_carry, keep, offset_block
+from .ordering import BLOCK, of_mark, offset_block, with_marks
 
 
 def to_lines(df: DataFrame, file: str, text: str) -> DataFrame:
@@ -72,47 +72,36 @@ def pair_selected_lines(
     Positions are counted and neighbours found inside blocks of a file; a block with an
     odd start, or whose last line pairs with the next block, learns so from a summary.
     """
-    in_block = Window.partitionBy(file, BLOCK).orderBy(line_no)
-    tagged = df.select(file, line_no, line, offset_block(F.col(line_no), block_rows).alias(BLOCK))
-    rows = keep(
-        tagged.withColumns(
-            {
-                "_i": F.row_number().over(in_block),
-                "_next": F.lead(line).over(in_block),
-                "_more": F.lead(F.lit(True), 1, False).over(in_block),
-            }
-        )
-    )
-    ends = (
-        rows.filter("_i = 1 or not _more")
-        .groupBy(file, BLOCK)
-        .agg(
-            F.max("_i").cast("bigint").alias("_rows"),
-            F.max(F.when(F.col("_i") == 1, F.col(line))).alias("_head"),
-        )
-    )
+    rows = df.select(file, line_no, line, offset_block(F.col(line_no), block_rows).alias(BLOCK))
     along = Window.partitionBy(file).orderBy(BLOCK)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    # Files that fill more than one block.
-    carry = ends.select(
-        file,
-        BLOCK,
-        F.sum("_rows").over(earlier).alias("_start"),
-        F.lead("_head").over(along).alias("_following"),
-    ).filter("_start > 0 or _following is not null")
-    position = F.col("_i") + F.coalesce("_start", F.lit(0))
-    second = F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_following"))
-    return (
-        join_carry(rows, carry, [file], bounded=False)
-        .filter(position % 2 == 1)
+    marks = (
+        rows.groupBy(file, BLOCK)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min_by(line, line_no).alias("_head"))
         .select(
             file,
-            ((position + 1) / 2).cast("bigint").alias("pair_no"),
-            F.col(line).alias("first"),
-            second.alias("second"),
-            F.concat_ws(sep, line, second).alias("pair"),
+            BLOCK,
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+            F.lead("_head").over(along).alias("_following"),
         )
     )
+    both, in_block, is_row = with_marks(rows, marks, [file], [line_no])
+    # The summary is row 1 of its block.
+    position = F.row_number().over(in_block) - 1 + of_mark("_start", in_block)
+    more = F.lead(F.lit(True), 1, False).over(in_block)
+    paired = both.withColumns(
+        {
+            "_position": position,
+            "_second": F.when(more, F.lead(line).over(in_block)).otherwise(of_mark("_following", in_block)),
+        }
+    )
+    return paired.filter(is_row & (F.col("_position") % 2 == 1)).select(
+        file,
+        ((F.col("_position") + 1) / 2).cast("bigint").alias("pair_no"),
+        F.col(line).alias("first"),
+        F.col("_second").alias("second"),
+        F.concat_ws(sep, line, "_second").alias("pair"),
+    )
 
 
 def top_k(df: DataFrame, by: str, k: int = 10, weight: Column | None = None) -> DataFrame:
@@ -127,6 +116,14 @@ def top_k(df: DataFrame, by: str, k: int = 10, weight: Column | None = None) ->
     )
 
 
+def top_pairs(
+    df: DataFrame, file: str, line_no: str, line: str, *alternatives: str, k: int = 10, sep: str = "\n"
+) -> DataFrame:
+    """The k most frequent pairs of the lines in which one of the patterns is found."""
+    chosen = select_lines(df, line, *alternatives)
+    return top_k(pair_selected_lines(chosen, file, line_no, line, sep), "pair", k)
+
+
 def allocation_top_k(
     df: DataFrame, file: str, line_no: str, line: str, k: int = 10
 ) -> DataFrame:

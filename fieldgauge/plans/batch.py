@@ -9,7 +9,7 @@ from ..functions.times import epoch_seconds
 from ..operators import alerts, audit, latest, lines, messages as msg
 from ..operators.ordering import offset_block
 from ..sources import archive, exports
-from .tables import messages, readings, spread, table
+from .tables import messages, readings, table
 
 
 def parquet_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -37,7 +37,7 @@ def lookup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def alert_filter(spark: SparkSession, d: str) -> DataFrame:
-    hits = alerts.over_threshold(spread(spark, d, "events"), "props", "k", name="k")
+    hits = alerts.over_threshold(table(spark, d, "events"), "props", "k", name="k")
     return hits.select("event_id", "k")
 
 
@@ -91,7 +91,7 @@ def feed_documents(spark: SparkSession, d: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("relative_humidity_2m"),
         (F.col("value") / 2).alias("wind_speed_10m"),
     )
-    return spread(spark, d, "events").withColumn(
+    return table(spark, d, "events").withColumn(
         "document", F.to_json(F.struct(current.alias("current")))
     )
 
@@ -200,7 +200,7 @@ def allocation_lines(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("weight = "), F.get_json_object("props", "$.k"), F.lit(" kB")),
     )
     return (
-        spread(spark, d, "events")
+        table(spark, d, "events")
         .select("user_id", "event_id", F.posexplode(text).alias("_i", "line"))
         .select("user_id", (F.col("event_id") * 3 + F.col("_i")).alias("line_no"), "line")
     )
@@ -210,10 +210,16 @@ def allocation_top_k(spark: SparkSession, d: str) -> DataFrame:
     return lines.allocation_top_k(allocation_lines(spark, d), "user_id", "line_no", "line")
 
 
+def top_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Select, pair, count: the most frequent class and weight of a profiler report."""
+    chosen = ("objectClass", "weight")
+    return lines.top_pairs(allocation_lines(spark, d), "user_id", "line_no", "line", *chosen, sep=" ")
+
+
 def max_duration(spark: SparkSession, d: str) -> DataFrame:
     unit = F.element_at(F.array(*map(F.lit, ["us", "ms", "s"])), (F.col("user_id") % 3 + 1).cast("int"))
     line = F.concat_ws(" ", F.lit("duration ="), F.col("value").cast("string"), unit)
-    return lines.max_duration(spread(spark, d, "events").select(line.alias("line")), "line")
+    return lines.max_duration(table(spark, d, "events").select(line.alias("line")), "line")
 
 
 QUERIES = {
@@ -251,6 +257,7 @@ QUERIES = {
         top_k,
         top_k_weighted,
         allocation_top_k,
+        top_pairs,
         max_duration,
     )
 }

@@ -169,11 +169,11 @@ from lineitem group by l_orderkey""",
     "sequence_runs_by_offset": _runs(
         "select event_type, user_id, event_id from events", "event_type", "user_id", "event_id"
     ),
-    "cadence_audit": """select user_id,
-    cast(floor(epoch(max(ts))) - floor(epoch(min(ts))) + 1 as bigint) as expected,
-    count(*) as received,
-    cast(floor(epoch(max(ts))) - floor(epoch(min(ts))) + 1 as bigint) - count(*) as dropped
-from events group by user_id""",
+    "cadence_audit": """select user_id, expected, received, n - received as repeated, expected - received as dropped
+from (
+    select user_id, count(*) as n, count(distinct floor(epoch(ts))) as received,
+        cast(floor(epoch(max(ts))) - floor(epoch(min(ts))) + 1 as bigint) as expected
+    from events group by user_id)""",
     "archive_counts": """select event_type, cast(year(ts) as int) as year,
     strftime(ts, '%m') as month, count(*) as n
 from events group by all""",
@@ -198,6 +198,9 @@ from events group by user_id order by weight desc, user_id limit 10""",
     "allocation_top_k": """select event_type as object_class,
     cast(sum(cast(json_extract_string(props, '$.k') as int)) * 1024 as bigint) as weight
 from events group by event_type order by weight desc, object_class limit 10""",
+    "top_pairs": """select 'objectClass = ' || event_type || ' weight = ' || json_extract_string(props, '$.k')
+    || ' kB' as pair, count(*) as n
+from events group by pair order by n desc, pair limit 10""",
     "max_duration": """select "value" * case user_id % 3 when 0 then 0.001::double
         when 1 then 1.0::double else 1000.0::double end as max_ms,
     'duration = ' || "value" || case user_id % 3 when 0 then ' us' when 1 then ' ms' else ' s' end as line

@@ -9,27 +9,18 @@ from ..schema import MESSAGE
 from ..session import scratch
 from ..sources.archive import read_archive
 from ..sources.change_log import ChangeLog
-from ..sources.storage import Folder
 from ..sources.topics import stream_files
 from ..streaming.ingest import DRAIN, start_alerts, start_ingest, start_latest
 from .tables import as_messages, table
 
+# Bytes of files in one micro-batch; at least one file.
 BATCH_BYTES = 256 * 1024**3
 
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The events as a stream of several batches.
-
-    A table in one file would be one batch, so it is first cut into files for four. A table
-    that already has many files is streamed from where it is, in batches of bounded size.
-    """
-    path = f"{d}/events.parquet"
+    """The events as a stream from where they lie, in batches of bounded size."""
     events = table(spark, d, "events")
-    if Folder(spark, path).is_folder():
-        return stream_files(spark, path, events.schema, maxBytesPerTrigger=BATCH_BYTES)
-    landed = scratch(spark, "landed")
-    events.repartition(16).write.parquet(landed)
-    return stream_files(spark, landed, events.schema, maxFilesPerTrigger=4)
+    return stream_files(spark, f"{d}/events.parquet", events.schema, maxBytesPerTrigger=BATCH_BYTES)
 
 
 def _ingest(spark: SparkSession, d: str) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,16 +43,14 @@ def get_session(app: str = "fieldgauge", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in spark.checkpoint.dir.
 
-    A local session without the setting gets a temporary folder; a cluster without it
-    is an error, because a folder on one machine is lost with that machine.
+    The library never chooses one: a session without the setting is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="fieldgauge-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 

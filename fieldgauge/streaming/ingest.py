@@ -119,6 +119,8 @@ def start_alerts(
     **paths: object,
 ) -> StreamingQuery:
     """Write the alert of each message over the threshold to Parquet files or a topic."""
+    if (path is None) == (kafka is None):
+        raise ValueError("alerts go to a path or to a topic: give one of the two")
     alerts = rain_alerts(messages, **paths)
     if kafka:
         writer = alerts.select("key", "value").writeStream.format("kafka").options(**kafka)

@@ -9,8 +9,10 @@ from fieldgauge.session import get_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = get_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("shared"))
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": folder}
+    session = get_session("tests", "local[8]", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

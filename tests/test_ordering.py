@@ -1,6 +1,7 @@
 """Order-dependent operators against plain Python, with one key holding most rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,19 +65,6 @@ def test_sequence_runs(spark, seed, block):
     assert collected(audit.sequence_runs(df, "key", "n", ["at"], blocks)) == runs(rows)
 
 
-def test_large_carry_is_not_broadcast(spark, monkeypatch):
-    rows = skewed(9)
-    df = spark.createDataFrame(rows, "key string, at bigint, n bigint")
-    monkeypatch.setattr("fieldgauge.operators.ordering.BROADCAST_BYTES", 0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = audit.sequence_runs(df, "key", "n", ["at"], offset_block(F.col("at"), 10))
-        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
-        assert collected(got) == runs(rows)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 @pytest.mark.parametrize("block", [None, 4])
 def test_long_runs_over_many_blocks(spark, block):
     numbers = [i // 3 for i in range(200)] + [5] * 30 + list(range(6, 90, 2))
@@ -111,14 +99,14 @@ def test_sequence_audit_and_cadence(spark):
     )
     got = {r.station: (r.received, r.dropped) for r in audit.sequence_audit(df, "station", "s_no").collect()}
     assert got == {1: (3, 2), 2: (1, 0)}
-    got = {r.station: (r.expected, r.dropped) for r in audit.cadence_audit(df, "station", "seconds").collect()}
-    assert got == {1: (6, 2), 2: (1, 0)}
+    got = {r.station: (r.expected, r.repeated, r.dropped) for r in audit.cadence_audit(df, "station", "seconds").collect()}
+    assert got == {1: (6, 1, 3), 2: (1, 0, 0)}
 
 
 def test_snapshots_show_no_loss(spark):
     # Two exports 12 seconds apart: number and time grow alike.
     df = spark.createDataFrame(
-        [(1, 27671 + i, 1779481997 + i) for i in range(13)], "station bigint, s_no bigint, t bigint"
+        [(1, 500 + i, 1700000000 + i) for i in range(13)], "station bigint, s_no bigint, t bigint"
     )
     assert audit.sequence_audit(df, "station", "s_no").first().dropped == 0
     assert audit.cadence_audit(df, "station", "t").first().dropped == 0
@@ -200,6 +188,39 @@ def test_line_reports(spark):
     assert lines.max_duration(df.filter("line = 'other'"), "line").first().max_ms is None
 
 
+def test_pairs_by_count(spark):
+    text = "\n".join(["a = 1", "x", "b = 2", "a = 1", "b = 2", "y", "a = 3", "b = 2", "a = 9"])
+    df = lines.to_lines(spark.createDataFrame([("f", text)], "file string, text string"), "file", "text")
+    got = lines.top_pairs(df, "file", "line_no", "line", "a =", "b =", sep="|")
+    assert [(r.pair, r.n) for r in got.collect()] == [("a = 1|b = 2", 2), ("a = 3|b = 2", 1), ("a = 9", 1)]
+
+
+@pytest.mark.parametrize("name", ["number", "pair", "allocation", "runs"])
+def test_building_runs_nothing_and_shuffles_rows_once(spark, name):
+    rows = [(k, n, "objectClass = A" if n % 2 else "weight = 1 kB") for k in "ab" for n in range(50)]
+    df = spark.createDataFrame(rows, "k string, n bigint, line string")
+    block = offset_block(F.col("n"), 10)
+    build = {
+        "number": lambda: number_rows(df, ["k"], ["n"], block=block),
+        "pair": lambda: lines.pair_selected_lines(df, "k", "n", "line"),
+        "allocation": lambda: lines.allocation_top_k(df, "k", "n", "line"),
+        "runs": lambda: audit.sequence_runs(df, "k", "n", ["n"], block),
+    }[name]
+    context = spark.sparkContext
+    context.setJobGroup(f"build {name}", name)
+    got = build()
+    assert not context.statusTracker().getJobIdsForGroup(f"build {name}")
+    got.collect()
+    assert context.statusTracker().getJobIdsForGroup(f"build {name}")
+    context.setJobGroup("", "")
+    text = got._jdf.queryExecution().executedPlan().toString()
+    final = text[: text.index("== Initial Plan ==")]
+    assert "Checkpoint" not in text and "RDD" not in text.replace("ExistingRDD", "")
+    # Rows with their line, whatever else is shuffled.
+    full = re.findall(r"Exchange hashpartitioning\(k#\d+, _block#\d+L, \d+\), ENSURE_REQUIREMENTS", final)
+    assert 1 <= len(full) <= (3 if name == "runs" else 2)
+
+
 def test_top_k_ties(spark):
     df = spark.createDataFrame([(v,) for v in "ccbbaad"], "x string")
     assert [(r.x, r.n) for r in lines.top_k(df, "x", 3).collect()] == [("a", 2), ("b", 2), ("c", 2)]

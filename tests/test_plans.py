@@ -52,9 +52,9 @@ def test_slice_reads_one_folder(spark):
 
 
 @pytest.mark.parametrize("name, exchanges", [("latest_per_key", 1), ("top_k", 1), ("status_share", 2),
-                                             ("cadence_audit", 1), ("pair_text", 0), ("classify_messages", 1)])
+                                             ("cadence_audit", 2), ("pair_text", 0), ("classify_messages", 0),
+                                             ("default_key", 0), ("route", 0), ("max_duration", 0)])
 def test_number_of_shuffles(spark, name, exchanges):
-    # classify_messages: the deal of a single-file table over the cores, see plans.tables.
     assert len(re.findall(r"Exchange (?:hash|range|round|Round)", plan(spark, name))) == exchanges
 
 
