@@ -36,6 +36,34 @@ def with_parsed(df: DataFrame, value: Column, schema: T.StructType, name: str) -
     return df.select("*", F.explode(F.array(parse_json(value, schema))).alias(name))
 
 
+def compact_json(value: Column) -> Column:
+    """The document re-serialised without blanks, with all of its fields; null when the
+    text is not one whole JSON object.
+
+    A text leaf that meets an object takes it over as text. Standing as an element and as
+    a field at once keeps out texts that only complete the frame around them.
+    """
+    frame = T.StructType([T.StructField("v", T.StringType()), T.StructField(CORRUPT, T.StringType())])
+    alone = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>", JSON_OPTIONS)
+    field = parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")), frame).getField("v")
+    return F.when(is_envelope(value) & (F.size(alone) == 1), field)
+
+
+# Stands for a blank still to be written; JSON texts hold no control characters.
+_GAP = "\x01"
+
+
+def spaced_json(compact: Column) -> Column:
+    """A compact document with a blank after each colon and comma outside of strings."""
+    marked = F.regexp_replace(compact, r'("(?:\\.|[^"\\])*+")|([:,])', f"$1$2{_GAP}")
+    return F.replace(F.replace(marked, F.lit(f'"{_GAP}'), F.lit('"')), F.lit(_GAP), F.lit(" "))
+
+
+def on_one_line(value: Column) -> Column:
+    """Line breaks as blanks; in a JSON document they can only stand between tokens."""
+    return F.translate(value, "\r\n", "  ")
+
+
 def text_at(paths: list[str]) -> T.StructType:
     """Schema with a text leaf at each dotted path."""
     fields: dict[str, list[str] | None] = {}
@@ -69,4 +97,5 @@ def loose_int(text: Column) -> Column:
 
 def cut_to_int(number: Column) -> Column:
     """Cut a double to an int; values outside the int range become its nearest end."""
-    return F.least(F.greatest(number, F.lit(-2147483648.0)), F.lit(2147483647.0)).try_cast("int")
+    inside = F.least(F.greatest(number, F.lit(-2147483648.0)), F.lit(2147483647.0))
+    return F.when(number.isNotNull(), inside.try_cast("int"))

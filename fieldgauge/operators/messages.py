@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json_text import (
     CORRUPT,
+    compact_json,
     cut_to_int,
     is_envelope,
     loose_double,
     loose_int,
     loose_long,
+    spaced_json,
     text_at,
     with_parsed,
 )
@@ -21,6 +24,7 @@ from .ordering import number_rows
 
 NOT_ENVELOPE = "not an envelope"
 UNPARSABLE = "unparsable"
+NO_DOCUMENT = "no document"
 BAD_FIELDS = "missing or invalid: "
 
 # Where each field of a reading sits in the wire form.
@@ -43,8 +47,9 @@ def with_validity(df: DataFrame, value: str = "value", name: str = "valid") -> D
 def classify(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the fields of a reading, and `reason`: null for a good row.
 
-    Columns of the same names are replaced. The text is parsed once. Every row is kept, so that a caller can send rejected rows
-    to a dead letter table and good ones to the archive.
+    Columns of the same names are replaced. The text is parsed once. Every row is kept,
+    so that a caller can send rejected rows to a dead letter table and good ones to the
+    archive.
     """
     wire = text_at(list(WIRE_PATHS.values())).add(CORRUPT, "string")
     parsed = with_parsed(df, F.col(value), wire, "_j").withColumns(
@@ -104,34 +109,14 @@ def to_messages(df: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
-def spaced_text() -> Column:
-    """Wire form of a reading as text with a space after each colon and comma."""
-
-    def item(name: str) -> Column:
-        text = F.col(name).cast("string")
-        if READING[name].dataType.simpleString() == "string":
-            text = F.regexp_extract(F.to_json(F.array(name)), r"^\[(.*)\]$", 1)
-        return F.concat(F.lit(f'"{name}": '), text)
-
-    nested = F.concat(
-        F.lit(f'"{NESTED}": {{'), F.concat_ws(", ", *map(item, NESTED_FIELDS)), F.lit("}")
-    )
-    flat = [item(name) for name in READING.names if name not in NESTED_FIELDS]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *flat, nested), F.lit("}"))
-
-
 def normalise_json(df: DataFrame, value: str = "value", spaced: bool = False) -> DataFrame:
-    """Rewrite good messages with their fields in fixed order, compact or spaced.
+    """Rewrite every JSON object with all its fields on one line, compact or spaced.
 
-    Text that is not a complete message is passed through unchanged.
+    Fields keep their order and repeats; numbers are written in their shortest form. Text
+    that is not a JSON object is passed through unchanged.
     """
-    good = spaced_text() if spaced else F.to_json(envelope())
-    text = F.when(F.col("reason").isNull(), good).otherwise(F.col("_text"))
-    # The row is put aside, since its columns can have the names of reading fields.
-    aside = df.select(F.struct(*df.columns).alias("_row"), F.col(value).alias("_text"))
-    return classify(aside, "_text").select(
-        *[text.alias(n) if n == value else F.col(f"_row.{n}") for n in df.columns]
-    )
+    compact = compact_json(F.col(value))
+    return df.withColumn(value, F.coalesce(spaced_json(compact) if spaced else compact, F.col(value)))
 
 
 def adapt_feed(
@@ -144,14 +129,22 @@ def adapt_feed(
 ) -> DataFrame:
     """Turn documents of an external feed into readings; works on tables and streams.
 
-    `document` holds the JSON text; a number that is absent counts as 0. `sequence` is
-    the number of the document within its feed, for instance its offset in a topic.
+    `document` holds the JSON text. In a readable document a number that is absent counts
+    as 0. `reason` is null for these; a row whose document is null or cannot be read has
+    the reason and no numbers. `sequence` is the number of the document within its feed,
+    for instance its offset in a topic.
     """
+    wire = T.StructType([*FEED.fields, T.StructField(CORRUPT, T.StringType())])
+    reason = F.when(F.col("_j").isNull() | F.col("_text").isNull(), F.lit(NO_DOCUMENT)).when(
+        F.col(f"_j.{CORRUPT}").isNotNull(), F.lit(UNPARSABLE)
+    )
 
     def current(name: str) -> Column:
-        return F.coalesce(loose_double(F.col(f"_j.current.{name}")), F.lit(0.0))
+        number = F.coalesce(loose_double(F.col(f"_j.current.{name}")), F.lit(0.0))
+        return F.when(reason.isNull(), number)
 
-    return with_parsed(df, F.col(document), FEED, "_j").select(
+    parsed = with_parsed(df.withColumn("_text", F.col(document)), F.col("_text"), wire, "_j")
+    return parsed.select(
         *(keep or []),
         station_id.alias("station_id"),
         sequence.cast("bigint").alias("s_no"),
@@ -160,6 +153,7 @@ def adapt_feed(
         cut_to_int(current("relative_humidity_2m")).alias("humidity"),
         cut_to_int(current("temperature_2m")).alias("temperature"),
         cut_to_int(current("wind_speed_10m")).alias("wind_speed"),
+        reason.alias("reason"),
     )
 
 
@@ -172,10 +166,11 @@ def adapt_ordered_feed(
     order_by: list[str],
     block: Column | None = None,
 ) -> DataFrame:
-    """`adapt_feed` for a table, with `s_no` counted from 1 in each feed.
+    """The readings of `adapt_feed` for a table, with `s_no` counted from 1 in each feed.
 
-    `order_by` must be total; `block` cuts it into pieces, see `number_rows`.
+    Documents that cannot be read are left out and not counted, as nothing is sent for
+    them. `order_by` must be total; `block` cuts it into pieces, see `number_rows`.
     """
     keep = list(dict.fromkeys([*feed, *order_by]))
-    parsed = adapt_feed(df, document, station_id, seconds, F.lit(0), keep).drop("s_no")
-    return number_rows(parsed, feed, order_by, "s_no", block).select(*keep, *READING.names)
+    parsed = adapt_feed(df, document, station_id, seconds, F.lit(0), keep).filter("reason is null")
+    return number_rows(parsed.drop("s_no", "reason"), feed, order_by, "s_no", block).select(*keep, *READING.names)

@@ -96,9 +96,23 @@ def feed_documents(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def damaged_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The same with unreadable, missing and incomplete documents among them."""
+    n, text = F.col("event_id"), F.col("document")
+    return feed_documents(spark, d).withColumn(
+        "document",
+        F.when(n % 11 == 0, F.lit(None))
+        .when(n % 13 == 0, F.lit("hello"))
+        .when(n % 17 == 0, F.expr("left(document, length(document) - 3)"))
+        .when(n % 19 == 0, F.lit('{"error":true}'))
+        .when(n % 7 == 0, F.replace(text, F.lit('"temperature_2m"'), F.lit('"t"')))
+        .otherwise(text),
+    )
+
+
 def adapt_feed(spark: SparkSession, d: str) -> DataFrame:
     return msg.adapt_ordered_feed(
-        feed_documents(spark, d),
+        damaged_documents(spark, d),
         "document",
         F.lit(11).cast("bigint"),
         epoch_seconds(F.col("ts")),
@@ -110,7 +124,7 @@ def adapt_feed(spark: SparkSession, d: str) -> DataFrame:
 
 def adapt_feed_by_offset(spark: SparkSession, d: str) -> DataFrame:
     return msg.adapt_feed(
-        feed_documents(spark, d),
+        damaged_documents(spark, d),
         "document",
         F.lit(11).cast("bigint"),
         epoch_seconds(F.col("ts")),

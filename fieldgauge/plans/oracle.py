@@ -24,23 +24,33 @@ _MESSAGES = f"""{_READINGS}, raw as (
             when event_id % 17 = 0 then replace(t, '"weather"', '"other"')
             when event_id % 19 = 0 then replace(t, '"humidity":', '"humidity":"n/a","h":')
             when event_id % 23 = 0 then replace(t, '"temperature"', '"t"')
+            when event_id % 31 = 0 then regexp_replace(t, '"humidity":(\\d+)', '"humidity":"\\1"')
+            when event_id % 37 = 0 then regexp_replace(t, '"humidity":(\\d+)', '"humidity":\\1.7')
+            when event_id % 41 = 0 then regexp_replace(t, '"humidity":\\d+', '"humidity":true')
+            when event_id % 43 = 0 then regexp_replace(t, '"humidity":\\d+', '"humidity":null')
+            when event_id % 47 = 0 then t || ' x'
+            when event_id % 53 = 0 then replace(t, '"temperature":', '"temperature":1,"temperature":')
+            when event_id % 59 = 0 then replace(t, '{{"station_id"', '{{"firmware":"1: a, \\"b\\"","station_id"')
             when event_id % 5 = 0 then chr(9) || chr(10) || ' ' || t
             when event_id % 3 = 0 then replace(t, ',"', ', "')
             else t end as v
     from texts
 ), checked as (
     select *, coalesce(regexp_matches(v, '^[\\x00-\\x20]*\\{{'), false) as valid,
-        coalesce(json_valid(v), false) as parsable
+        -- Text after the document is not looked at, and of a doubled field the last counts.
+        replace(regexp_replace(v, ' x$', ''), '"temperature":1,"temperature"', '"temperature"') as j,
+        coalesce(json_valid(regexp_replace(v, ' x$', '')), false) as parsable,
+        coalesce(json_valid(v), false) as whole
     from raw
 ), fields as (
     select *,
-        case when parsable then try_cast(json_extract_string(v, '$.station_id') as bigint) end as station_id,
-        case when parsable then try_cast(json_extract_string(v, '$.s_no') as bigint) end as s_no,
-        case when parsable then json_extract_string(v, '$.battery_status') end as battery_status,
-        case when parsable then try_cast(json_extract_string(v, '$.status_timestamp') as bigint) end as status_timestamp,
-        case when parsable then try_cast(json_extract_string(v, '$.weather.humidity') as int) end as humidity,
-        case when parsable then try_cast(json_extract_string(v, '$.weather.temperature') as int) end as temperature,
-        case when parsable then try_cast(json_extract_string(v, '$.weather.wind_speed') as int) end as wind_speed
+        case when parsable then try_cast(json_extract_string(j, '$.station_id') as bigint) end as station_id,
+        case when parsable then try_cast(json_extract_string(j, '$.s_no') as bigint) end as s_no,
+        case when parsable then json_extract_string(j, '$.battery_status') end as battery_status,
+        case when parsable then try_cast(json_extract_string(j, '$.status_timestamp') as bigint) end as status_timestamp,
+        case when parsable then cast(trunc(try_cast(json_extract_string(j, '$.weather.humidity') as double)) as int) end as humidity,
+        case when parsable then cast(trunc(try_cast(json_extract_string(j, '$.weather.temperature') as double)) as int) end as temperature,
+        case when parsable then cast(trunc(try_cast(json_extract_string(j, '$.weather.wind_speed') as double)) as int) end as wind_speed
     from checked
 ), classified as (
     select *, case
@@ -77,15 +87,31 @@ from classified where reason is not null"""
 _LATEST = """select user_id, max(event_id) as event_id, arg_max(event_type, event_id) as event_type
 from events group by user_id"""
 
-_SNAPSHOT = """select cast(user_id as varchar) as "key", arg_max(props, event_id) as "value"
-from events group by user_id"""
+
+
+def _snapshot(value: str) -> str:
+    return f"""with {_MESSAGES}, k as (
+    select coalesce("key", 'unknown_station') as "key", v, whole, "offset" as version from checked where valid
+), l as (
+    select "key", arg_max(v, version) as v, arg_max(whole, version) as whole from k group by "key"
+)
+select "key", {value} as "value" from l"""
+
 
 _EVENT_ROWS = 'select event_id, user_id, event_type, "value" from events'
 
-_FEED = """cast(11 as bigint) as station_id, 'high' as battery_status,
-    cast(floor(epoch(ts)) as bigint) as status_timestamp,
-    cast(json_extract_string(props, '$.k') as int) as humidity,
-    cast(trunc("value") as int) as temperature, cast(trunc("value" / 2) as int) as wind_speed"""
+_FEED = """with fed as (
+    select *, cast(11 as bigint) as station_id, 'high' as battery_status,
+        cast(floor(epoch(ts)) as bigint) as status_timestamp,
+        case when event_id % 11 = 0 then 'no document'
+            when event_id % 13 = 0 or event_id % 17 = 0 then 'unparsable' end as reason,
+        case when event_id % 19 = 0 then 0 else 1 end as numbers,
+        case when event_id % 7 = 0 then 0 else 1 end as warm,
+        case when reason is null then numbers * cast(json_extract_string(props, '$.k') as int) end as humidity,
+        case when reason is null then numbers * warm * cast(trunc("value") as int) end as temperature,
+        case when reason is null then numbers * cast(trunc("value" / 2) as int) end as wind_speed
+    from events
+)"""
 
 _SLICE = """select event_id, user_id, "value" from events
 where event_type = 'view' and year(ts) = 2024 and month(ts) = 1"""
@@ -141,18 +167,19 @@ from classified where reason is null""",
     "keyed_rows": f"""with {_READINGS}
 select cast(station_id as varchar) as "key", t as "value" from texts""",
     "normalise_value": f"""with {_MESSAGES}
-select c."offset", case when c.reason is null then t.t else c.v end as "value"
-from classified c join texts t on t.event_id = c."offset" """,
-    "normalise_spaced": f"""with {_MESSAGES}
-select "offset", case when reason is not null then v else
-    '{{"station_id": ' || station_id || ', "s_no": ' || s_no || ', "battery_status": "'
-    || battery_status || '", "status_timestamp": ' || status_timestamp || ', "weather": {{"humidity": '
-    || humidity || ', "temperature": ' || temperature || ', "wind_speed": ' || wind_speed || '}}}}'
-    end as "value"
-from classified""",
-    "adapt_feed": f"""select event_id,
-    row_number() over (partition by event_type order by event_id) as s_no, {_FEED} from events""",
-    "adapt_feed_by_offset": f"select event_id + 1 as s_no, {_FEED} from events",
+select "offset", case when valid and whole then cast(json(v) as varchar) else v end as "value" from checked""",
+    "normalise_spaced": f"""with {_MESSAGES}, marked as (
+    select *, regexp_replace(cast(json(case when valid and whole then v end) as varchar),
+        '("(?:\\\\.|[^"\\\\])*")|([:,])', '\\1\\2' || chr(1), 'g') as m
+    from checked
+)
+select "offset", coalesce(replace(replace(m, '"' || chr(1), '"'), chr(1), ' '), v) as "value" from marked""",
+    "adapt_feed": f"""{_FEED} select event_id,
+    row_number() over (partition by event_type order by event_id) as s_no,
+    station_id, battery_status, status_timestamp, humidity, temperature, wind_speed
+from fed where reason is null""",
+    "adapt_feed_by_offset": f"""{_FEED} select event_id + 1 as s_no, station_id, battery_status,
+    status_timestamp, humidity, temperature, wind_speed, reason from fed""",
     "status_share": """select user_id, event_type, count(*) as n,
     cast(count(*) as double) * 100 / cast(sum(count(*)) over (partition by user_id) as double) as pct
 from events group by user_id, event_type""",
@@ -209,9 +236,9 @@ from events order by max_ms desc, line desc limit 1""",
     cast(year(ts) as int) as year, cast(month(ts) as int) as month from events""",
     "slice": _SLICE,
     "slice_folder": _SLICE,
-    "snapshot_csv": _SNAPSHOT,
-    "snapshot_csv_quoted": _SNAPSHOT,
-    "export_json": _SNAPSHOT,
+    "snapshot_csv": _snapshot("replace(v, chr(10), ' ')"),
+    "snapshot_csv_quoted": _snapshot("v"),
+    "export_json": _snapshot("case when whole then cast(json(v) as varchar) else v end"),
     "index_export": _EVENT_ROWS,
     "feed_scan": """select strftime(ts, '%Y-%m-%dT%H:%M') as "time", "value" as temperature_2m,
     cast(json_extract_string(props, '$.k') as double) as relative_humidity_2m,

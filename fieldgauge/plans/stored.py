@@ -9,11 +9,12 @@ from pyspark.sql import types as T
 from ..functions.json_text import loose_double
 from ..functions.times import epoch_seconds
 from ..operators import latest
+from ..operators.messages import with_default_key, with_validity
 from ..session import scratch
 from ..sources import archive, exports, feeds
 from ..sources.change_log import ChangeLog
 from .batch import feed_documents
-from .tables import table
+from .tables import messages, table
 
 EVENT_ROW = T.StructType(
     [
@@ -36,7 +37,7 @@ def archive_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return archive.read_archive(spark, _archive(spark, d), EVENT_ROW, "event_type")
 
 
-def slice(spark: SparkSession, d: str) -> DataFrame:
+def slice_rows(spark: SparkSession, d: str) -> DataFrame:
     part = archive.read_slice(archive_round_trip(spark, d), event_type="view", year=2024, month=1)
     return part.select("event_id", "user_id", "value")
 
@@ -47,24 +48,26 @@ def slice_folder(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _view(spark: SparkSession, d: str) -> DataFrame:
-    return latest.latest_per_key(table(spark, d, "events"), "user_id", "event_id", ["props"])
+    """Latest envelope per key of messages of which many are odd."""
+    accepted = with_validity(with_default_key(messages(spark, d))).filter("valid")
+    return latest.latest_per_key(accepted, "key", "offset", ["value"])
 
 
 def snapshot_csv(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "snapshot")
-    exports.write_snapshot(_view(spark, d), path, "user_id", "props")
+    exports.write_snapshot(_view(spark, d), path)
     return exports.read_snapshot(spark, path)
 
 
 def snapshot_csv_quoted(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "snapshot-csv")
-    exports.write_csv(_view(spark, d), path, "user_id", "props")
+    exports.write_csv(_view(spark, d), path)
     return exports.read_csv(spark, path)
 
 
 def export_json(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "snapshot-json")
-    exports.snapshot_json(_view(spark, d), "user_id", "props").write.text(path)
+    exports.snapshot_json(_view(spark, d)).write.text(path)
     return exports.read_documents(spark, path, "key string, value string")
 
 
@@ -100,10 +103,10 @@ def compact_rebuild(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f
+    "slice" if f is slice_rows else f.__name__: f
     for f in (
         archive_round_trip,
-        slice,
+        slice_rows,
         slice_folder,
         snapshot_csv,
         snapshot_csv_quoted,

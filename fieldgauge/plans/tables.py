@@ -34,7 +34,7 @@ def as_readings(events: DataFrame) -> DataFrame:
 
 
 def damaged(text: Column, number: Column) -> Column:
-    """A message text with each kind of fault in some of the rows."""
+    """A message text with each kind of fault and of odd value in some of the rows."""
     return (
         F.when(number % 11 == 0, F.lit(None))
         .when(number % 7 == 0, F.concat(F.lit("x"), text))
@@ -42,6 +42,13 @@ def damaged(text: Column, number: Column) -> Column:
         .when(number % 17 == 0, F.replace(text, F.lit('"weather"'), F.lit('"other"')))
         .when(number % 19 == 0, F.replace(text, F.lit('"humidity":'), F.lit('"humidity":"n/a","h":')))
         .when(number % 23 == 0, F.replace(text, F.lit('"temperature"'), F.lit('"t"')))
+        .when(number % 31 == 0, F.regexp_replace(text, r'"humidity":(\d+)', '"humidity":"$1"'))
+        .when(number % 37 == 0, F.regexp_replace(text, r'"humidity":(\d+)', '"humidity":$1.7'))
+        .when(number % 41 == 0, F.regexp_replace(text, r'"humidity":\d+', '"humidity":true'))
+        .when(number % 43 == 0, F.regexp_replace(text, r'"humidity":\d+', '"humidity":null'))
+        .when(number % 47 == 0, F.concat(text, F.lit(" x")))
+        .when(number % 53 == 0, F.replace(text, F.lit('"temperature":'), F.lit('"temperature":1,"temperature":')))
+        .when(number % 59 == 0, F.replace(text, F.lit('{"station_id"'), F.lit('{"firmware":"1: a, \\"b\\"","station_id"')))
         .when(number % 5 == 0, F.concat(F.lit("\t\n "), text))
         .when(number % 3 == 0, F.replace(text, F.lit(',"'), F.lit(', "')))
         .otherwise(text)

@@ -6,49 +6,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import SNAPSHOT_HEADER
+from ..functions.json_text import compact_json, on_one_line
+from ..schema import LOG_ROWS_PER_FILE, SNAPSHOT_HEADER
+from .storage import Folder
+
+
+# The header is a file of its own, hidden from Spark and first in the order of names.
+HEADER_FILE = "_header"
 
 
 def snapshot_lines(view: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
-    """`key,value` text lines; the value is not quoted, it ends at the end of the line."""
-    return view.select(F.concat_ws(",", F.col(key).cast("string"), F.col(value)).alias("value"))
+    """`key,value` text lines; the value is not quoted, it ends at the end of the line.
+
+    Line breaks in a value become blanks, which means the same in a JSON document. A key
+    must not hold commas or line breaks.
+    """
+    line = F.concat_ws(",", F.col(key).cast("string"), on_one_line(F.col(value)))
+    return view.select(line.alias("value"))
 
 
 def write_snapshot(view: DataFrame, path: str, key: str = "key", value: str = "value") -> None:
-    """Lines with the header in the first part file: the parts in order of name, put one
-    after the other, are the export as one file."""
-    spark = view.sparkSession
-    header = spark.createDataFrame([(SNAPSHOT_HEADER,)], "value string").coalesce(1)
-    header.unionByName(snapshot_lines(view, key, value)).write.text(path)
+    """Lines in part files: all files in order of name, put one after the other, are the
+    export as one file with its header."""
+    snapshot_lines(view, key, value).write.text(path)
+    Folder(view.sparkSession, path).create_text(HEADER_FILE, f"{SNAPSHOT_HEADER}\n")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Read a snapshot export; only the first comma of a line separates."""
     parts = F.split("value", ",", 2)
-    return (
-        spark.read.text(path)
-        .filter(F.col("value") != SNAPSHOT_HEADER)
-        .select(parts[0].alias("key"), parts[1].alias("value"))
-    )
+    return spark.read.text(path).select(F.get(parts, F.lit(0)).alias("key"), F.get(parts, F.lit(1)).alias("value"))
+
+
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
+def write_csv(
+    view: DataFrame, path: str, key: str = "key", value: str = "value", rows_per_file: int = LOG_ROWS_PER_FILE
+) -> None:
+    """Properly quoted variant of the snapshot, with a header in every file.
 
-def write_csv(view: DataFrame, path: str, key: str = "key", value: str = "value") -> None:
-    """Properly quoted variant of the snapshot, with a header in every file."""
-    view.select(F.col(key).cast("string").alias("key"), F.col(value).alias("value")).write.csv(
-        path, header=True, escape='"'
-    )
+    A quoted value can hold line breaks, so a file is read by one task; that is why the
+    rows of a file are bounded.
+    """
+    rows = view.select(F.col(key).cast("string").alias("key"), F.col(value).alias("value"))
+    rows.write.option("maxRecordsPerFile", rows_per_file).csv(path, **_CSV)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(
-        path, schema="key string, value string", header=True, escape='"', multiLine=True
-    )
+    return spark.read.csv(path, schema="key string, value string", multiLine=True, **_CSV)
 
 
 def snapshot_json(view: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
-    """One JSON object per key: `{"key": ..., "value": ...}`."""
-    row = F.struct(F.col(key).cast("string").alias("key"), F.col(value).alias("value"))
-    return view.select(F.to_json(row).alias("value"))
+    """One JSON object per key: `{"key": ..., "value": ...}`.
+
+    A value that is a JSON object stands there as an object, other text as a string.
+    """
+    text = F.regexp_extract(F.to_json(F.array(F.col(value))), r"(?s)^\[(.*)\]$", 1)
+    document = F.coalesce(compact_json(F.col(value)), F.when(F.col(value).isNotNull(), text), F.lit("null"))
+    name = F.regexp_extract(F.to_json(F.array(F.col(key).cast("string"))), r"(?s)^\[(.*)\]$", 1)
+    return view.select(F.concat(F.lit('{"key":'), name, F.lit(',"value":'), document, F.lit("}")).alias("value"))
 
 
 def write_documents(df: DataFrame, path: str) -> None:

@@ -29,14 +29,17 @@ class Folder:
     def is_folder(self) -> bool:
         return self._fs.getFileStatus(self._at()).isDirectory()
 
-    def create_json(self, name: str, content: dict) -> None:
+    def create_text(self, name: str, content: str) -> None:
         """Write a new small file; an existing one is an error, never replaced."""
         out = self._fs.create(self._at(name), False)
         try:
-            out.write(bytearray(json.dumps(content).encode()))
+            out.write(bytearray(content.encode()))
         finally:
             out.close()
 
+    def create_json(self, name: str, content: dict) -> None:
+        self.create_text(name, json.dumps(content))
+
     def read_json(self, name: str) -> dict:
         stream = self._fs.open(self._at(name))
         try:

@@ -147,6 +147,31 @@ def test_normalise(rows):
     assert json.loads(text)["battery_status"] == 'a"b\n]'
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"b": 1, "a": {"x": [1, 2.5, {"y": null}], "z": "p: q, \\"r\\" \\\\"}, "b": true}',
+        '\n{ "weather" : {"gust": 7.5,\n"humidity":"80"}, "firmware":"1"}',
+        "{}",
+    ],
+)
+def test_normalise_keeps_every_field(spark, text):
+    df = spark.createDataFrame([(text,)], "value string")
+    pairs = json.loads(text, object_pairs_hook=lambda p: p)
+    for spaced in (False, True):
+        got = messages.normalise_json(df, spaced=spaced).first().value
+        assert json.loads(got, object_pairs_hook=lambda p: p) == pairs
+        if text.count('"b"') < 2:
+            separators = (", ", ": ") if spaced else (",", ":")
+            assert got == json.dumps(json.loads(text), separators=separators)
+
+
+def test_normalise_leaves_other_text(spark):
+    texts = ["hello", '{"a":1} x', '{"a":1},{"b":2}', '{"a":1}],[{"b":2}', '{"a":1}}', '{"a"', "[1]", None, "{'a':1}"]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert [r.value for r in messages.normalise_json(df).collect()] == texts
+
+
 def test_messages_keyed_by_station(rows):
     good = messages.readings(messages.classify(rows.filter("key = 'good'")))
     row = messages.to_messages(good).first()
@@ -161,6 +186,10 @@ def test_adapt_feed(spark):
         ("a", 2, '{"current":{"temperature_2m":-0.9,"relative_humidity_2m":"40"}}'),
         ("b", 3, "{}"),
         ("a", 4, '{"current":{"temperature_2m":1e12}}'),
+        ("a", 5, "hello"),
+        ("a", 6, None),
+        ("a", 7, '{"current":{"temperature_2m":1'),
+        ("b", 8, '{"error":true}'),
     ]
     df = spark.createDataFrame(docs, "feed string, n bigint, doc string")
     got = messages.adapt_ordered_feed(
@@ -175,4 +204,8 @@ def test_adapt_feed(spark):
         2: (2, "high", 40, 0, 0),
         3: (1, "high", 0, 0, 0),
         4: (3, "high", 0, 2147483647, 0),
+        8: (2, "high", 0, 0, 0),
     }
+    all_rows = messages.adapt_feed(df, "doc", F.lit(11), F.lit(100), F.col("n"))
+    reasons = {r.s_no: (r.reason, r.humidity) for r in all_rows.filter("reason is not null").collect()}
+    assert reasons == {5: ("unparsable", None), 6: ("no document", None), 7: ("unparsable", None)}

@@ -1,4 +1,5 @@
 import csv
+import json
 import os
 import random
 
@@ -245,30 +246,48 @@ def test_calendar_bounds(spark):
     }
 
 
-VIEW = [("1", '{"a": 1, "b": "x,y"}'), ("2", "plain"), ("3", 'say "hi"')]
+VIEW = [("1", '{"a": 1, "b": "x,y"}'), ("2", "plain"), ("3", 'say "hi"'), ("key", "value")]
+PRETTY = '\t\n {\n  "a": [1, {"b": "x: y,\\n z"}],\n  "c": 2.5,\n  "a": 3\n}'
 
 
 def test_snapshot_as_one_file(spark, tmp_path):
     path = str(tmp_path / "snapshot")
-    view = spark.createDataFrame(VIEW, "key string, value string")
+    view = spark.createDataFrame([*VIEW, ("4", PRETTY)], "key string, value string")
     exports.write_snapshot(view, path)
-    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    parts = sorted(f for f in os.listdir(path) if not f.startswith("."))
     text = "".join(open(os.path.join(path, p)).read() for p in parts).splitlines()
     assert text[0] == "key,value"
-    assert sorted(text[1:]) == sorted(f"{k},{v}" for k, v in VIEW)
-    assert sorted(tuple(r) for r in exports.read_snapshot(spark, path).collect()) == VIEW
+    want = [*VIEW[:3], ("4", PRETTY.replace("\n", " ")), VIEW[3]]
+    assert sorted(text[1:]) == sorted(f"{k},{v}" for k, v in want)
+    assert sorted(tuple(r) for r in exports.read_snapshot(spark, path).collect()) == want
+    assert json.loads(want[3][1]) == json.loads(PRETTY)
 
 
 def test_quoted_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
-    view = spark.createDataFrame([*VIEW, ("4", "two\nlines")], "key string, value string")
-    exports.write_csv(view.coalesce(1), path)
-    assert sorted(tuple(r) for r in exports.read_csv(spark, path).collect()) == [*VIEW, ("4", "two\nlines")]
-    part = next(f for f in os.listdir(path) if f.startswith("part-"))
-    with open(os.path.join(path, part), newline="") as f:
+    rows = sorted([*VIEW, ("4", "two\nlines"), ("5", PRETTY), ("6", "  blanks \t"), ("7", "a\r\nb"), ("8", "\\\"")])
+    view = spark.createDataFrame(rows, "key string, value string")
+    exports.write_csv(view.coalesce(1), path, rows_per_file=4)
+    assert sorted(tuple(r) for r in exports.read_csv(spark, path).collect()) == rows
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(parts) == 3
+    with open(os.path.join(path, parts[0]), newline="") as f:
         assert list(csv.reader(f))[0] == ["key", "value"]
 
 
+def test_snapshot_with_objects(spark, tmp_path):
+    rows = [*VIEW, ("5", PRETTY), ('6"', '{"cut": '), ("7", '{"a":1} x'), ("8", None), (None, "{}"), ("9", '{"a":1},"b":{"c":2}')]
+    lines = exports.snapshot_json(spark.createDataFrame(rows, "key string, value string"))
+    got = [json.loads(r.value, object_pairs_hook=lambda pairs: pairs) for r in lines.collect()]
+    assert [dict(g)["key"] for g in got] == [k for k, _ in rows]
+    for g, (_, value) in zip(got, rows):
+        try:
+            want = json.loads(value, object_pairs_hook=lambda pairs: pairs)
+        except (TypeError, ValueError):
+            want = value
+        assert dict(g)["value"] == want
+
+
 def test_feed_files(spark, tmp_path):
     (tmp_path / "doc.json").write_text('{"current": {\n "temperature_2m": 23.6,\n "wind_speed_10m": 16.2}}')
     row = feeds.read_feed(spark, str(tmp_path), multi_line=True).first()
