@@ -16,7 +16,7 @@ _READINGS = """readings as (
 )"""
 
 _MESSAGES = f"""{_READINGS}, raw as (
-    select event_id as "offset",
+    select event_id as "offset", ts,
         case when event_id % 29 != 0 then cast(user_id as varchar) end as "key",
         case when event_id % 11 = 0 then null
             when event_id % 7 = 0 then 'x' || t
@@ -250,11 +250,20 @@ select station_id, s_no, battery_status, status_timestamp, humidity, temperature
     cast(year(make_timestamp(status_timestamp * 1000000)) as int) as year,
     cast(month(make_timestamp(status_timestamp * 1000000)) as int) as month
 from classified where reason is null""",
-    "stream_view": f"""with {_MESSAGES}, k as (
-    select coalesce("key", 'unknown_station') as "key", v as "value", "offset" as version
-    from checked where valid
-)
-select "key", arg_max("value", version) as "value", max(version) as version from k group by "key" """,
+    "stream_view": f"""with {_MESSAGES}
+select coalesce("key", 'unknown_station') as "key", v as "value", "offset" from checked where valid
+qualify row_number() over (partition by coalesce("key", 'unknown_station') order by ts desc, "offset" desc) = 1""",
+    "stream_view_partitions": f"""with {_MESSAGES}
+select coalesce("key", 'unknown_station') as "key", v as "value",
+    cast("offset" % 4 as int) as "partition", "offset" // 4 as "offset" from checked where valid
+qualify row_number() over (partition by coalesce("key", 'unknown_station')
+    order by ts desc, checked."offset" % 4 desc, checked."offset" // 4 desc) = 1""",
+    "archive_compaction": f"""with {_MESSAGES}
+select station_id, s_no, battery_status, status_timestamp, humidity, temperature, wind_speed,
+    cast(year(make_timestamp(status_timestamp * 1000000)) as int) as year,
+    cast(month(make_timestamp(status_timestamp * 1000000)) as int) as month, true as fewer_files
+from classified where reason is null""",
+    "compact_files": 'select event_id, "value", true as bounded from events',
     "stream_latest": _LATEST,
     "stream_alerts": _ALERTS,
 }

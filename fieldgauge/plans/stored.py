@@ -102,6 +102,18 @@ def compact_rebuild(spark: SparkSession, d: str) -> DataFrame:
     return log.rebuild()
 
 
+def compact_files(spark: SparkSession, d: str) -> DataFrame:
+    """A snapshot in files of a bounded number of rows; each row says whether its file is."""
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    most = 500
+    log = ChangeLog(spark, scratch(spark, "log"), schema, "event_id", "value", buckets=4)
+    log.append(table(spark, d, "events"), 0)
+    log.compact(rows_per_file=most)
+    rows = log.snapshot().select("*", F.col("_metadata.file_path").alias("file"))
+    sizes = rows.groupBy("file").agg((F.count("*") <= most).alias("bounded"))
+    return rows.join(sizes, "file").select("event_id", "value", "bounded")
+
+
 QUERIES = {
     "slice" if f is slice_rows else f.__name__: f
     for f in (
@@ -114,5 +126,6 @@ QUERIES = {
         index_export,
         feed_scan,
         compact_rebuild,
+        compact_files,
     )
 }

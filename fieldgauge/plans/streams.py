@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import MESSAGE
 from ..session import scratch
-from ..sources.archive import read_archive
+from ..operators.messages import classify, readings
+from ..sources.archive import compact_archive, read_archive, with_partitions, write_archive
 from ..sources.change_log import ChangeLog
 from ..sources.topics import stream_files
-from ..streaming.ingest import DRAIN, start_alerts, start_ingest, start_latest
-from .tables import as_messages, table
+from ..streaming.ingest import DRAIN, message_log, start_alerts, start_ingest, start_latest
+from .tables import as_messages, messages, over_partitions, table
 
 # Bytes of files in one micro-batch; at least one file.
 BATCH_BYTES = 256 * 1024**3
@@ -23,10 +25,9 @@ def event_stream(spark: SparkSession, d: str) -> DataFrame:
     return stream_files(spark, f"{d}/events.parquet", events.schema, maxBytesPerTrigger=BATCH_BYTES)
 
 
-def _ingest(spark: SparkSession, d: str) -> str:
+def _ingest(spark: SparkSession, d: str, deal=lambda messages: messages) -> str:
     root = scratch(spark, "ingest")
-    messages = as_messages(event_stream(spark, d))
-    start_ingest(messages, root, f"{root}/checkpoint", DRAIN).awaitTermination()
+    start_ingest(deal(as_messages(event_stream(spark, d))), root, f"{root}/checkpoint", DRAIN).awaitTermination()
     return root
 
 
@@ -45,7 +46,28 @@ def stream_archive(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_view(spark: SparkSession, d: str) -> DataFrame:
-    return ChangeLog(spark, f"{_ingest(spark, d)}/log").rebuild()
+    return message_log(spark, _ingest(spark, d)).rebuild().select("key", "value", "offset")
+
+
+def stream_view_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """The view of messages from several partitions, some without a key."""
+    log = message_log(spark, _ingest(spark, d, over_partitions))
+    return log.rebuild().select("key", "value", "partition", "offset")
+
+
+def archive_compaction(spark: SparkSession, d: str) -> DataFrame:
+    """The archive of three ingested batches, then merged to few files."""
+    root = scratch(spark, "ingest")
+    rows = with_partitions(readings(classify(messages(spark, d))))
+    for batch in range(3):
+        write_archive(rows.filter(F.col("s_no") % 3 == batch), f"{root}/archive", batch=f"main-{batch}")
+    compact_archive(spark, f"{root}/archive", f"{root}/merged")
+    merged = read_archive(spark, f"{root}/merged")
+    before, after = (
+        spark.read.parquet(f"{root}/{name}").select(F.count_distinct("_metadata.file_path")).first()[0]
+        for name in ("archive", "merged")
+    )
+    return merged.withColumn("fewer_files", F.lit(after < before))
 
 
 def stream_latest(spark: SparkSession, d: str) -> DataFrame:
@@ -64,9 +86,8 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
     root = scratch(spark, "alerts")
-    messages = as_messages(event_stream(spark, d))
     start_alerts(
-        messages, f"{root}/checkpoint", path=f"{root}/alerts", trigger=DRAIN
+        as_messages(event_stream(spark, d)), f"{root}/checkpoint", path=f"{root}/alerts", trigger=DRAIN
     ).awaitTermination()
     return (
         spark.read.schema(MESSAGE).parquet(f"{root}/alerts").select("offset", "key", "value")
@@ -75,5 +96,13 @@ def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (stream_dead_letters, stream_archive, stream_view, stream_latest, stream_alerts)
+    for f in (
+        stream_dead_letters,
+        stream_archive,
+        stream_view,
+        stream_view_partitions,
+        stream_latest,
+        stream_alerts,
+        archive_compaction,
+    )
 }

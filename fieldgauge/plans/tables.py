@@ -63,6 +63,18 @@ def as_messages(events: DataFrame) -> DataFrame:
         damaged(F.col("_text"), number).alias("value"),
         F.lit(0).alias("partition"),
         number.alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+def over_partitions(messages: DataFrame, partitions: int = 4) -> DataFrame:
+    """The same messages dealt over several partitions, each with offsets of its own."""
+    number = F.col("offset")
+    return messages.withColumns(
+        {
+            "partition": F.pmod(number, F.lit(partitions)).cast("int"),
+            "offset": F.floor(number / partitions).cast("bigint"),
+        }
     )
 
 

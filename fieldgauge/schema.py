@@ -26,6 +26,10 @@ LOG_ROWS_PER_FILE = 64 * 1024 * 1024 // 200
 # How often the topic is polled.
 POLL_INTERVAL = "100 milliseconds"
 
+# The ingest writes files, so a batch waits for so many rows or so long.
+BATCH_ROWS = 10_000
+BATCH_DELAY = "1 minute"
+
 # ---- messages ---------------------------------------------------------------------
 
 MESSAGE = T.StructType(
@@ -34,6 +38,7 @@ MESSAGE = T.StructType(
         T.StructField("value", T.StringType()),
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
     ]
 )
 
@@ -64,6 +69,23 @@ LOG = T.StructType(
     ]
 )
 
+# Log of messages. Batch ids follow arrival, and the epoch grows with each new checkpoint,
+# so a message that arrives later counts as later even if offsets begin anew or its key
+# moves to another partition. Inside a batch the record's time comes first; it can be set
+# by the producer, so it must not decide over batches.
+ARRIVAL = ["epoch", "batch", "timestamp", "partition", "offset"]
+ARRIVALS = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("epoch", T.LongType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+    ]
+)
+
 # Documents of the external feed. Leaves are text because the numbers are coerced
 # leniently, see functions.json_text.
 FEED = T.StructType(

@@ -69,6 +69,27 @@ def read_archive(
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def compact_archive(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    data: T.StructType = READING,
+    station: str = "station_id",
+    rows_per_file: int | None = None,
+) -> None:
+    """Write an archive again with the batch folders of each month merged to few files.
+
+    `path` can be a whole archive or some `station=.../year=...` folders of it as a glob;
+    `target` is a new folder, so that readers of the old one are not disturbed. Run it on
+    months that are closed, then switch readers and delete the old folders.
+    """
+    schema = archive_schema(data, station)
+    base = path.partition(f"/{station}=")[0]
+    rows = spark.read.schema(schema).option("basePath", base).parquet(path).select(*schema.names)
+    month = F.lpad(F.col("month").cast("string"), 2, "0")
+    write_archive(rows.withColumn("month", month), target, station, rows_per_file=rows_per_file)
+
+
 def read_slice(archive: DataFrame, **folder: object) -> DataFrame:
     """Rows of the given station, year and month; no other folder is scanned."""
     for name, value in folder.items():

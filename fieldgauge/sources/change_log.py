@@ -1,13 +1,17 @@
 """Change log in batch folders, compacted into snapshots.
 
-    root/batches/<writer>/b=<id>/  rows of one micro-batch, replaced if it repeats
-    root/snapshots/<name>/         latest row per key over all batches up to some id
-    root/commits/<number>.json     {"snapshot": <name>, "through": {<writer>: <id>}}
-
-A writer is whoever numbers batches from 0, such as one streaming checkpoint. The newest
-commit names the snapshot in force. Readers merge it with the batches after `through`.
-Snapshots and commits are never replaced, so a compaction that dies half way, or a reader
-that started earlier, sees whole data.
+    root/batches/<writer>.<id>.<attempt>/    rows of one micro-batch
+    root/closed/<writer>.<id>.<attempt>      empty file: that folder is complete
+    root/writers/<epoch>.json                {"writer": <name>}, in the order of starting
+    root/snapshots/<name>/bucket=<n>/        latest row per key of one bucket of keys
+    root/commits/<number>.json               {"buckets": {<n>: <name>}, "through": {<writer>: <id>}}
+
+A writer is whoever numbers batches from 0, such as one streaming checkpoint. A batch that
+runs again is a new folder, published when it is complete; until then readers see the
+attempt before. One listing of `closed` tells which batches there are. The newest commit
+names the snapshot of each bucket in force; readers merge them with the batches after
+`through`. Nothing is ever replaced, so a compaction that dies half way, or a reader that
+started earlier, sees whole data.
 """
 
 from __future__ import annotations
@@ -15,7 +19,8 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.latest import latest_per_key
@@ -23,28 +28,35 @@ from ..schema import LOG, LOG_ROWS_PER_FILE
 from .storage import Folder
 
 MAIN = "main"
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
 class Commit:
     number: int = 0
-    snapshot: str | None = None
+    buckets: dict[str, str] = field(default_factory=dict)
     through: dict[str, int] = field(default_factory=dict)
 
 
 class ChangeLog:
+    """`version` is the column, or the columns from the most significant on, by which the
+    latest row of a key is found. `buckets` counts for new logs; keep it for a log's life."""
+
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         schema: T.StructType = LOG,
         key: str = "key",
-        version: str = "version",
+        version: str | list[str] = "version",
+        buckets: int = BUCKETS,
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.key, self.version = key, version
+        self.key, self.version, self.buckets = key, version, buckets
         self._commits = Folder(spark, f"{self.root}/commits")
+        self._closed = Folder(spark, f"{self.root}/closed")
         self._batches = Folder(spark, f"{self.root}/batches")
+        self._writers = Folder(spark, f"{self.root}/writers")
         self._snapshots = Folder(spark, f"{self.root}/snapshots")
 
     # ---- writing
@@ -52,7 +64,7 @@ class ChangeLog:
     def append(
         self, df: DataFrame, batch_id: int, writer: str = MAIN, reduce: bool = True
     ) -> None:
-        """Write one batch. Repeating a batch id replaces that batch.
+        """Write one batch. Repeating a batch id replaces that batch once it is complete.
 
         Values that are no longer the latest inside the batch cannot be read by anyone,
         so they are left out, unless the caller says that keys are unique already.
@@ -60,7 +72,26 @@ class ChangeLog:
         rows = df.select(*self.schema.names)
         if reduce:
             rows = latest_per_key(rows, self.key, self.version).select(*rows.columns)
-        rows.write.mode("overwrite").parquet(f"{self._batches.path}/{writer}/b={batch_id}")
+        earlier = [a for w, i, a in self._attempts() if (w, i) == (writer, batch_id)]
+        number = 1 + max((int(a.partition("-")[0]) for a in earlier), default=0)
+        name = f"{writer}.{batch_id}.{number:06d}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self._batches.path}/{name}")
+        self._closed.create_text(name, "")
+
+    def epoch_of(self, writer: str) -> int:
+        """1 for the first writer that ever asked, 2 for the second, and so on."""
+        while True:
+            names = self._writers.names()
+            for name in names:
+                if self._writers.read_json(name)["writer"] == writer:
+                    return int(name.removesuffix(".json"))
+            epoch = 1 + int(names[-1].removesuffix(".json")) if names else 1
+            try:
+                self._writers.create_json(f"{epoch:06d}.json", {"writer": writer})
+            except Exception:
+                # Another writer took the number; without one the error is a real one.
+                if not self._writers.exists(f"{epoch:06d}.json"):
+                    raise
 
     # ---- reading
 
@@ -70,65 +101,84 @@ class ChangeLog:
             return Commit()
         return Commit(int(names[-1].removesuffix(".json")), **self._commits.read_json(names[-1]))
 
+    def _attempts(self) -> list[tuple[str, int, str]]:
+        """Writer, batch id and attempt of all complete folders, in this order."""
+        parts = (name.rsplit(".", 2) for name in self._closed.names())
+        return sorted((writer, int(i), attempt) for writer, i, attempt in parts)
+
+    def _last_attempts(
+        self, after: dict[str, int] | None = None, through: dict[str, int] | None = None
+    ) -> dict[tuple[str, int], str]:
+        after = after or {}
+        return {
+            (writer, i): attempt
+            for writer, i, attempt in self._attempts()
+            if i > after.get(writer, -1) and (through is None or i <= through.get(writer, -1))
+        }
+
     def closed_batches(
         self, after: dict[str, int] | None = None, through: dict[str, int] | None = None
     ) -> list[tuple[str, int]]:
         """Writer and id of the completely written batches in the given range."""
-        after = after or {}
-        return sorted(
-            (writer, i)
-            for writer in self._batches.names()
-            for i in self._batch_ids(writer)
-            if i > after.get(writer, -1)
-            and (through is None or i <= through.get(writer, -1))
-            and self._batches.exists(writer, f"b={i}", "_SUCCESS")
-        )
-
-    def _batch_ids(self, writer: str) -> list[int]:
-        names = Folder(self.spark, f"{self._batches.path}/{writer}").names()
-        return [int(n.removeprefix("b=")) for n in names if n.startswith("b=")]
+        return list(self._last_attempts(after, through))
 
-    def _rows(self, snapshot: str | None, batches: list[tuple[str, int]]) -> DataFrame:
-        paths = [f"{self._batches.path}/{writer}/b={i}" for writer, i in batches]
-        if snapshot:
-            paths.append(f"{self._snapshots.path}/{snapshot}")
+    def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def _batch_paths(self, batches: dict[tuple[str, int], str]) -> list[str]:
+        return [f"{self._batches.path}/{w}.{i}.{attempt}" for (w, i), attempt in batches.items()]
+
+    def _bucket_paths(self, buckets: dict[str, str]) -> list[str]:
+        return [f"{self._snapshots.path}/{name}/bucket={n}" for n, name in buckets.items()]
+
     def rebuild(self) -> DataFrame:
-        """The latest view: newest snapshot merged with the batches after it."""
+        """The latest view: snapshots in force merged with the batches after them."""
         at = self.commit()
-        rows = self._rows(at.snapshot, self.closed_batches(at.through))
-        return latest_per_key(rows, self.key, self.version)
+        paths = self._bucket_paths(at.buckets) + self._batch_paths(self._last_attempts(at.through))
+        return latest_per_key(self._read(paths), self.key, self.version)
+
+    def snapshot(self) -> DataFrame:
+        """Rows of the snapshots in force, one per key, without the batches after them."""
+        return self._read(self._bucket_paths(self.commit().buckets))
 
     # ---- maintenance
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets))
+
     def compact(
         self, through: dict[str, int] | None = None, rows_per_file: int = LOG_ROWS_PER_FILE
     ) -> Commit:
-        """Merge the closed batches into a new snapshot. Never changes what readers see.
+        """Merge the closed batches into the snapshots. Never changes what readers see.
 
-        The snapshot is sorted by key, so a lookup reads the row groups that can hold
-        the key. Two compactions at once cannot both commit the same number.
+        Only buckets with keys of these batches are read and written. A bucket is sorted
+        by key, so a lookup reads the row groups that can hold the key. Two compactions at
+        once cannot both commit the same number.
         """
         at = self.commit()
-        batches = self.closed_batches(at.through, through)
+        batches = self._last_attempts(at.through, through)
         if not batches:
             return at
         name = f"v={at.number + 1}-{uuid.uuid4().hex}"
-        view = latest_per_key(self._rows(at.snapshot, batches), self.key, self.version)
+        fresh = self._read(self._batch_paths(batches))
+        # At most one row per bucket.
+        touched = {str(r[0]) for r in fresh.select(self._bucket()).distinct().collect()}
+        old = self._read(self._bucket_paths({n: s for n, s in at.buckets.items() if n in touched}))
+        view = latest_per_key(old.unionByName(fresh), self.key, self.version)
         (
-            view.select(*self.schema.names)
-            .repartitionByRange(self.key)
-            .sortWithinPartitions(self.key)
-            .write.option("maxRecordsPerFile", rows_per_file)
+            view.select(*self.schema.names, self._bucket().alias("bucket"))
+            .repartitionByRange("bucket", self.key)
+            .sortWithinPartitions("bucket", self.key)
+            .write.partitionBy("bucket")
+            .option("maxRecordsPerFile", rows_per_file)
             .parquet(f"{self._snapshots.path}/{name}")
         )
         # Sorted by id, so the last id of each writer stays.
-        done = Commit(at.number + 1, name, at.through | dict(batches))
+        done = Commit(at.number + 1, at.buckets | dict.fromkeys(touched, name), at.through | dict(batches.keys()))
         self._commits.create_json(
-            f"{done.number:012d}.json", {"snapshot": name, "through": done.through}
+            f"{done.number:012d}.json", {"buckets": done.buckets, "through": done.through}
         )
         return done
 
@@ -143,11 +193,22 @@ class ChangeLog:
         kept = [self._commits.read_json(n) for n in names[-max(keep, 1) :]]
         for name in names[: -max(keep, 1)]:
             self._commits.delete(name)
-        for writer, batch in self.closed_batches(through=kept[0]["through"]):
-            self._batches.delete(f"{writer}/b={batch}")
-        in_use = {c["snapshot"] for c in kept}
+        last = self._last_attempts()
+        for writer, i, attempt in self._attempts():
+            if i <= kept[0]["through"].get(writer, -1) or last[writer, i] != attempt:
+                # The mark first: a folder without one is not read.
+                self._closed.delete(f"{writer}.{i}.{attempt}")
+                self._batches.delete(f"{writer}.{i}.{attempt}")
+        in_use = {(name, n) for c in kept for n, name in c["buckets"].items()}
         newest = int(names[-1].removesuffix(".json"))
         for name in self._snapshots.names():
-            number = int(name.removeprefix("v=").partition("-")[0])
-            if number <= newest and name not in in_use:
+            if int(name.removeprefix("v=").partition("-")[0]) > newest:
+                continue
+            folder = Folder(self.spark, f"{self._snapshots.path}/{name}")
+            buckets = [b for b in folder.names() if b.startswith("bucket=")]
+            unused = [b for b in buckets if (name, b.removeprefix("bucket=")) not in in_use]
+            if len(unused) == len(buckets):
                 self._snapshots.delete(name)
+            else:
+                for bucket in unused:
+                    folder.delete(bucket)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import MESSAGE
+from ..schema import BATCH_DELAY, BATCH_ROWS, MESSAGE
 from .storage import Folder
 
 
@@ -27,14 +27,20 @@ def as_messages(df: DataFrame) -> DataFrame:
         F.col("value").cast("string").alias("value"),
         "partition",
         "offset",
+        "timestamp",
     )
 
 
 def stream_topic(
     spark: SparkSession, servers: str, topic: str, starting: str = "latest", **more: object
 ) -> DataFrame:
-    """Unbounded messages of a Kafka topic; bound a batch with maxOffsetsPerTrigger."""
-    options = kafka_options(servers, topic, starting, **more)
+    """Unbounded messages of a Kafka topic; bound a batch with maxOffsetsPerTrigger.
+
+    A batch waits for BATCH_ROWS messages, or BATCH_DELAY, unless the options
+    minOffsetsPerTrigger and maxTriggerDelay say otherwise.
+    """
+    waiting = {"minOffsetsPerTrigger": BATCH_ROWS, "maxTriggerDelay": BATCH_DELAY}
+    options = kafka_options(servers, topic, starting, **(waiting | more))
     return as_messages(spark.readStream.format("kafka").options(**options).load())
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alerts import rain_alerts
@@ -16,14 +17,23 @@ from ..operators.messages import (
     readings,
     with_default_key,
 )
-from ..schema import POLL_INTERVAL
+from ..schema import ARRIVAL, ARRIVALS, BATCH_DELAY, POLL_INTERVAL
 from ..sources.archive import with_partitions, write_archive
 from ..sources.change_log import MAIN, ChangeLog
 from ..sources.storage import Folder
 
 # Drain everything that has arrived, in batches, then stop.
 DRAIN = {"availableNow": True}
+# For alerts: look for messages all the time.
 POLL = {"processingTime": POLL_INTERVAL}
+# For what writes files: one batch per interval. A topic that is polled more often should
+# carry a least number of messages per batch, as `topics.stream_topic` does.
+GATHER = {"processingTime": BATCH_DELAY}
+
+
+def message_log(spark: SparkSession, root: str) -> ChangeLog:
+    """The log that the ingest below `root` writes; its `rebuild()` is the latest view."""
+    return ChangeLog(spark, f"{root}/log", ARRIVALS, "key", ARRIVAL)
 
 
 def split_batch(
@@ -54,12 +64,12 @@ def split_batch(
 
     classified = classify(with_default_key(batch)).persist()
     try:
-        rejected = dead_letters(classified, "key", "value", "partition", "offset")
+        rejected = dead_letters(classified, "key", "value", "partition", "offset", "timestamp")
         (reject or to_table)(rejected, batch_id)
         accepted = classified.filter(~classified.reason.eqNullSafe(NOT_ENVELOPE))
-        ChangeLog(batch.sparkSession, f"{root}/log").append(
-            accepted.withColumnRenamed("offset", "version"), batch_id, writer
-        )
+        log = message_log(batch.sparkSession, root)
+        arrival = {"epoch": F.lit(log.epoch_of(writer)), "batch": F.lit(batch_id)}
+        log.append(accepted.withColumns(arrival), batch_id, writer)
         write_archive(
             with_partitions(readings(classified)),
             f"{root}/archive",
@@ -86,7 +96,7 @@ def start_batches(
         stream.writeStream.foreachBatch(write)
         .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or POLL))
+        .trigger(**(trigger or GATHER))
         .start()
     )
 

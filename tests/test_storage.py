@@ -1,6 +1,7 @@
 import csv
 import json
 import os
+import pathlib
 import random
 
 import pyarrow as pa
@@ -44,7 +45,38 @@ def test_update_replaces_and_reopen_keeps(spark, log):
 def test_repeated_batch_counts_once(spark, log):
     for _ in range(2):
         log.append(rows_of(spark, ("a", "1", 1), ("a", "0", 0)), 0)
-    assert spark.read.parquet(f"{log.root}/batches/main/b=0").count() == 1
+    assert log.closed_batches() == [("main", 0)] and view_of(log) == {"a": "1"}
+    (batch, attempt), = log._last_attempts().items()
+    assert spark.read.parquet(*log._batch_paths({batch: attempt})).count() == 1
+
+
+def test_reader_sees_a_batch_while_it_is_repeated(spark, log):
+    log.append(rows_of(spark, ("a", "1", 1)), 0)
+    before = log.rebuild()
+    # A second attempt that is not complete yet, then one that is.
+    rows_of(spark, ("a", "9", 9)).write.parquet(f"{log.root}/batches/main.0.000002-unfinished")
+    assert view_of(log) == {"a": "1"}
+    log.append(rows_of(spark, ("a", "2", 1)), 0)
+    assert view_of(log) == {"a": "2"}
+    assert [r.value for r in before.collect()] == ["1"]
+    log.compact()
+    log.vacuum()
+    assert view_of(log) == {"a": "2"} and log.closed_batches() == []
+
+
+def test_compaction_leaves_other_buckets_alone(spark, log):
+    log.append(rows_of(spark, *[(f"k{i}", "v", 1) for i in range(500)]), 0)
+    first = log.compact()
+    log.append(rows_of(spark, ("k7", "new", 2)), 1)
+    second = log.compact()
+    assert len(first.buckets) == 64 and set(first.buckets.values()) == {next(iter(first.buckets.values()))}
+    assert sum(first.buckets[n] != second.buckets[n] for n in first.buckets) == 1
+    log.vacuum()
+    assert view_of(log) == {f"k{i}": "v" for i in range(500)} | {"k7": "new"}
+
+
+def test_epochs_follow_the_order_of_starting(log):
+    assert [log.epoch_of(w) for w in "xyxzy"] == [1, 2, 1, 3, 2]
 
 
 def test_compaction_never_changes_the_answer(spark, log):
@@ -61,7 +93,9 @@ def test_compaction_never_changes_the_answer(spark, log):
     assert log.closed_batches() == [("main", 4), ("main", 5)]
     log.compact()
     log.vacuum()
-    assert log.closed_batches() == [] and len(os.listdir(f"{log.root}/snapshots")) == 1
+    assert log.closed_batches() == []
+    kept = {(p.parent.name, p.name) for p in pathlib.Path(log.root, "snapshots").glob("*/bucket=*")}
+    assert kept == {(name, f"bucket={n}") for n, name in log.commit().buckets.items()}
     assert view_of(log) == before | {"k0": "new"}
 
 
@@ -97,7 +131,7 @@ def test_writers_number_their_batches_alone(spark, log):
 def test_unfinished_batch_and_snapshot_are_not_read(spark, log):
     log.append(rows_of(spark, ("a", "1", 1)), 0)
     log.append(rows_of(spark, ("a", "2", 2)), 1)
-    os.remove(f"{log.root}/batches/main/b=1/_SUCCESS")
+    os.remove(next(str(p) for p in pathlib.Path(log.root, "closed").glob("main.1.*")))
     os.makedirs(f"{log.root}/snapshots/v=1-dead")
     assert view_of(log) == {"a": "1"}
     log.compact()
@@ -108,16 +142,15 @@ def test_two_compactions_cannot_both_commit(spark, log):
     log.append(rows_of(spark, ("a", "1", 1)), 0)
     log.compact()
     with pytest.raises(Exception):
-        log._commits.create_json("000000000001.json", {"snapshot": "x", "through": {}})
+        log._commits.create_json("000000000001.json", {"buckets": {}, "through": {}})
     assert view_of(log) == {"a": "1"}
 
 
 def test_snapshot_files_are_bounded(spark, log):
     log.append(rows_of(spark, *[(f"k{i}", "v", i) for i in range(100)]), 0)
     done = log.compact(rows_per_file=10)
-    folder = f"{log.root}/snapshots/{done.snapshot}"
-    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
-    assert all(spark.read.parquet(f"{folder}/{f}").count() <= 10 for f in files)
+    files = [str(f) for name in set(done.buckets.values()) for f in pathlib.Path(log.root, "snapshots", name).glob("*/*.parquet")]
+    assert files and all(spark.read.parquet(f).count() <= 10 for f in files)
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -306,7 +339,23 @@ def test_topic_options():
 
 def test_topic_columns(spark):
     raw = spark.createDataFrame(
-        [(bytearray(b"1"), bytearray(b"{}"), 0, 5, "t")],
-        "key binary, value binary, partition int, offset bigint, topic string",
+        [(bytearray(b"1"), bytearray(b"{}"), 0, 5, "t", None)],
+        "key binary, value binary, partition int, offset bigint, topic string, timestamp timestamp",
     )
-    assert topics.as_messages(raw).first().asDict() == {"key": "1", "value": "{}", "partition": 0, "offset": 5}
+    want = {"key": "1", "value": "{}", "partition": 0, "offset": 5, "timestamp": None}
+    assert topics.as_messages(raw).first().asDict() == want
+
+
+def test_archive_compaction(spark, tmp_path):
+    rows = [(n % 3, n, "low", 1714521600 + n * 86400, 1, 2, 3) for n in range(60)]
+    df = archive.with_partitions(spark.createDataFrame(rows, READING))
+    for batch in range(4):
+        archive.write_archive(df.filter(F.col("s_no") % 4 == batch), f"{tmp_path}/a", batch=f"main-{batch}")
+    archive.compact_archive(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    old, new = (sorted(map(tuple, archive.read_archive(spark, f"{tmp_path}/{x}").collect())) for x in "ab")
+    assert old == new and len(old) == 60
+    count = lambda x: len(list((tmp_path / x).rglob("*.parquet")))
+    assert count("b") < count("a")
+    archive.compact_archive(spark, f"{tmp_path}/a/station_id=1/year=2024/month=05", f"{tmp_path}/c")
+    part = archive.read_archive(spark, f"{tmp_path}/b").filter("station_id = 1 and month = 5")
+    assert sorted(map(tuple, archive.read_archive(spark, f"{tmp_path}/c").collect())) == sorted(map(tuple, part.collect()))

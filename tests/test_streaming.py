@@ -1,3 +1,4 @@
+import datetime
 import json
 
 import pytest
@@ -10,7 +11,7 @@ from fieldgauge.sources.archive import read_archive
 from fieldgauge.sources.change_log import ChangeLog
 from fieldgauge.sources.feeds import stream_documents
 from fieldgauge.sources.topics import stream_files
-from fieldgauge.streaming.ingest import DRAIN, split_batch, start_alerts, start_ingest, start_latest
+from fieldgauge.streaming.ingest import DRAIN, message_log, split_batch, start_alerts, start_ingest, start_latest
 
 
 def message(station, number, humidity=50, at=1714521600):
@@ -29,7 +30,7 @@ BATCHES = [
 
 
 def land(spark, path, rows):
-    spark.createDataFrame(rows, MESSAGE).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([(*r, None) for r in rows], MESSAGE).coalesce(1).write.mode("append").parquet(path)
 
 
 @pytest.fixture
@@ -42,7 +43,7 @@ def landing(spark, tmp_path):
 
 def state(spark, root):
     dead = {(r.key, r.reason) for r in spark.read.parquet(f"{root}/dead_letters").collect()}
-    view = {r.key: r.value for r in ChangeLog(spark, f"{root}/log").rebuild().collect()}
+    view = {r.key: r.value for r in message_log(spark, root).rebuild().collect()}
     rows = sorted((r.station_id, r.s_no) for r in read_archive(spark, f"{root}/archive").collect())
     return dead, view, rows
 
@@ -82,7 +83,7 @@ def test_new_checkpoint_replaces_nothing(spark, landing, tmp_path):
     for checkpoint in ("first", "second"):
         stream = stream_files(spark, landing, MESSAGE, maxFilesPerTrigger=1)
         start_ingest(stream, root, f"{root}/{checkpoint}", DRAIN).awaitTermination()
-        ChangeLog(spark, f"{root}/log").compact()
+        message_log(spark, root).compact()
     dead, view, rows = state(spark, root)
     assert (dead, view, rows) == (DEAD, VIEW, sorted(ROWS * 2))
 
@@ -90,19 +91,69 @@ def test_new_checkpoint_replaces_nothing(spark, landing, tmp_path):
 def test_batch_that_runs_twice(spark, tmp_path):
     root = str(tmp_path / "out")
     for batch in (0, 1, 1, 2):
-        rows = spark.createDataFrame(BATCHES[batch], MESSAGE)
+        rows = spark.createDataFrame([(*r, None) for r in BATCHES[batch]], MESSAGE)
         split_batch(rows, batch, root, gather=batch != 2, rows_per_file=1)
     assert state(spark, root) == (DEAD, VIEW, ROWS)
 
 
 def test_rejected_rows_can_go_elsewhere(spark, tmp_path):
     got = []
-    batch = spark.createDataFrame(BATCHES[1], MESSAGE)
+    batch = spark.createDataFrame([(*r, None) for r in BATCHES[1]], MESSAGE)
     split_batch(batch, 7, str(tmp_path), reject=lambda rows, i: got.append((i, rows.count())))
     assert got == [(7, 2)]
     assert not (tmp_path / "dead_letters").exists()
 
 
+def test_later_arrival_wins_whatever_its_offset(spark, tmp_path):
+    root, path = str(tmp_path / "out"), str(tmp_path / "landing")
+    run = lambda checkpoint: start_ingest(
+        stream_files(spark, path, MESSAGE, maxFilesPerTrigger=1), root, f"{root}/{checkpoint}", DRAIN
+    ).awaitTermination()
+    view = lambda: {r.key: json.loads(r.value)["s_no"] for r in message_log(spark, root).rebuild().collect()}
+    # The key moves to a partition whose offsets are lower, then the topic is made anew.
+    land(spark, path, [("1", message(1, 1), 0, 900), (None, message(2, 1), 0, 901), (None, message(2, 2), 1, 3)])
+    run("first")
+    assert view() == {"1": 1, "unknown_station": 2}
+    land(spark, path, [("1", message(1, 2), 3, 5)])
+    run("first")
+    assert view() == {"1": 2, "unknown_station": 2}
+    path = str(tmp_path / "anew")
+    land(spark, path, [("1", message(1, 3), 0, 0)])
+    run("second")
+    assert view() == {"1": 3, "unknown_station": 2}
+    message_log(spark, root).compact()
+    assert view() == {"1": 3, "unknown_station": 2}
+
+
+def test_record_time_comes_first_inside_a_batch(spark, tmp_path):
+    at = datetime.datetime(2024, 5, 1)
+    rows = [("1", message(1, 1), 0, 9, at), ("1", message(1, 2), 1, 2, at + datetime.timedelta(seconds=1)), ("1", message(1, 3), 2, 50, None)]
+    split_batch(spark.createDataFrame(rows, MESSAGE), 0, str(tmp_path))
+    assert json.loads(message_log(spark, str(tmp_path)).rebuild().first().value)["s_no"] == 2
+
+
+def test_default_triggers(spark, landing, tmp_path):
+    alerts = start_alerts(stream_files(spark, landing, MESSAGE), f"{tmp_path}/c1", path=f"{tmp_path}/alerts")
+    ingest = start_ingest(stream_files(spark, landing, MESSAGE), f"{tmp_path}/out", f"{tmp_path}/c2")
+    try:
+        alerts.processAllAvailable()
+        ingest.processAllAvailable()
+        land(spark, landing, [("9", message(9, 1, 99), 0, 9)])
+        alerts.processAllAvailable()
+        assert spark.read.parquet(f"{tmp_path}/alerts").count() == 3
+        # The ingest gathers for a minute before its next batch.
+        assert state(spark, f"{tmp_path}/out") == (DEAD, VIEW, ROWS)
+    finally:
+        alerts.stop()
+        ingest.stop()
+
+
+def test_alerts_need_one_target(spark, landing):
+    for targets in ({}, {"path": "x", "kafka": {"topic": "y"}}):
+        with pytest.raises(ValueError):
+            start_alerts(stream_files(spark, landing, MESSAGE), "c", **targets)
+
+
 def test_alerts(spark, landing, tmp_path):
     root = str(tmp_path / "alerts")
     for _ in range(2):
