@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, stored, text_array, text_slices
-from .tokens import encoder, with_end
+from .tokens import SLICE_BYTES, encoder, with_end
 
 LENGTH = 4096
 # Tokens packed at once in a task, and bins packed at once in a group of a later level.
@@ -115,7 +115,7 @@ def pack_task(vocab: str, length: int, window_tokens: int):
         window = Window(length, TaskContext.get().partitionId())
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for begin, some in text_slices(text_array(batch.column(1))):
+            for begin, some in text_slices(text_array(batch.column(1)), SLICE_BYTES):
                 ids, bounds = with_end(*known.encode(some))
                 ids = ids.astype("<u2") if known.tokenizer.get_vocab_size() <= 65536 else ids
                 for n, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):

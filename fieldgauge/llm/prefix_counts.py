@@ -17,6 +17,8 @@ from __future__ import annotations
 import json
 import unicodedata
 from functools import lru_cache
+from operator import sub
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -25,24 +27,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bound_batches, text_array, text_slices
-from .tokens import LETTERS, PIECE, PLAIN, SPECIAL_START, Encoder, Memory, as_letters, distinct_words, spread
+from .tokens import LETTERS, PIECE, SLICE_BYTES, Encoder, Memory, as_letters
 
 STEP = np.dtype("<i2")
 # Pieces up to this length have each prefix encoded; longer ones use the dynamic program.
 SHORT = 24
+# Prefixes up to this length are shared by so many pieces that they are remembered.
+HEAD = 6
+
+
+def is_contraction(piece: str) -> bool:
+    return len(piece) > 1 and piece[0] == "'" and piece[1].isalpha()
+
+
+def as_steps(counts: list[int]) -> bytes:
+    return pack(f"<{len(counts)}h", *map(sub, counts, [0, *counts[:-1]]))
 
 
 class PrefixEncoder(Encoder):
+    """As Encoder, but what is known of a word is the step of the count at each character."""
+
+    kind = STEP
+
     def __init__(self, path: str):
         super().__init__(path)
-        self.steps = Memory(self._steps)
-        self.short = Memory(self._short_piece)
+        self.heads = Memory(lambda head: len(self.model.tokenize(as_letters(head))))
         self.inner_pairs = Memory(self._inner_pair)
         self.last_pairs = Memory(self._last_pair)
-        self.longest = max(len(t) for t in self.tokenizer.get_vocab())
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._inner = None
-        self.path = path
 
     @property
     def inner(self):
@@ -56,6 +69,7 @@ class PrefixEncoder(Encoder):
             self._inner = BPE(vocab=model["vocab"], merges=merges)
             self._known = model["vocab"].keys()
             self._suffix = model["end_of_word_suffix"] or ""
+            self._reach = max(map(len, self._known))
         return self._inner
 
     def _inner_pair(self, pair: tuple[str, str]) -> bool:
@@ -66,23 +80,38 @@ class PrefixEncoder(Encoder):
         left, right = pair
         return [t.value for t in self.model.tokenize(left + right)] == [t for t in (left, right + self._suffix) if t]
 
-    def count(self, word: str) -> int:
-        return len(self.words[word]) // 4
+    def count(self, text: str) -> int:
+        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _short_piece(self, piece: str) -> list[int]:
-        return [len(self.pieces[piece[:n]]) // 4 for n in range(1, len(piece) + 1)]
+    def make_piece(self, piece: str) -> bytes:
+        if is_contraction(piece):
+            return as_steps(self.contraction_counts(piece))
+        if len(piece) > SHORT:
+            return as_steps(self.run_counts(piece))
+        counts = [self.heads[piece[:n]] for n in range(1, min(len(piece), HEAD) + 1)]
+        tokenize = self.model.tokenize
+        counts += [len(tokenize(as_letters(piece[:n]))) for n in range(HEAD + 1, len(piece) + 1)]
+        return as_steps(counts)
 
-    def piece_counts(self, piece: str) -> list[int]:
+    def make_other(self, word: str) -> bytes:
+        if len(word) <= SHORT:
+            return as_steps([self.count(word[:n]) for n in range(1, len(word) + 1)])
+        return as_steps(self._rare_counts(word))
+
+    def contraction_counts(self, piece: str) -> list[int]:
+        """A cut contraction falls into pieces that the whole one doesn't have."""
+        cut = [PIECE.findall(piece[:n]) for n in range(1, len(piece) + 1)]
+        return [sum(len(self.model.tokenize(p)) for p in own) for own in cut]
+
+    def run_counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of a piece that is one run of letters or one of signs."""
-        if len(piece) <= SHORT:
-            return self.short[piece]
         ends, letters = [], []
         for char in piece:
             letters += [LETTERS[b] for b in char.encode()]
             ends.append(len(letters))
         text = "".join(letters)
         assert self.inner
-        known, suffix, reach = self._known, self._suffix, self.longest
+        known, suffix, reach = self._known, self._suffix, self._reach
         # Last token and number of tokens of each prefix that does not end the word.
         last, number = [""], [0]
         counts = [0] * (len(text) + 1)
@@ -107,28 +136,8 @@ class PrefixEncoder(Encoder):
                     counts[end] = len(self.model.tokenize(text[:end]))
         return [counts[end] for end in ends]
 
-    def run_counts(self, pieces: list[str]) -> list[int]:
-        """Tokens of each prefix of the pieces in a row."""
-        counts, before = [], 0
-        for piece in pieces:
-            if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():
-                own = [sum(len(self.pieces[p]) // 4 for p in PIECE.findall(piece[:n])) for n in range(1, len(piece) + 1)]
-            else:
-                own = self.piece_counts(piece)
-            counts += [before + n for n in own]
-            before = counts[-1]
-        return counts
-
-    def _steps(self, word: str) -> bytes:
-        return np.diff(self.prefix_counts(word), prepend=0).astype(STEP).tobytes()
-
-    def prefix_counts(self, word: str) -> list[int]:
-        """Tokens of each prefix of a text without white space."""
-        if PLAIN.fullmatch(word) and SPECIAL_START not in word:
-            return self.run_counts(PIECE.findall(word.lower()))
-        if len(word) <= SHORT:
-            return [self.count(word[:n]) for n in range(1, len(word) + 1)]
-        return self._rare_counts(word)
+    def word_counts(self, word: str) -> list[int]:
+        return np.cumsum(np.frombuffer(self.values([word])[0], STEP), dtype=int).tolist()
 
     def _rare_counts(self, word: str) -> list[int]:
         """As prefix_counts, for long words of any characters."""
@@ -136,9 +145,9 @@ class PrefixEncoder(Encoder):
             at = word.find(special)
             if at >= 0:
                 end = at + len(special)
-                head = self.prefix_counts(word[: end - 1]) if end > 1 else []
+                head = self.word_counts(word[: end - 1])
                 whole = (head[at - 1] if at else 0) + 1
-                tail = self.prefix_counts(word[end:]) if word[end:] else []
+                tail = self.word_counts(word[end:])
                 return [*head, whole, *(whole + n for n in tail)]
         # Parts that are normalised on their own: a new one starts at a character that
         # does not combine with the part before it.
@@ -168,21 +177,17 @@ class PrefixEncoder(Encoder):
         counts, before = [0] * (len(text) + 1), 0
         for _, (start, stop) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
             piece = text[start:stop]
-            if PIECE.fullmatch(piece) and piece[0] == "'":
-                own = self.run_counts([piece])
-            else:
-                own = self.piece_counts(piece)
+            own = self.contraction_counts(piece) if is_contraction(piece) else self.run_counts(piece)
             counts[start + 1 : stop + 1] = [before + n for n in own]
             before = counts[stop]
         found = [counts[end] for end in ends]
         for n in direct:
-            found[n - 1] = len(self.tokenizer.encode(word[:n], add_special_tokens=False).ids)
+            found[n - 1] = self.count(word[:n])
         return found
 
     def text_steps(self, texts: pa.Array) -> list[bytes]:
         """The steps of whole texts; white space has the step 0."""
-        words, places, bounds = distinct_words(texts)
-        steps, ends = spread([self.steps[w] for w in words], places, bounds, STEP)
+        steps, ends = self.encode(texts)
         found = []
         for n, text in enumerate(texts.to_pylist()):
             own = steps[ends[n] : ends[n + 1]]
@@ -205,7 +210,7 @@ def prefix_steps(path: str):
     @F.arrow_udf(T.BinaryType())
     def steps(texts: pa.Array) -> pa.Array:
         known = prefix_encoder(path)
-        found = [s for _, part in text_slices(text_array(texts)) for s in known.text_steps(part)]
+        found = [s for _, part in text_slices(text_array(texts), SLICE_BYTES) for s in known.text_steps(part)]
         return pa.array(found, pa.binary())
 
     return steps

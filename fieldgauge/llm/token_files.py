@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from .common import bound_batches, text_array, text_slices
-from .tokens import encoder, with_end
+from .tokens import SLICE_BYTES, encoder, with_end
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 ROW_GROUP_BYTES = 32 << 20
@@ -42,7 +42,7 @@ def encode_rows(vocab: str):
         known, part, at = encoder(vocab), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = text_array(batch.column(1))
-            for begin, some in text_slices(texts):
+            for begin, some in text_slices(texts, SLICE_BYTES):
                 ids, bounds = with_end(*known.encode(some))
                 count = np.diff(bounds)
                 yield pa.RecordBatch.from_arrays(

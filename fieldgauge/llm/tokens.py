@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,10 @@ PIECE = re.compile(
 PLAIN = re.compile(r"[!-~¡-ÿ]*")
 SPECIAL_START = "<|"
 END_ID = 1
-# Words and pieces that one worker remembers; beyond, it forgets all and starts anew.
-MEMORY = 250_000
+# Pieces of which one worker remembers the values: so many of late, and as many before.
+MEMORY = 220_000
+# Text encoded at once: what goes along with it in memory is many times larger.
+SLICE_BYTES = 2 << 20
 
 
 def byte_letters() -> list[str]:
@@ -42,6 +45,10 @@ def as_letters(piece: str) -> str:
     return piece if piece.isascii() else "".join(LETTERS[b] for b in piece.encode())
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
+
+
 class Memory(dict):
     """A dictionary that computes missing values and forgets all when it is full."""
 
@@ -59,31 +66,61 @@ class Memory(dict):
 class Encoder:
     """Ids of texts under one vocabulary file of the tokenizers library."""
 
+    kind = np.dtype("<u4")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.pieces = Memory(self._piece)
-        self.words = Memory(self._word)
+        self.late: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(as_letters(piece))], "<u4").tobytes()
+    def make_piece(self, piece: str) -> bytes:
+        return as_bytes([t.id for t in self.model.tokenize(as_letters(piece))])
+
+    def make_other(self, word: str) -> bytes:
+        return as_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def piece(self, piece: str) -> bytes:
+        value = self.late.get(piece)
+        if value is None:
+            value = self.late[piece] = self.before.get(piece) or self.make_piece(piece)
+        return value
 
-    def _word(self, word: str) -> bytes:
+    def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.piece(word.lower())
         if PLAIN.fullmatch(word) and SPECIAL_START not in word:
-            return b"".join(map(self.pieces.__getitem__, PIECE.findall(word.lower())))
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            own = PIECE.findall(word.lower())
+            return self.piece(own[0]) if len(own) == 1 else b"".join(map(self.piece, own))
+        # Never equal to a piece of a plain word, so both can share the memory.
+        if word not in self.late:
+            self.late[word] = self.before.get(word) or self.make_other(word)
+        return self.late[word]
+
+    def values(self, words: list[str]) -> list[bytes]:
+        """What is known of each word."""
+        if len(self.late) > MEMORY:
+            self.late, self.before = {}, self.late
+        return [self.word(w) for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row, and where each text's ids begin and end."""
+        """All values of the texts in a row, and where each text's values begin and end."""
         words, places, bounds = distinct_words(texts)
-        blobs = [self.words[w] for w in words]
-        return spread(blobs, places, bounds, np.dtype("<u4"))
+        return spread(self.values(words), places, bounds, self.kind)
 
 
 def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words, the number of the word at each place, and the places of each text."""
+    """Distinct words, the number of the word at each place, and the places of each text.
+
+    So that there are fewer, letters are lowered, which the library does anyway, and a
+    comma or full stop between a letter and a blank becomes a word, as it is a piece of
+    its own there. Texts with what could begin a special token stay as they are.
+    """
+    if not pc.any(pc.match_substring(texts, SPECIAL_START)).as_py():
+        texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([,.])(\s)", r"\1 \2\3")
     lists = pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
     bounds = lists.offsets.to_numpy()

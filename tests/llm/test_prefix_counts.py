@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import prefix_counts as pf
-from fieldgauge.llm.tokens import Encoder
+from fieldgauge.llm.tokens import Encoder, as_letters
 
 ODD = [
     "", " ", "don't we'll 're x'r '", "a" * 70, "thhesehationing" * 6, "日本語の文章" * 9, "<|endoftext|>",
@@ -56,7 +56,8 @@ def test_long_pieces_by_dynamic_program(known):
     rng = random.Random(3)
     for _ in range(30):
         piece = "".join(rng.choice(["th", "er", "ing", "a", "e", "tion", "s", "é"]) for _ in range(rng.randint(20, 60)))
-        assert known.piece_counts(piece) == [len(known.model.tokenize(pf.as_letters(piece[:n]))) for n in range(1, len(piece) + 1)]
+        counts = [len(known.model.tokenize(as_letters(piece[:n]))) for n in range(1, len(piece) + 1)]
+        assert known.run_counts(piece) == counts
 
 
 def test_questions(spark, vocab, known):
