@@ -245,6 +245,26 @@ def longest_prefix(steps: pa.Array, budget: pa.Array) -> pa.Array:
     return pa.array(found, pa.int64())
 
 
+SUMMARY = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("fitting_chars", T.LongType())])
+
+
+def prefix_summary(budget: int):
+    """Arrow function of the steps alone: tokens of the whole text, and the characters of
+    its longest prefix of at most `budget` tokens. Applied to `prefix_steps` directly, both
+    run in the same Python worker and the steps never leave it."""
+
+    @F.arrow_udf(SUMMARY)
+    def run(steps: pa.Array) -> pa.Array:
+        found = []
+        for sums in _sums(steps):
+            fits = np.flatnonzero(sums <= budget) if sums is not None else ()
+            total = int(sums[-1]) if sums is not None and len(sums) else 0
+            found.append({"n_tokens": total, "fitting_chars": int(fits[-1]) + 1 if len(fits) else 0})
+        return pa.array(found, pa.struct([("n_tokens", pa.int64()), ("fitting_chars", pa.int64())]))
+
+    return run
+
+
 def with_prefix_steps(df: DataFrame, path: str, text: str = "text", into: str = "prefix_steps") -> DataFrame:
     """Add the steps of the column `text`; all other columns and rows stay.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch
 from . import decontaminate, line_dedup, packing, prefix_counts, quality, simhash, token_files, topk, toxicity, url_filter
-from .common import table
+from .common import bound_batches, table
 from .tokens import vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
@@ -55,14 +55,18 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts = prefix_counts.with_prefix_steps(docs, vocabulary(VOCABULARY)).select(
+    bound_batches(spark)
+    steps = prefix_counts.prefix_steps(vocabulary(VOCABULARY))
+    answers = prefix_counts.prefix_summary(TOKEN_LIMIT)
+    docs = table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.octet_length("text").cast("long").alias("n_bytes"),
-        prefix_counts.tokens_in_prefix("prefix_steps", F.length("text").cast("long")).alias("n_tokens"),
-        prefix_counts.longest_prefix("prefix_steps", F.lit(TOKEN_LIMIT).cast("long")).alias("chars_within_limit"),
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        answers(steps("text")).alias("prefix"),
+    )
+    return docs.select(
+        "doc_id", "n_bytes", "prefix.n_tokens", (F.col("prefix.n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+        F.col("prefix.fitting_chars").alias("chars_within_limit"),
     )
-    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

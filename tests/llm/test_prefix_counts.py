@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import prefix_counts as pf
+from fieldgauge.llm import queries
 from fieldgauge.llm.tokens import Encoder, as_letters
 
 ODD = [
@@ -81,3 +82,17 @@ def test_questions(spark, vocab, known):
         assert row.seven == count(text[:7])
         assert row.n == (None if row.text is None else count(text))
         assert row.fits == max(n for n in range(len(text) + 1) if count(text[:n]) <= 4)
+
+
+def test_query(spark, known):
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.op7_prefix_token_counts(spark, sf)
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    rows = got.collect()
+    assert len(rows) == len(docs)
+    count = lambda t: len(known.tokenizer.encode(t, add_special_tokens=False).ids)
+    for r in rows:
+        text = docs[r.doc_id]
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), count(text), count(text) > 2048)
+        assert r.chars_within_limit == len(text) if not r.over_limit else count(text[: r.chars_within_limit]) <= 2048
