@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples, found exactly with a block-max index.
 
 A bounded sample of labelled documents (SAMPLE rows, the smallest hashes of their ids) is
-used for learning. Terms whose presence goes with the label, by a likelihood ratio far
+used for learning; of near copies one counts, or the words of a text that was copied a
+thousand times would all go with its label. Terms whose presence goes with the label, by a likelihood ratio far
 beyond chance, form the vocabulary; their document frequency is counted over all
 documents. A text is the unit vector of its terms' TF-IDF weights.
 
@@ -37,7 +38,12 @@ EXAMPLES = 4_000
 TERMS = 512
 # A likelihood ratio that chance reaches in about one of a million terms.
 LEAST_RATIO = 24.0
+# A term has to raise the odds of the label by this factor; words of the language that
+# labelled documents happen to be in don't.
+LEAST_LIFT = 3.0
 NEIGHBOURS = 15
+# Letters of a word that tells documents apart.
+LONG_WORD = 9
 BLOCK = 128
 THRESHOLD = 0.3
 BINS = 1000
@@ -164,6 +170,21 @@ def distinct_terms(texts: pa.Array) -> pa.Array:
     return pa.array([list(set(own) - {""}) for own in lists.to_pylist()], pa.list_(pa.string()))
 
 
+@F.arrow_udf(T.LongType())
+def kind_of_text(texts: pa.Array) -> pa.Array:
+    """The same number for copies and nearly always for near copies.
+
+    It is the smallest hash among the long words, which other documents hardly share.
+    """
+    from xxhash import xxh64_intdigest
+
+    found = []
+    for text, own in zip(texts.to_pylist(), plain_words(text_array(texts)).to_pylist()):
+        least = min((xxh64_intdigest(w, 7) for w in set(own) if len(w) >= LONG_WORD), default=None)
+        found.append((xxh64_intdigest(text or "", 8) if least is None else least) - 2**63)
+    return pa.array(found, pa.int64())
+
+
 def _document_counts(words: list[str]):
     value_set = pa.array(words, pa.large_string())
 
@@ -208,12 +229,14 @@ def fit(
         "labelled-sample",
     )
     # At most `sample` rows of two numbers, so it may be sent to every executor.
-    rows = stored(
-        docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text")).join(
-            F.broadcast(chosen), "_id"
-        ),
+    found = stored(
+        docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text"))
+        .join(F.broadcast(chosen), "_id")
+        .withColumn("kind", kind_of_text("text")),
         "labelled-texts",
     )
+    first = found.groupBy("kind", "label").agg(F.min("_id").alias("_id")).select("_id").distinct()
+    rows = found.join(F.broadcast(first), "_id")
     all_hits, all_docs = rows.agg(F.sum("label"), F.count("*")).first()
     if not all_docs:
         return Model([], np.zeros(0), Index([], [], [], 0))
@@ -225,8 +248,9 @@ def fit(
 
     @F.arrow_udf(T.DoubleType())
     def ratio(hits: pa.Array, docs: pa.Array) -> pa.Array:
-        both = [c.to_numpy(zero_copy_only=False).astype(float) for c in (hits, docs)]
-        return pa.array(likelihood_ratio(*both, float(all_hits), float(all_docs)))
+        h, d = (c.to_numpy(zero_copy_only=False).astype(float) for c in (hits, docs))
+        lift = (h + 0.5) / (d - h + 0.5) * (all_docs - all_hits + 0.5) / (all_hits + 0.5)
+        return pa.array(np.where(lift >= LEAST_LIFT, likelihood_ratio(h, d, float(all_hits), float(all_docs)), 0.0))
 
     # Chance alone cannot give a term of few documents a high ratio, so these are spared.
     best = (
