@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,21 @@ def text_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's call that hands free memory back, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except AttributeError:
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Return what is free to the system: workers live on through jobs of other kinds."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def text_slices(texts: pa.Array, size: int = BATCH_BYTES // 2) -> Iterator[tuple[int, pa.Array]]:
     """Cut an array of texts into runs of about `size` bytes, one text at least."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
@@ -56,6 +73,7 @@ def text_slices(texts: pa.Array, size: int = BATCH_BYTES // 2) -> Iterator[tuple
         stop = max(start + 1, int(np.searchsorted(ends, base + size, "right")))
         yield start, texts.slice(start, stop - start)
         start = stop
+    release_memory()
 
 
 def plain_words(texts: pa.Array) -> pa.ListArray:
@@ -64,6 +82,22 @@ def plain_words(texts: pa.Array) -> pa.ListArray:
     return pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
 
 
+def most_frequent(counted: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of greatest count, at most `most` of them; `counted` should be stored.
+
+    Counts fall into levels a sixteenth of a power of two wide. As many levels are taken
+    from the top as fit as a whole, so no task sends its own candidates to the driver.
+    """
+    level = F.floor(16 * F.log2(n))
+    taken, lowest = 0, None
+    for row in sorted(counted.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
+        taken += row["count"]
+        if taken > most:
+            break
+        lowest = row.level
+    return counted.where(level >= lowest) if lowest is not None else counted.limit(0)
+
+
 def isotonic(scores: list[float], hits: list[float], counts: list[float]) -> list[tuple[float, float]]:
     """Points (score, share of hits) of the rising step function nearest to the data.
 

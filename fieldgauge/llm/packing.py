@@ -18,6 +18,7 @@ input play no part.
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from .tokens import SLICE_BYTES, encoder, with_end
 
 LENGTH = 4096
 # Tokens packed at once in a task, and bins packed at once in a group of a later level.
-WINDOW = 4 << 20
+WINDOW = 2 << 20
 GROUP = 50_000
 FAN_IN = 16
 # A bin with no more room than this counts as nearly full.
@@ -109,25 +110,30 @@ def as_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def as_batches(rows: list[tuple], at_once: int = 1000) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows), at_once):
+        yield as_batch(rows[at : at + at_once])
+
+
 def pack_task(vocab: str, length: int, window_tokens: int):
     def run(batches):
         known = encoder(vocab)
+        # Ids of small vocabularies wait for their bin in half the space.
+        kind = np.dtype("<u2" if known.tokenizer.get_vocab_size() <= 65536 else "<u4")
         window = Window(length, TaskContext.get().partitionId())
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for begin, some in text_slices(text_array(batch.column(1)), SLICE_BYTES):
                 ids, bounds = with_end(*known.encode(some))
-                ids = ids.astype("<u2") if known.tokenizer.get_vocab_size() <= 65536 else ids
+                ids = ids.astype(kind)
                 for n, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                     for piece, start in enumerate(range(a, b, length)):
                         own = ids[start : min(start + length, b)]
                         window.add(len(own), (doc_ids[begin + n], piece, start - a, len(own), own))
                 if window.tokens >= window_tokens:
-                    if done := window.flush(last=False):
-                        yield as_batch(done)
-        if done := window.flush(last=True):
-            for at in range(0, len(done), 2000):
-                yield as_batch(done[at : at + 2000])
+                    yield from as_batches(window.flush(last=False))
+        known.forget()
+        yield from as_batches(window.flush(last=True))
 
     return run
 

@@ -56,6 +56,7 @@ def encode_rows(vocab: str):
                     ["doc_id", "part", "part_start", "n_tokens", "ids"],
                 )
                 at += int(bounds[-1])
+        known.forget()
 
     return run
 

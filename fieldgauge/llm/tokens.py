@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import release_memory
+
 # The pre-tokenizer's pattern, with its Unicode classes written out for
 # Latin-1, and the strings of special tokens' first characters.
 PIECE = re.compile(
@@ -25,7 +27,7 @@ PLAIN = re.compile(r"[!-~¡-ÿ]*")
 SPECIAL_START = "<|"
 END_ID = 1
 # Pieces of which one worker remembers the values: so many of late, and as many before.
-MEMORY = 220_000
+MEMORY = 120_000
 # Text encoded at once: what goes along with it in memory is many times larger.
 SLICE_BYTES = 2 << 20
 
@@ -106,6 +108,11 @@ class Encoder:
             self.late, self.before = {}, self.late
         return [self.word(w) for w in words]
 
+    def forget(self) -> None:
+        """Give the memory back; called when a task ends."""
+        self.late, self.before = {}, {}
+        release_memory()
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All values of the texts in a row, and where each text's values begin and end."""
         words, places, bounds = distinct_words(texts)

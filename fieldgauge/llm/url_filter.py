@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, plain_words, stored, text_array, text_slices
+from .common import bound_batches, most_frequent, plain_words, stored, text_array, text_slices
 from .tokens import Memory
 
 # Words of abuse.
@@ -31,7 +31,7 @@ SURE = (
 ).split()
 ABUSE = SURE + "bet bingo bonus cheap crack farm free hack loan loans lottery nude pill torrent track virus win".split()
 
-# Model sizes: words of the unigram model and tokens of the classifier, most frequent first.
+# Model sizes, at most: words of the unigram model and tokens of the classifier.
 WORDS = 50_000
 TOKENS = 50_000
 LONGEST = 24
@@ -160,14 +160,15 @@ def log_odds(tokens: list[str], weights: dict[str, float], prior: float) -> floa
 
 
 def fit_segmenter(pages: DataFrame, html: str = "html", words: int = WORDS) -> Segmenter:
-    """Word counts over all pages, the most frequent kept; the fixed words are always in."""
+    """Word counts over all pages, of at most `words` frequent ones; the fixed words are always in."""
     bound_batches(pages.sparkSession)
-    counted = (
+    counted = stored(
         pages.select(F.col(html)).mapInArrow(count_words, "word string, n long")
-        .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words).collect()
+        .groupBy("word").agg(F.sum("n").alias("n")),
+        "page-words",
     )
     counts = dict.fromkeys(ABUSE, 1)
-    counts.update({r.word: r.n for r in counted})
+    counts.update({r.word: r.n for r in most_frequent(counted, "n", words).collect()})
     return Segmenter(counts)
 
 
@@ -180,11 +181,12 @@ def fit_bayes(marked: DataFrame, tokens: int = TOKENS) -> tuple[dict[str, float]
         F.sum(F.when(F.col("bad"), F.size("tokens"))), F.sum(F.when(~F.col("bad"), F.size("tokens"))),
     ).first()
     bad, good, bad_tokens, good_tokens = (v or 0 for v in totals)
-    counted = (
+    per_token = stored(
         rows.select(F.explode("tokens").alias("token"), "bad")
-        .groupBy("token").agg(F.count_if("bad").alias("bad"), F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "token").limit(tokens).collect()
+        .groupBy("token").agg(F.count_if("bad").alias("bad"), F.count("*").alias("n")),
+        "url-token-counts",
     )
+    counted = most_frequent(per_token, "n", tokens).collect()
     size = len(counted)
     weights = {
         r.token: math.log((r.bad + 1) / (bad_tokens + size)) - math.log((r.n - r.bad + 1) / (good_tokens + size))

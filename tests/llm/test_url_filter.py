@@ -3,7 +3,7 @@ import math
 import re
 
 from fieldgauge.llm import queries, url_filter
-from fieldgauge.llm.common import table
+from fieldgauge.llm.common import most_frequent, table
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -83,3 +83,11 @@ def test_segments_are_the_cheapest_of_all():
         assert abs(sum(map(own.word_cost, found)) - least) < 1e-9
     assert own.words("cheappills") == ["cheap", "pills"]
     assert own.words("") == []
+
+
+def test_most_frequent_takes_whole_levels(spark):
+    df = spark.createDataFrame([(f"w{n}", 1000 // (n + 1)) for n in range(200)], "word string, n long")
+    for most in (0, 1, 7, 50, 200):
+        rows = most_frequent(df, "n", most).collect()
+        assert len(rows) <= most and (len(rows) >= 0.6 * most or not most)
+        assert not rows or min(r.n for r in rows) >= 1000 // (len(rows) + 1)
