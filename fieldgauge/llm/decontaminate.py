@@ -1,10 +1,16 @@
 """Find passages of test items in documents, also when they were edited.
 
-Two passes over the texts. The first counts in how many documents each word n-gram of the
-items occurs; an item's rarer n-grams are its seeds. In the second, a seed in a document
-says where the item would begin there; seeds that agree on the place make one candidate
-passage, and Smith-Waterman alignment of the whole item against it gives the score. No
-candidate is left out.
+An alignment with m matches in r unbroken runs has at least r - 1 errors, so its score is at
+most m + p + 1, where p = m - r counts the pairs of neighbouring words inside the runs. An
+item of L words reaches the threshold t only where ceil(2 t L) - 1 of its 2 L - 1 words and
+word pairs occur, all within L (3 - 2 t) words of the text. Leaving out c of them leaves that
+number less c to be found among the others, whichever they are.
+
+Two passes over the texts. The first counts in how many documents each word and pair of the
+items occurs, only to leave out those that are dearest to look for. The second counts the
+others in overlapping windows, and Smith-Waterman alignment of the whole item against each
+window that has enough gives the score. So every passage at the threshold is found, with the
+score that the whole text would give, whatever the number of copies.
 
 The score is the alignment's sum over the sum of a perfect copy, 0 to 1, so word changes,
 insertions and gaps lower it and a part of the item scores as its share.
@@ -26,13 +32,16 @@ from pyspark.sql import types as T
 
 from .common import bound_batches, plain_words, text_array, text_slices
 
-GRAM = 3
+GRAMS = (1, 2)
 THRESHOLD = 0.5
-# Share of an item's n-grams, from the rarest on, that serve as seeds.
-SEED_SHARE = 0.5
+# Share of the words and pairs a passage must have that is still looked for when the most
+# frequent ones are left out. It changes the work only, not what is found.
+LOOKED_FOR = 0.25
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 200_000
 ALIGNED_AT_ONCE = 256
+# Bounds of what is held at once: window cells, windows joined into one, words looked up.
+CELLS, JOINED, LOOKED_UP = 1 << 20, 8, 1 << 21
 
 FOUND = T.ArrayType(
     T.StructType(
@@ -52,7 +61,6 @@ class Items:
 
     ids: list
     texts: list[str]
-    gram: int = GRAM
     vocabulary: pa.Array = field(init=False)
     words: list[np.ndarray] = field(init=False)
     grams: dict[int, np.ndarray] = field(init=False)
@@ -65,11 +73,8 @@ class Items:
         places = coded.indices.to_numpy().astype(np.int64)
         blank = pc.index(self.vocabulary, "").as_py()
         self.words = [places[a:b][places[a:b] != blank] for a, b in zip(bounds[:-1], bounds[1:])]
-        # Items shorter than an n-gram are one n-gram of their own length.
-        sizes = {min(self.gram, len(w)) for w in self.words if len(w)}
         self.grams = {
-            n: np.unique(np.concatenate([self.codes(w, n) for w in self.words if min(self.gram, len(w)) == n]))
-            for n in sizes
+            n: np.unique(np.concatenate([np.zeros(0, np.int64), *(self.codes(w, n) for w in self.words)])) for n in GRAMS
         }
 
     def codes(self, words: np.ndarray, n: int) -> np.ndarray:
@@ -123,19 +128,46 @@ def count_grams(items: Items):
     return run
 
 
-def choose_seeds(items: Items, docs: dict[int, np.ndarray], share: float) -> dict[int, list[list[tuple[int, int]]]]:
-    """For each n and n-gram the (item, place) pairs that it is a seed of."""
-    seeds = {n: [[] for _ in known] for n, known in items.grams.items()}
+@dataclass
+class Seeds:
+    """What is looked for: per n-gram length the n-grams and the items each leads to."""
+
+    grams: dict[int, np.ndarray]
+    # For each n-gram its run in `item`, numbered through over all lengths.
+    first: dict[int, np.ndarray]
+    item: np.ndarray
+    # Per item: seeds that a window must have, and a third of the window's words.
+    need: np.ndarray
+    stride: np.ndarray
+
+
+def choose_seeds(items: Items, docs: dict[int, np.ndarray], threshold: float) -> Seeds:
+    """The rarest words and pairs of each item, as many as no passage can do without."""
+    found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {n: [] for n in GRAMS}
+    need, stride = np.ones(len(items.words), np.int64), np.ones(len(items.words), np.int64)
     for item, words in enumerate(items.words):
-        if not len(words):
+        size = len(words)
+        if not size:
             continue
-        n = min(items.gram, len(words))
-        ranks = np.searchsorted(items.grams[n], items.codes(words, n))
-        most = np.sort(docs[n][ranks])[max(0, int(np.ceil(share * len(ranks))) - 1)]
-        for place, rank in enumerate(ranks):
-            if docs[n][rank] <= most:
-                seeds[n][rank].append((item, place))
-    return seeds
+        ranks = [np.searchsorted(items.grams[n], items.codes(words, n)) for n in GRAMS]
+        # A little less than the bound, against rounding.
+        least = max(1, int(np.ceil(MATCH * threshold * size - 1e-6)) - 1)
+        need[item] = max(1, int(np.ceil(LOOKED_FOR * least)))
+        stride[item] = max(1, int(np.ceil(size * (3 - 2 * threshold) / 2 + 1e-6)))
+        count = np.concatenate([docs[n][own] for n, own in zip(GRAMS, ranks)])
+        seeds = np.sort(np.argsort(count, kind="stable")[: len(count) - least + need[item]])
+        cut = np.searchsorted(seeds, size)
+        for n, own in zip(GRAMS, (ranks[0][seeds[:cut]], ranks[1][seeds[cut:] - size])):
+            found[n].append((own, np.full(len(own), item)))
+    grams, first, item, total = {}, {}, [], 0
+    for n, parts in found.items():
+        rank, own = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*parts))
+        order = np.argsort(rank, kind="stable")
+        used, at = np.unique(rank[order], return_index=True)
+        grams[n], first[n] = items.grams[n][used], total + np.append(at, len(rank))
+        item.append(own[order])
+        total += len(rank)
+    return Seeds(grams, first, np.concatenate(item), need, stride)
 
 
 def smith_waterman(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,33 +201,63 @@ def smith_waterman(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray,
     return best >> shift, best & ((1 << shift) - 1), last
 
 
-def find_passages(items: Items, seeds: dict[int, list[list[tuple[int, int]]]], threshold: float):
+def find_passages(items: Items, seeds: Seeds, threshold: float):
     """Arrow function: text to the items found in it."""
-    used = {n: np.array([r for r, own in enumerate(known) if own], np.int64) for n, known in seeds.items()}
-    grams = {n: items.grams[n][ranks] for n, ranks in used.items() if len(ranks)}
+
+    def seeds_found(places, bounds):
+        """Item * words + beginning of the third of a window, and the seeds found there."""
+        total, keys, counts = len(places) + 1, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n, text, at, rank in items.hits(places, bounds, seeds.grams):
+            begin, each = seeds.first[n][rank], np.diff(seeds.first[n])[rank]
+            ends = np.cumsum(each)
+            start = 0
+            while start < len(at):
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + LOOKED_UP, "right")))
+                some = slice(start, stop)
+                number = np.arange(ends[stop - 1] - before) + np.repeat(begin[some] - ends[some] + each[some] + before, each[some])
+                origin, stride = np.repeat(bounds[text[some]], each[some]), seeds.stride[seeds.item[number]]
+                third = origin + (np.repeat(at[some], each[some]) - origin) // stride * stride
+                # A seed counts once in each third, where it occurs more than once too.
+                once = np.unique(number * total + third)
+                key, count = np.unique(seeds.item[once // total] * total + once % total, return_counts=True)
+                keys.append(key)
+                counts.append(count)
+                start = stop
+        key, back = np.unique(np.concatenate(keys), return_inverse=True)
+        return key, np.bincount(back, np.concatenate(counts), len(key)).astype(np.int64)
 
     def candidates(places, bounds):
-        """(text, item, first place, end) of each passage that seeds point to."""
-        starts = []
-        for n, text, at, rank in items.hits(places, bounds, grams):
-            for t, p, r in zip(text.tolist(), at.tolist(), used[n][rank].tolist()):
-                starts += [(t, item, p - place) for item, place in seeds[n][r]]
+        """(text, item, first place, end) of each run of windows with enough seeds."""
+        total = len(places) + 1
+        key, count = seeds_found(places, bounds)
+        item, third = key // total, key % total
+        origin = bounds[np.searchsorted(bounds, third, "right") - 1]
+        keys, counts = [], []
+        for k in range(3):  # windows that begin here, one third before and two before
+            begin = third - k * seeds.stride[item]
+            keys.append((item * total + begin)[begin >= origin])
+            counts.append(count[begin >= origin])
+        key, back = np.unique(np.concatenate(keys), return_inverse=True)
+        enough = np.bincount(back, np.concatenate(counts), len(key)) >= seeds.need[key // total]
+        item, begin = key[enough] // total, key[enough] % total
+        text = np.searchsorted(bounds, begin, "right") - 1
         found: list[list[int]] = []
-        for t, item, start in sorted(set(starts)):
-            size = len(items.words[item])
-            room = size // 4 + 4
-            if found and found[-1][:2] == [t, item] and start - room <= found[-1][3] - size:
-                found[-1][3] = start + size + room
+        for t, i, a, stride in zip(text.tolist(), item.tolist(), begin.tolist(), seeds.stride[item].tolist()):
+            if found and found[-1][:2] == [t, i] and a == found[-1][3] - 2 * stride and a < found[-1][2] + JOINED * stride:
+                found[-1][3] = a + 3 * stride
             else:
-                found.append([t, item, start - room, start + size + room])
-        return [(t, i, max(int(bounds[t]), a), min(int(bounds[t + 1]), b)) for t, i, a, b in found]
+                found.append([t, i, a, a + 3 * stride])
+        return [(t, i, a, min(int(bounds[t + 1]), b)) for t, i, a, b in found]
 
     def passages(texts: pa.Array) -> list[list[dict]]:
         places, bounds = items.places(texts)
         best: list[dict] = [{} for _ in range(len(texts))]
         todo = sorted(candidates(places, bounds), key=lambda c: c[3] - c[2])
-        for begin in range(0, len(todo), ALIGNED_AT_ONCE):
-            some = todo[begin : begin + ALIGNED_AT_ONCE]
+        while todo:
+            # The widest first, as many as fit.
+            at_once = max(1, min(ALIGNED_AT_ONCE, CELLS // (todo[-1][3] - todo[-1][2])))
+            todo, some = todo[:-at_once], todo[-at_once:]
             width, length = max(b - a for _, _, a, b in some), max(len(items.words[i]) for _, i, _, _ in some)
             windows, wanted = np.full((len(some), width), -3), np.full((len(some), length), -2)
             for n, (_, item, a, b) in enumerate(some):
@@ -230,7 +292,7 @@ def find_passages(items: Items, seeds: dict[int, list[list[tuple[int, int]]]], t
     return run
 
 
-def item_blocks(items: DataFrame, item_id: str, text: str, gram: int, block_words: int):
+def item_blocks(items: DataFrame, item_id: str, text: str, block_words: int):
     """The items in blocks of about so many words, one block at a time on the driver."""
     known = items.where(F.col(text).isNotNull()).select(
         F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")
@@ -240,8 +302,8 @@ def item_blocks(items: DataFrame, item_id: str, text: str, gram: int, block_word
     for n in range(blocks):
         rows = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == n).collect()
         rows.sort(key=lambda r: (r.item_id is None, r.item_id or 0, r.text))
-        block = Items([r.item_id for r in rows], [r.text for r in rows], gram)
-        if block.grams:
+        block = Items([r.item_id for r in rows], [r.text for r in rows])
+        if any(map(len, block.words)):
             yield block
 
 
@@ -252,8 +314,6 @@ def passages_found(
     item_id: str = "item_id",
     item_text: str = "text",
     threshold: float = THRESHOLD,
-    gram: int = GRAM,
-    seed_share: float = SEED_SHARE,
     block_words: int = BLOCK_WORDS,
 ) -> Column:
     """A column for rows of `docs`: array of (item_id, score, first_word, last_word).
@@ -264,12 +324,12 @@ def passages_found(
     """
     bound_batches(docs.sparkSession)
     found = []
-    for block in item_blocks(items, item_id, item_text, gram, block_words):
+    for block in item_blocks(items, item_id, item_text, block_words):
         counted = docs.select(F.col(text)).mapInArrow(count_grams(block), "n int, rank long, docs long")
         counts = {n: np.zeros(len(known), np.int64) for n, known in block.grams.items()}
         for row in counted.groupBy("n", "rank").agg(F.sum("docs").alias("docs")).collect():
             counts[row.n][row["rank"]] = row.docs
-        found.append(find_passages(block, choose_seeds(block, counts, seed_share), threshold)(F.col(text)))
+        found.append(find_passages(block, choose_seeds(block, counts, threshold), threshold)(F.col(text)))
     if not found:
         return F.array().cast(FOUND)
     return found[0] if len(found) == 1 else F.concat(*found)

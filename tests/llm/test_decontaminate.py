@@ -76,6 +76,30 @@ def test_edited_copies(spark, block_words):
         part = words(docs[r.doc_id])[r.first_word : r.last_word + 1]
         assert plain_score(words(items[r.item_id]), part) == r.score
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_every_edited_copy_at_the_threshold(spark, copies):
+    rng = random.Random(11)
+    vocabulary = [f"w{n}" for n in range(2000)] + ["the", "of", "and"] * 200
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {n: text(size) for n, size in enumerate([20, 40, 80, 7, 30])}
+    docs = {}
+    for i, item in items.items():
+        for every in (5, 4, 3):
+            changed = [f"x{n}" if n % every == every - 1 else w for n, w in enumerate(item)]
+            for _ in range(copies):
+                docs[len(docs)] = text(30) + changed + text(rng.randint(0, 60))
+        # A word put in after each word leaves no two words together.
+        docs[len(docs)] = text(9) + [v for n, w in enumerate(item) for v in (w, f"y{n}")]
+        docs[len(docs)] = text(5) + item + text(5)
+    docs = {d: " ".join(own) for d, own in docs.items()}
+    items = {i: " ".join(own) for i, own in items.items()}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    its = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in dc.contaminated(df, its).collect()}
+    want = plain(docs, items)
+    assert len(want) >= len(docs) - copies * len(items)
+    assert got == want
+
 
 def test_alignment_against_plain():
     rng = random.Random(7)
