@@ -1,9 +1,9 @@
 """Toxicity by the nearest labelled examples, found exactly with a block-max index.
 
 A bounded sample of labelled documents (SAMPLE rows, the smallest hashes of their ids) is
-used for learning; of near copies one counts, or the words of a text that was copied a
-thousand times would all go with its label. Terms whose presence goes with the label, by a likelihood ratio far
-beyond chance, form the vocabulary; their document frequency is counted over all
+used for learning; of checked near copies with one label one counts, or the words of a text
+that was copied a thousand times would all go with its label. Terms whose presence goes with
+the label, by a likelihood ratio far beyond chance, form the vocabulary; their document frequency is counted over all
 documents. A text is the unit vector of its terms' TF-IDF weights.
 
 Examples are numbered and cut into blocks. The index holds for each term its postings and
@@ -44,6 +44,9 @@ LEAST_LIFT = 3.0
 NEIGHBOURS = 15
 # Letters of a word that tells documents apart.
 LONG_WORD = 9
+# Two texts are copies if they share so much of their runs of words (Jaccard).
+SHINGLE = 5
+COPY = 0.8
 BLOCK = 128
 THRESHOLD = 0.3
 BINS = 1000
@@ -172,9 +175,9 @@ def distinct_terms(texts: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.LongType())
 def kind_of_text(texts: pa.Array) -> pa.Array:
-    """The same number for copies and nearly always for near copies.
+    """The same number for copies and nearly always for near copies, to compare them by.
 
-    It is the smallest hash among the long words, which other documents hardly share.
+    It is the smallest hash among the long words; other texts may share it.
     """
     from xxhash import xxh64_intdigest
 
@@ -185,6 +188,39 @@ def kind_of_text(texts: pa.Array) -> pa.Array:
     return pa.array(found, pa.int64())
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def shingles(texts: pa.Array) -> pa.Array:
+    """Distinct hashes of the runs of SHINGLE words, ascending; shorter texts are one run."""
+    from xxhash import xxh64_intdigest
+
+    found = []
+    for own in plain_words(text_array(texts)).to_pylist():
+        runs = {" ".join(own[n : n + SHINGLE]) for n in range(max(1, len(own) - SHINGLE + 1))}
+        found.append(sorted(xxh64_intdigest(r) - 2**63 for r in runs))
+    return pa.array(found, pa.list_(pa.int64()))
+
+
+@F.arrow_udf(T.DoubleType())
+def similarity(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Jaccard similarity of arrays of distinct values."""
+    found = []
+    for n in range(len(left)):
+        a, b = (side[n].values.to_numpy() for side in (left, right))
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        found.append(both / (len(a) + len(b) - both))
+    return pa.array(found, pa.float64())
+
+
+def without_copies(found: DataFrame) -> DataFrame:
+    """Rows of _id, text, label and kind but copies of the least _id of their kind and label."""
+    marked = stored(found.withColumn("shingles", shingles("text")), "shingled-texts")
+    first = marked.groupBy("kind", "label").agg(F.min(F.struct("_id", "shingles")).alias("first"))
+    kept = marked.join(first, ["kind", "label"]).where(
+        (F.col("_id") == F.col("first._id")) | (similarity("shingles", "first.shingles") < COPY)
+    )
+    return stored(kept.select(*found.columns), "texts-without-copies")
+
+
 def _document_counts(words: list[str]):
     value_set = pa.array(words, pa.large_string())
 
@@ -235,8 +271,7 @@ def fit(
         .withColumn("kind", kind_of_text("text")),
         "labelled-texts",
     )
-    first = found.groupBy("kind", "label").agg(F.min("_id").alias("_id")).select("_id").distinct()
-    rows = found.join(F.broadcast(first), "_id")
+    rows = without_copies(found)
     all_hits, all_docs = rows.agg(F.sum("label"), F.count("*")).first()
     if not all_docs:
         return Model([], np.zeros(0), Index([], [], [], 0))

@@ -69,3 +69,16 @@ def test_small_sample_is_the_same_for_any_order(spark):
     assert a.words == b.words and a.index.vectors == b.index.vectors and a.points == b.points
     texts = pa.array(["you idiot", "", "clown moron clown"], pa.large_string())
     assert a.votes(texts) == b.votes(texts)
+
+
+def test_only_checked_copies_are_left_out(spark):
+    rng = random.Random(6)
+    text = lambda: " ".join(["extraordinary", *(f"w{rng.randrange(500)}" for _ in range(60))])
+    one, other = text(), text()
+    near = one.split()
+    near[30] = "changed"
+    rows = [(1, one, 1), (2, other, 1), (3, one, 1), (4, " ".join(near), 1), (5, one, 0), (6, "", 0), (7, None, 0), (8, "few", 0)]
+    found = spark.createDataFrame(rows, "_id long, text string, label int").withColumn("kind", toxicity.kind_of_text("text"))
+    assert found.where("_id < 6").select("kind").distinct().count() == 1
+    kept = toxicity.without_copies(found).collect()
+    assert sorted(r._id for r in kept) == [1, 2, 5, 6, 7, 8]
