@@ -4,14 +4,19 @@ Host names run words together. A unigram model over the words of all pages cuts
 of a host into its most probable words (Viterbi). Multinomial naive Bayes over these words
 and the words of the path decides; its examples are the pages of the table itself, those
 with a word of a fixed list of abuse in their host against the rest.
+
+No count is cut. Words of up to SHORT letters, names and tokens with more than one in
+HELD of all occurrences are few whatever the table, so every task has them; all others are
+joined: names with the counts of the words in them, and URLs with their names and weights.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import ChainMap
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
@@ -20,8 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, most_frequent, plain_words, stored, text_array, text_slices
-from .tokens import Memory
+from .common import bound_batches, plain_words, stored, text_array, text_slices
 
 # Words of abuse.
 # The first list marks a host as an example, the second only adds words to the model.
@@ -31,12 +35,14 @@ SURE = (
 ).split()
 ABUSE = SURE + "bet bingo bonus cheap crack farm free hack loan loans lottery nude pill torrent track virus win".split()
 
-# Model sizes, at most: words of the unigram model and tokens of the classifier.
-WORDS = 50_000
-TOKENS = 50_000
+# What every task holds: words of so many letters, and names and tokens that make up at
+# least one in so many. The rest is joined; neither changes results.
+SHORT = 3
+HELD = 50_000
 LONGEST = 24
 NUMBER = "0"
 _SPLIT = re.compile(r"[^0-9a-zÀ-ɏ]+")
+_LETTERS = re.compile("[a-z]+")
 _TAG = re.compile(r"<[^>]*>")
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -95,9 +101,11 @@ class Segmenter:
     """
 
     counts: dict[str, int]
+    # Occurrences of all words, if `counts` has only some.
+    all_words: int | None = None
 
     def __post_init__(self):
-        total = sum(self.counts.values()) + 1
+        total = (sum(self.counts.values()) if self.all_words is None else self.all_words) + 1
         self.cost = {w: math.log(total / n) for w, n in self.counts.items()}
         self.unknown = math.log(10 * total)
         self.letter = math.log(26)
@@ -122,58 +130,128 @@ class Segmenter:
         return found[::-1]
 
 
-@dataclass
-class Tokens:
-    """Words of host and path; numbers count as one word, the last part of a host as itself."""
+def names_of(host: str, path: str) -> tuple[list[str], str, list[str]]:
+    """Names in a host before its last part, that part, and the names in a path."""
+    front, _, last = host.rpartition(".")
+    return [p for p in _SPLIT.split(front) if p], last, [p for p in _SPLIT.split(path.lower()) if p]
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def distinct_names(hosts: pa.Array, paths: pa.Array) -> pa.Array:
+    """The names of a URL that are no numbers."""
+    found = []
+    for host, path in zip(text_array(hosts).to_pylist(), text_array(paths).to_pylist()):
+        front, _, rest = names_of(host, path)
+        found.append(sorted({n for n in front + rest if not n.isdigit()}))
+    return pa.array(found, pa.list_(pa.string()))
+
 
-    segmenter: Segmenter
-    _memory: Memory | None = field(default=None, init=False)
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def longer_parts(names: pa.Array) -> pa.Array:
+    """Distinct runs of letters in a name that may be words of more than SHORT letters."""
+    found = []
+    for name in names.to_pylist():
+        own = {
+            run[at:end]
+            for run in _LETTERS.findall(name)
+            for at in range(len(run))
+            for end in range(at + SHORT + 1, min(at + LONGEST, len(run)) + 1)
+        }
+        found.append(sorted(own))
+    return pa.array(found, pa.list_(pa.string()))
 
-    def __getstate__(self):
-        return self.__dict__ | {"_memory": None}
 
-    def part(self, part: str) -> list[str]:
-        return [NUMBER] if part.isdigit() else self.segmenter.words(part)
+def segments(short: dict[str, int], all_words: int):
+    base = Segmenter(short, all_words)
 
-    def of(self, host: str, path: str) -> list[str]:
-        if self._memory is None:
-            self._memory = Memory(self.part, 100_000)
-        names, _, last = host.rpartition(".")
-        found = [f"host:{w}" for part in _SPLIT.split(names) if part for w in self._memory[part]]
-        if last:
-            found.append(f"end:{last}")
-        return found + [f"path:{w}" for part in _SPLIT.split(path.lower()) if part for w in self._memory[part]]
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(names: pa.Array, words: pa.Array, counts: pa.Array) -> pa.Array:
+        found = []
+        for name, own, n in zip(names.to_pylist(), words.to_pylist(), counts.to_pylist()):
+            longer = Segmenter(dict(zip(own or (), n or ())), all_words)
+            longer.cost = ChainMap(longer.cost, base.cost)
+            found.append(longer.words(name))
+        return pa.array(found, pa.list_(pa.string()))
+
+    return run
 
 
-def url_tokens(tokens: Tokens):
+def url_tokens(held: dict[str, list[str]]):
+    """Words of host and path; numbers count as one word, the last part of a host as itself."""
+
     @F.arrow_udf(T.ArrayType(T.StringType()))
-    def run(hosts: pa.Array, paths: pa.Array) -> pa.Array:
-        both = zip(text_array(hosts).to_pylist(), text_array(paths).to_pylist())
-        return pa.array([tokens.of(h, p) for h, p in both], pa.list_(pa.string()))
+    def run(hosts: pa.Array, paths: pa.Array, names: pa.Array, words: pa.Array) -> pa.Array:
+        found = []
+        both = zip(text_array(hosts).to_pylist(), text_array(paths).to_pylist(), names.to_pylist(), words.to_pylist())
+        for host, path, own, cut in both:
+            known = ChainMap(dict(zip(own or (), cut or ())), held)
+            front, last, rest = names_of(host, path)
+            cut = lambda kind, parts: [
+                f"{kind}:{w}" for p in parts for w in ([NUMBER] if p.isdigit() else known[p])
+            ]
+            found.append(cut("host", front) + ([f"end:{last}"] if last else []) + cut("path", rest))
+        return pa.array(found, pa.list_(pa.string()))
 
     return run
 
 
+def held_and_rest(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with at least one in HELD of the sum of `n`, HELD at most, and all others."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return counted.where(F.col("n") * HELD >= total), counted.where(F.col("n") * HELD < total)
+
+
 def log_odds(tokens: list[str], weights: dict[str, float], prior: float) -> float:
-    """Naive Bayes log odds of "block"; tokens outside the model say nothing."""
+    """Naive Bayes log odds of "block"."""
     return prior + sum(weights.get(t, 0.0) for t in tokens)
 
 
-def fit_segmenter(pages: DataFrame, html: str = "html", words: int = WORDS) -> Segmenter:
-    """Word counts over all pages, of at most `words` frequent ones; the fixed words are always in."""
+def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
+    """word and n over all pages, no word left out; the fixed words are always in."""
     bound_batches(pages.sparkSession)
-    counted = stored(
+    fixed = pages.sparkSession.createDataFrame([(w,) for w in sorted(set(ABUSE))], "word string")
+    return stored(
         pages.select(F.col(html)).mapInArrow(count_words, "word string, n long")
-        .groupBy("word").agg(F.sum("n").alias("n")),
+        .unionByName(fixed.withColumn("n", F.lit(0).cast("long")))
+        .groupBy("word").agg(F.greatest(F.sum("n"), F.lit(1)).alias("n")),
         "page-words",
     )
-    counts = dict.fromkeys(ABUSE, 1)
-    counts.update({r.word: r.n for r in most_frequent(counted, "n", words).collect()})
-    return Segmenter(counts)
 
 
-def fit_bayes(marked: DataFrame, tokens: int = TOKENS) -> tuple[dict[str, float], float]:
-    """Weights per token and the prior from rows (tokens), with add-one smoothing."""
+def cut_names(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """`names` (name, n) with the words of each name."""
+    all_words = counts.agg(F.sum("n")).first()[0]
+    short = {r.word: r.n for r in counts.where(F.length("word") <= SHORT).collect()}
+    longer = (
+        names.select("name", F.explode(longer_parts("name")).alias("word"))
+        .join(counts.where(F.length("word") > SHORT).withColumnRenamed("n", "times"), "word")
+        .groupBy("name").agg(F.collect_list("word").alias("own"), F.collect_list("times").alias("times"))
+    )
+    both = names.join(longer, "name", "left")
+    return stored(both.select("name", "n", segments(short, all_words)("name", "own", "times").alias("words")), "cut-names")
+
+
+def with_tokens(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows of host and path with their tokens."""
+    each = stored(
+        rows.select("host", "path").distinct()
+        .select("host", "path", F.explode(distinct_names("host", "path")).alias("name")),
+        "url-names",
+    )
+    names = stored(each.groupBy("name").agg(F.count("*").alias("n")), "names")
+    held, rest = held_and_rest(cut_names(names, counts))
+    own = (
+        each.join(rest, "name").groupBy("host", "path")
+        .agg(F.collect_list(F.struct("name", "words")).alias("own"))
+    )
+    run = url_tokens({r.name: r.words for r in held.collect()})
+    return rows.join(own, ["host", "path"], "left").select(
+        *rows.columns, run("host", "path", F.col("own.name"), F.col("own.words")).alias("tokens")
+    )
+
+
+def fit_bayes(marked: DataFrame) -> tuple[DataFrame, float]:
+    """Weights of all tokens (token, n, weight) and the prior, with add-one smoothing."""
     sure = F.array(*[F.lit(f"host:{w}") for w in SURE])
     rows = marked.select("tokens", F.arrays_overlap("tokens", sure).alias("bad"))
     totals = rows.agg(
@@ -186,13 +264,11 @@ def fit_bayes(marked: DataFrame, tokens: int = TOKENS) -> tuple[dict[str, float]
         .groupBy("token").agg(F.count_if("bad").alias("bad"), F.count("*").alias("n")),
         "url-token-counts",
     )
-    counted = most_frequent(per_token, "n", tokens).collect()
-    size = len(counted)
-    weights = {
-        r.token: math.log((r.bad + 1) / (bad_tokens + size)) - math.log((r.n - r.bad + 1) / (good_tokens + size))
-        for r in counted
-    }
-    return weights, math.log((bad + 1) / (good + 1))
+    size = per_token.count()
+    weight = F.log((F.col("bad") + 1) / F.lit(bad_tokens + size or 1)) - F.log(
+        (F.col("n") - F.col("bad") + 1) / F.lit(good_tokens + size or 1)
+    )
+    return per_token.select("token", "n", weight.alias("weight")), math.log((bad + 1) / (good + 1))
 
 
 def judge(
@@ -205,16 +281,25 @@ def judge(
     """
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    words = url_tokens(Tokens(fit_segmenter(pages, html)))
-    marked = stored(rows.withColumn("tokens", words("host", "path")), "url-tokens")
+    marked = stored(with_tokens(rows, word_counts(pages, html)), "url-tokens")
     weights, prior = fit_bayes(marked)
+    frequent, rest = held_and_rest(weights)
+    held = {r.token: r.weight for r in frequent.collect()}
+    own = (
+        marked.select("host", "path", "tokens").distinct()
+        .select("host", "path", F.explode(F.array_distinct("tokens")).alias("token"))
+        .join(rest, "token").groupBy("host", "path")
+        .agg(F.collect_list(F.struct("token", "weight")).alias("own"))
+    )
 
     @F.arrow_udf(T.DoubleType())
-    def odds(tokens: pa.Array) -> pa.Array:
-        return pa.array([log_odds(t, weights, prior) for t in tokens.to_pylist()], pa.float64())
+    def odds(tokens: pa.Array, names: pa.Array, values: pa.Array) -> pa.Array:
+        each = zip(tokens.to_pylist(), names.to_pylist(), values.to_pylist())
+        return pa.array([log_odds(t, ChainMap(dict(zip(n or (), v or ())), held), prior) for t, n, v in each], pa.float64())
 
     rule, verdict = first_rule(rules, F.col("host"), F.col("path"))
     learned = F.when(F.col("log_odds") > 0, "block").otherwise("allow")
-    return marked.withColumn("log_odds", odds("tokens")).select(
+    found = marked.join(own, ["host", "path"], "left")
+    return found.withColumn("log_odds", odds("tokens", F.col("own.token"), F.col("own.weight"))).select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, learned).alias("verdict"), "tokens", "log_odds"
     )

@@ -91,3 +91,25 @@ def test_most_frequent_takes_whole_levels(spark):
         rows = most_frequent(df, "n", most).collect()
         assert len(rows) <= most and (len(rows) >= 0.6 * most or not most)
         assert not rows or min(r.n for r in rows) >= 1000 // (len(rows) + 1)
+
+
+def test_no_count_is_cut_and_what_is_held_changes_nothing(spark, monkeypatch):
+    rare = [a + b + c + "zzq" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij"]
+    rows = [(n, f"http://{w}{rare[n - 1]}.com/{w}/x", f"<p>{w} {w} common common {rare[n - 1]}</p>") for n, w in enumerate(rare)]
+    rows += [(5000, "http://freewarez.com/x", ""), (5001, rows[3][1], "")]
+    # More words of greater count than were once kept.
+    filler = ["qq" + "".join(chr(97 + n // 16**k % 16) for k in range(4)) for n in range(51_000)]
+    rows += [(5002, None, " ".join(filler * 4))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = None
+    for held in (None, 10, 1):
+        if held:
+            monkeypatch.setattr(url_filter, "HELD", held)
+        found = {r.page_id: r for r in url_filter.judge(df, ()).collect()}
+        assert len(found) == len(rows)
+        # Every rare word is known, so each host falls into its two words.
+        assert all(found[n].tokens[:2] == [f"host:{w}", f"host:{rare[n - 1]}"] for n, w in enumerate(rare))
+        assert "host:warez" in found[5000].tokens
+        got = {n: (r.tokens, r.verdict, r.log_odds) for n, r in found.items()}
+        assert want in (None, got)
+        want = got
