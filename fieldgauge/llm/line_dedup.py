@@ -1,14 +1,15 @@
 """Delete blocks of lines that an earlier document has already.
 
-Documents meet through shared rare lines: a line of enough words that at least two and at
-most `rare` documents hold leads from each of them to the first document that holds it.
-The two documents' line hashes are then aligned by patience diff, and runs of aligned
-lines that have enough words together are deleted from the later document. Short lines
-inside such a run go with it; alone they never do.
+Documents meet through shared lines: a line of enough words that at least two documents
+hold leads from each of them to the first document that holds it. The two documents' line
+hashes are then aligned by patience diff, and runs of aligned lines that have enough words
+together are deleted from the later document. Short lines inside such a run go with it;
+alone they never do.
 
-A line in more than `rare` documents needs no partner: it stays in its first document and
-is a block of its own in all others. So a document leads to one other per rare line at
-most, whatever the number of copies, and nothing grows with the square of a group.
+A document leads to one other per line at most, whatever the number of copies, so nothing
+grows with the square of a group. The pairs of a first document that more than RARE others
+lead to are dealt out over several keys. With `rare` given, a line in more than `rare`
+documents gets no partner and is a block of its own in all but its first document.
 
 Earlier means a smaller doc_id. Lines are compared without blanks at their ends, by a
 64-bit hash and the number of words.
@@ -135,7 +136,7 @@ def line_arrays(text: str | Column) -> tuple[Column, Column]:
 
 
 def removed_lines(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE, words: int = WORDS
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int | None = None, words: int = WORDS
 ) -> DataFrame:
     """doc_id, text_hash, removed: line numbers to delete, for the documents that have any."""
     bound_batches(df.sparkSession)
@@ -164,14 +165,16 @@ def removed_lines(
         "shared-lines",
     )
     later = lines.join(shared, ["hash", "line_words"]).where("who.doc_id > first.doc_id")
-    later = stored(later.select("who", "n", "first", (F.col("docs") <= rare).alias("is_rare")), "later-lines")
-    pairs = later.where("is_rare").select("who", "first").distinct()
+    is_rare = F.lit(True) if rare is None else F.col("docs") <= rare
+    later = stored(later.select("who", "n", "first", "docs", is_rare.alias("is_rare")), "later-lines")
     own = docs.select(who, F.col("hashes").alias("own"), F.col("words").alias("own_words"))
     other = docs.select(who.alias("first"), F.col("hashes").alias("other"), F.col("words").alias("other_words"))
-    blocks = (
-        stored(pairs.join(own, "who"), "pairs")
-        .join(other, "first")
-        .select("who", aligned(words)("own", "own_words", "other", "other_words").alias("removed"))
+    salt = F.pmod(F.xxhash64("who"), F.ceil(F.col("docs") / RARE))
+    pairs = later.where("is_rare").groupBy("who", "first").agg(F.max("docs").alias("docs"))
+    pairs = stored(pairs.select("who", "first", salt.alias("salt")).join(own, "who"), "pairs")
+    dealt = pairs.select("first", "salt").distinct().join(other, "first")
+    blocks = pairs.join(dealt, ["first", "salt"]).select(
+        "who", aligned(words)("own", "own_words", "other", "other_words").alias("removed")
     )
     frequent = later.where("not is_rare").select("who", F.array("n").alias("removed"))
     return (
@@ -184,7 +187,7 @@ def removed_lines(
 
 
 def dedup_lines(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE, words: int = WORDS,
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int | None = None, words: int = WORDS,
     removed: str | None = None,
 ) -> DataFrame:
     """All rows and columns, the text without lines of earlier documents.

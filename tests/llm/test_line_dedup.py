@@ -95,3 +95,11 @@ def test_nulls_repeats_and_clashing_columns(spark):
     found = sorted((str(r.doc_id), r.text if r.text is None else r.text[:20], len(r.removed)) for r in got.collect())
     assert found == sorted([("1", text, 0), ("2", "", 1), ("2", "", 1), ("2", "more", 1), ("3", None, 0), ("None", text, 0), ("4", "", 0), ("5", ("x\n" * 20)[:20], 1)])
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_block_of_many_documents_takes_short_lines_along(spark):
+    block = "one two three four five\nyes\nsix seven eight nine ten"
+    for many in (900, 1100):
+        df = spark.createDataFrame([(n, f"own line number {n} here\n{block}\nno") for n in range(many)], "doc_id long, text string")
+        got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+        assert got == {n: f"own line number {n} here" + (f"\n{block}\nno" if n == 0 else "") for n in range(many)}
