@@ -1,10 +1,10 @@
 """Token counts of every prefix of a text, from one pass over it.
 
 The token count of a prefix is the count up to the last finished piece plus the count of
-the unfinished piece, and that is looked up by word. Inside a long piece a dynamic
-program over positions finds the last token of every prefix: the encoding of a prefix is
-the encoding of a shorter prefix plus one token, and of all tokens that end there only
-one forms a pair with the token before it which the merges would leave as it is.
+the unfinished piece, and that is looked up by word. Inside a piece, whatever its length,
+a dynamic program over positions finds the last token of every prefix: the encoding of a
+prefix is the encoding of a shorter prefix plus one token, and of all tokens that end there
+only one forms a pair with the token before it which the merges would leave as it is.
 
 What is stored per text is the step of the count at each character (two bytes, nearly
 always 0 or 1). Running sums of the steps answer how many tokens a prefix has and which
@@ -15,7 +15,9 @@ the next, because a longer word can have fewer tokens.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
+from bisect import bisect_right
 from functools import lru_cache
 from operator import sub
 from struct import pack
@@ -27,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bound_batches, text_array, text_slices
-from .tokens import LETTERS, PIECE, SLICE_BYTES, Encoder, Memory, as_letters
+from .tokens import LETTERS, PIECE, SLICE_BYTES, Encoder, Memory
 
 STEP = np.dtype("<i2")
-# Pieces up to this length have each prefix encoded; longer ones use the dynamic program.
-SHORT = 24
 # Prefixes up to this length are shared by so many pieces that they are remembered.
 HEAD = 6
+# Pieces that are looked at again before a half-finished character.
+MARGIN = 2
 
 
 def is_contraction(piece: str) -> bool:
@@ -51,10 +53,11 @@ class PrefixEncoder(Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.heads = Memory(lambda head: len(self.model.tokenize(as_letters(head))))
+        self.heads = Memory(self._head)
         self.inner_pairs = Memory(self._inner_pair)
         self.last_pairs = Memory(self._last_pair)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self._inner = None
 
     @property
@@ -84,105 +87,111 @@ class PrefixEncoder(Encoder):
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def make_piece(self, piece: str) -> bytes:
-        if is_contraction(piece):
-            return as_steps(self.contraction_counts(piece))
-        if len(piece) > SHORT:
-            return as_steps(self.run_counts(piece))
-        counts = [self.heads[piece[:n]] for n in range(1, min(len(piece), HEAD) + 1)]
-        tokenize = self.model.tokenize
-        counts += [len(tokenize(as_letters(piece[:n]))) for n in range(HEAD + 1, len(piece) + 1)]
-        return as_steps(counts)
+        return as_steps(self.piece_counts(piece))
 
     def make_other(self, word: str) -> bytes:
-        if len(word) <= SHORT:
-            return as_steps([self.count(word[:n]) for n in range(1, len(word) + 1)])
-        return as_steps(self._rare_counts(word))
+        return as_steps(self.word_counts(word))
+
+    def piece_counts(self, piece: str) -> list[int]:
+        return self.contraction_counts(piece) if is_contraction(piece) else self.run_counts(piece)
 
     def contraction_counts(self, piece: str) -> list[int]:
         """A cut contraction falls into pieces that the whole one doesn't have."""
         cut = [PIECE.findall(piece[:n]) for n in range(1, len(piece) + 1)]
-        return [sum(len(self.model.tokenize(p)) for p in own) for own in cut]
+        return [sum(self.run_counts(p)[-1] for p in own) for own in cut]
+
+    def _step(self, text: str, last: list[str | None], number: list[int]) -> tuple[str | None, int, int]:
+        """What is known of a prefix, from its shorter prefixes: the last token and the
+        number of tokens if the word goes on, and the number if it ends here.
+
+        Of the tokens that end here, the last one is that which the merges leave as it is
+        behind the last token of the prefix before it.
+        """
+        end = len(last)
+        known, suffix = self._known, self._suffix
+        token_here, number_here, ended = None, 0, 0
+        for start in range(end - 1, max(-1, end - self._reach - 1), -1):
+            token, before = text[start:end], last[start]
+            if before is None:
+                continue
+            if token_here is None and token in known and self.inner_pairs[before, token]:
+                token_here, number_here = token, number[start] + 1
+            if not ended and token + suffix in known and self.last_pairs[before, token]:
+                ended = number[start] + 1
+            if ended and token_here is not None:
+                break
+        return token_here, number_here, ended or len(self.model.tokenize(text[:end]))
+
+    def _head(self, head: str) -> tuple[str | None, int, int]:
+        shorter = [("", 0, 0), *(self.heads[head[:n]] for n in range(1, len(head)))]
+        return self._step(head, [s[0] for s in shorter], [s[1] for s in shorter])
 
     def run_counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of a piece that is one run of letters or one of signs."""
-        ends, letters = [], []
-        for char in piece:
-            letters += [LETTERS[b] for b in char.encode()]
-            ends.append(len(letters))
-        text = "".join(letters)
         assert self.inner
-        known, suffix, reach = self._known, self._suffix, self._reach
-        # Last token and number of tokens of each prefix that does not end the word.
-        last, number = [""], [0]
-        counts = [0] * (len(text) + 1)
-        wanted = set(ends)
+        shown = piece.isascii() and piece.isprintable()
+        text = piece if shown else "".join(LETTERS[b] for b in piece.encode())
+        last, number, counts = [""], [0], [0]
         for end in range(1, len(text) + 1):
-            for start in range(end - 1, max(-1, end - reach - 1), -1):
-                token = text[start:end]
-                if last[start] is not None and token in known and self.inner_pairs[last[start], token]:
-                    last.append(token)
-                    number.append(number[start] + 1)
-                    break
-            else:
-                last.append(None)
-                number.append(0)
-            if end in wanted:
-                for start in range(end - 1, max(-1, end - reach - 1), -1):
-                    token = text[start:end]
-                    if last[start] is not None and token + suffix in known and self.last_pairs[last[start], token]:
-                        counts[end] = number[start] + 1
-                        break
-                else:
-                    counts[end] = len(self.model.tokenize(text[:end]))
-        return [counts[end] for end in ends]
+            step = self.heads[text[:end]] if end <= HEAD else self._step(text, last, number)
+            last.append(step[0])
+            number.append(step[1])
+            counts.append(step[2])
+        if len(text) == len(piece):
+            return counts[1:]
+        ends = np.cumsum([len(char.encode()) for char in piece])
+        return [counts[end] for end in ends.tolist()]
 
     def word_counts(self, word: str) -> list[int]:
-        return np.cumsum(np.frombuffer(self.values([word])[0], STEP), dtype=int).tolist()
-
-    def _rare_counts(self, word: str) -> list[int]:
-        """As prefix_counts, for long words of any characters."""
-        for special in self.special:
-            at = word.find(special)
-            if at >= 0:
-                end = at + len(special)
-                head = self.word_counts(word[: end - 1])
-                whole = (head[at - 1] if at else 0) + 1
-                tail = self.word_counts(word[end:])
-                return [*head, whole, *(whole + n for n in tail)]
-        # Parts that are normalised on their own: a new one starts at a character that
-        # does not combine with the part before it.
-        norm, at, direct = [], 0, []
-        ends = []
+        """Tokens of each prefix of a word of any characters, special strings included."""
+        counts, base, at = [], 0, 0
+        for special in self.special.finditer(word):
+            # Until its last character is there, a special string is ordinary text.
+            own = self.plain_counts(word[at : special.end() - 1])
+            counts += [base + n for n in own]
+            base += (own[special.start() - at - 1] if special.start() > at else 0) + 1
+            counts.append(base)
+            at = special.end()
+        return counts + [base + n for n in self.plain_counts(word[at:])]
+
+    def plain_counts(self, word: str) -> list[int]:
+        # Clusters are normalised on their own: a new one starts at a character that does
+        # not combine with those before it.
+        begins: list[int] = []
         for n, char in enumerate(word):
-            own = "".join(norm[-1]) if norm else ""
-            free = n == 0 or (
-                not unicodedata.combining(char)
+            own = word[begins[-1] : n] if begins else ""
+            if (
+                not begins
+                or char.isascii()
+                or not unicodedata.combining(char)
                 and unicodedata.normalize("NFC", own + char)
                 == unicodedata.normalize("NFC", own) + unicodedata.normalize("NFC", char)
-            )
-            if free:
-                norm.append([char])
-            else:
-                norm[-1].append(char)
-                if len(norm[-1]) == 2:
-                    direct.append(n)
-                direct.append(n + 1)
+            ):
+                begins.append(n)
         normalise = self.tokenizer.normalizer.normalize_str
-        parts = []
-        for chars in norm:
-            parts.append(normalise("".join(chars)))
-            at += len(parts[-1])
-            ends += [at] * len(chars)
+        parts = [normalise(word[a:b]) for a, b in zip(begins, [*begins[1:], len(word)])]
         text = "".join(parts)
-        counts, before = [0] * (len(text) + 1), 0
-        for _, (start, stop) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
-            piece = text[start:stop]
-            own = self.contraction_counts(piece) if is_contraction(piece) else self.run_counts(piece)
-            counts[start + 1 : stop + 1] = [before + n for n in own]
-            before = counts[stop]
-        found = [counts[end] for end in ends]
-        for n in direct:
-            found[n - 1] = self.count(word[:n])
+        # Where each cluster begins and ends in the normalised text.
+        at = [0, *np.cumsum([len(p) for p in parts]).tolist()]
+        counts, stop, starts = [0], 0, set()
+        for _, (start, end) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
+            # What lies between pieces has no tokens, so the count stays.
+            before = counts[-1]
+            counts += [before] * (start - stop)
+            counts += [before + n for n in self.piece_counts(text[start:end])]
+            stop = end
+            starts.add(start)
+        counts += [counts[-1]] * (len(text) - stop)
+        found = []
+        anchors = [n for n in range(len(begins)) if at[n] in starts]
+        for n, (a, b) in enumerate(zip(begins, [*begins[1:], len(word)])):
+            if b - a > 1:
+                # A part of a cluster is not a prefix of the normalised text: these are
+                # counted anew from a cluster at which a piece begins.
+                back = bisect_right(anchors, n) - 1 - MARGIN
+                first = anchors[back] if back >= 0 else 0
+                found += [counts[at[first]] + self.count(word[begins[first] : a + m]) for m in range(1, b - a)]
+            found.append(counts[at[n + 1]])
         return found
 
     def text_steps(self, texts: pa.Array) -> list[bytes]:
