@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ordering import BLOCK, keep, of_mark, range_blocks, with_marks
 
 
-def status_share(df: DataFrame, station: str, status: str) -> DataFrame:
-    """Count and percentage of each status per station."""
-    counts = df.groupBy(station, status).agg(F.count(F.lit(1)).alias("n"))
+# The columns of a run, after that of the station.
+RUN = T.StructType(
+    [T.StructField(n, T.LongType()) for n in ("run", "first_no", "last_no", "messages", "received", "dropped")]
+)
+
+
+def status_share(df: DataFrame, station: str | list[str], status: str, n: Column | None = None) -> DataFrame:
+    """Count and percentage of each status per station.
+
+    `station` can be several columns, such as a time window and a station. `n` is the
+    aggregate that counts, for rows that stand for more than one.
+    """
+    by = [station] if isinstance(station, str) else list(station)
+    counts = df.groupBy(*by, status).agg((F.count(F.lit(1)) if n is None else n).alias("n"))
     # The window runs on counted rows: one per status value of the station.
-    total = F.sum("n").over(Window.partitionBy(station))
+    total = F.sum("n").over(Window.partitionBy(*by))
     return counts.withColumn("pct", F.col("n") * 100.0 / total)
 
 
@@ -48,20 +60,29 @@ def sequence_runs(
     Inside a run the numbers never fall, so the count of different numbers is one more
     than the count of increases, and both add up across blocks.
     """
+    pieces = sequence_pieces(df, station, seq, order_by, block)
+    if block is None:
+        # The pieces are used twice, and range bounds can differ between two runs.
+        pieces = keep(pieces)
+    return merge_pieces(pieces, station)
+
+
+def sequence_pieces(
+    df: DataFrame, station: str, seq: str, order_by: list[str], block: Column | None = None
+) -> DataFrame:
+    """The pieces of runs inside each block: many when numbers fall often, few when
+    producers seldom restart. Blocks as in `sequence_runs`."""
     wanted = list(dict.fromkeys([station, seq, *order_by]))
     narrow = df.filter(F.col(seq).isNotNull())
     if block is None:
         tagged = range_blocks(narrow.select(*wanted), [station], order_by)
     else:
         tagged = narrow.select(*wanted, block.alias(BLOCK))
-
-    # Pieces of runs inside each block: many when numbers fall often, few when producers
-    # seldom restart.
     arrival = Window.partitionBy(station, BLOCK).orderBy(*order_by)
     previous = F.lag(seq).over(arrival)
     falls = F.coalesce((F.col(seq) < previous).cast("int"), F.lit(0))
     rises = F.coalesce((F.col(seq) > previous).cast("int"), F.lit(0))
-    pieces = (
+    return (
         tagged.withColumns({"_fall": falls, "_rise": rises})
         .withColumn("_piece", F.sum("_fall").over(arrival))
         .groupBy(station, BLOCK, "_piece")
@@ -73,10 +94,22 @@ def sequence_runs(
             (F.sum("_rise") + 1).alias("_different"),
         )
     )
-    if block is None:
-        # The pieces are used twice, and range bounds can differ between two runs.
-        pieces = keep(pieces)
 
+
+def merge_pieces(pieces: DataFrame, station: str, open_runs: DataFrame | None = None) -> DataFrame:
+    """Runs put together from their pieces, which are read twice.
+
+    `open_runs` are the last runs of some stations so far, at most one row for each, in the
+    form of the result: they go on where the pieces fit, and later runs are counted from
+    theirs on.
+    """
+    if open_runs is not None:
+        earliest = F.lit(-(2**63)).cast(pieces.schema[BLOCK].dataType)
+        so_far = open_runs.select(
+            station, earliest.alias(BLOCK), F.lit(0).cast("bigint").alias("_piece"), F.col("first_no").alias("_lo"),
+            F.col("last_no").alias("_hi"), F.col("messages").alias("_rows"), F.col("received").alias("_different"),
+        )
+        pieces = pieces.unionByName(so_far)
     # One row per block: how it joins the block before, and the runs started so far.
     ends = pieces.groupBy(station, BLOCK).agg(
         F.min_by("_lo", "_piece").alias("_first"),
@@ -96,6 +129,10 @@ def sequence_runs(
             F.coalesce(F.col("_first") == F.col("_before"), F.lit(False)).alias("_again"),
         )
     )
+    if open_runs is not None:
+        base = F.col("_base") + F.coalesce("_open", F.lit(0))
+        known = open_runs.select(station, F.col("run").alias("_open"))
+        carry = carry.join(known, station, "left").withColumn("_base", base).drop("_open")
     both, in_block, is_row = with_marks(pieces, carry, [station], ["_piece"])
     joined = both.withColumns(
         {"_from": of_mark("_base", in_block), "_repeat": of_mark("_again", in_block)}

@@ -28,3 +28,24 @@ def latest_per_key(
 def lookup(view: DataFrame, key: str, value: object) -> DataFrame:
     """Current row of one key; no row when the key is unknown."""
     return view.filter(F.col(key) == F.lit(value))
+
+
+def lookup_many(view: DataFrame, key: str, keys: DataFrame, key_in: str | None = None) -> DataFrame:
+    """Current rows of the keys that occur in another table, each once; unknown keys give no
+    row.
+
+    The keys restrict the scan, not the view: as the key is what the view is grouped by,
+    Spark can put a Bloom filter of the wanted keys below the aggregate, so rows of other
+    keys are neither reduced nor shuffled. It does so where the view's files are large
+    (spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold) and the keys
+    come from a filtered table.
+    """
+    wanted = keys.select(F.col(key_in or key).alias("_wanted"))
+    return view.join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
+
+
+def lookup_list(view: DataFrame, key: str, values: list) -> DataFrame:
+    """Current rows of a short list of keys. The list reaches the Parquet reader, which
+    skips row groups by their statistics and by the Bloom filters that the change log
+    writes."""
+    return view.filter(F.col(key).isin(list(values)))

@@ -116,6 +116,38 @@ def top_k(df: DataFrame, by: str, k: int = 10, weight: Column | None = None) ->
     )
 
 
+# Buckets of the sketch: what a task sends of any number of values.
+SKETCH_BUCKETS = 1 << 17
+
+
+def top_k_sketched(df: DataFrame, by: str, k: int = 10, buckets: int = SKETCH_BUCKETS) -> DataFrame:
+    """`top_k` without a shuffle of all values, for columns with very many of them.
+
+    First the values are counted by bucket of their hash, of which each task sends
+    `buckets` rows at most. The count of a bucket is a bound on that of each value in it.
+    The values in the fullest buckets are counted exactly, and the k-th of these counts is
+    a threshold: a value of a bucket below it cannot be among the first k. What lies in the
+    other buckets is counted exactly, so the result is that of `top_k`, ties included. The
+    input is read three times; it pays where few values are frequent, and where none is the
+    last pass counts all values, as `top_k` does.
+    """
+    hashed = df.select(F.col(by), F.pmod(F.xxhash64(by), F.lit(buckets)).alias("_bucket"))
+    # A fixed number of rows, whatever the input.
+    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size")).persist()
+    try:
+        fullest = sizes.orderBy(F.desc("_size"), "_bucket").limit(2 * k).select("_bucket")
+        counts = hashed.join(F.broadcast(fullest), "_bucket", "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+        best = [row.n for row in counts.orderBy(F.desc("n")).limit(k).collect()]
+        threshold = best[-1] if len(best) == k else 0
+        # At most `buckets` numbers, as bits in the plan.
+        kept = [row._bucket for row in sizes.where(F.col("_size") >= threshold).select("_bucket").collect()]
+    finally:
+        sizes.unpersist()
+    session = df.sparkSession
+    chosen = F.broadcast(session.createDataFrame([(b,) for b in kept], "_bucket bigint"))
+    return top_k(hashed.join(chosen, "_bucket", "left_semi"), by, k)
+
+
 def top_pairs(
     df: DataFrame, file: str, line_no: str, line: str, *alternatives: str, k: int = 10, sep: str = "\n"
 ) -> DataFrame:

@@ -206,6 +206,12 @@ def top_k_weighted(spark: SparkSession, d: str) -> DataFrame:
     return lines.top_k(table(spark, d, "events"), "user_id", weight=cents)
 
 
+def top_words(spark: SparkSession, d: str) -> DataFrame:
+    """The most frequent of very many different values, without shuffling all of them."""
+    words = table(spark, d, "documents").select(F.explode(F.split("text", " ", -1)).alias("word"))
+    return lines.top_k_sketched(words, "word")
+
+
 def allocation_lines(spark: SparkSession, d: str) -> DataFrame:
     """Each event as three lines of a profiler report, one report per user."""
     text = F.array(
@@ -270,6 +276,7 @@ QUERIES = {
         pair_selected_lines,
         top_k,
         top_k_weighted,
+        top_words,
         allocation_top_k,
         top_pairs,
         max_duration,

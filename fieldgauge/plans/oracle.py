@@ -143,6 +143,30 @@ select {station}, cast(run as bigint) as run, min({seq}) as first_no, max({seq})
 from n group by {station}, run"""
 
 
+# The batch that an event arrives in.
+_PARTS = """parts as (
+    select *, event_id * 4 // (select max(event_id) + 1 from events) as part from events
+)"""
+
+# What is sent, when it arrives, and the watermark of its batch: the greatest time of the
+# batches before, in whole milliseconds, less a day.
+_ARRIVALS = f"""with {_PARTS}, sent as (
+    select event_id, user_id, epoch_us(ts) as at_micros, part, epoch_us(ts) as first_micros, part as first_part from parts
+    union all
+    select event_id, user_id, epoch_us(ts) + case when event_id % 10 = 2 then 4 * 86400000000 else 0 end,
+        part + case when event_id % 10 = 0 then 0 else 1 end, epoch_us(ts), part
+    from parts where event_id % 10 < 3
+), marks as (
+    select b.part, (select max(at_micros) // 1000 * 1000 - 86400000000 from sent where sent.part < b.part) as watermark
+    from (select distinct part from sent where part < 4) b
+), judged as (
+    -- A row that was kept is remembered until the watermark is a day past it.
+    select sent.*, at_micros > coalesce(watermark, -1) as in_time,
+        first_part = sent.part or first_micros + 86400000000 <= watermark as forgotten
+    from sent join marks on marks.part = sent.part
+)
+select distinct event_id, user_id, at_micros from judged where in_time and forgotten"""
+
 ORACLE = {
     "parquet_scan": "select * from orders",
     "latest_per_key": """select user_id, max(event_id) as event_id, arg_max(ts, event_id) as ts,
@@ -263,7 +287,45 @@ select station_id, s_no, battery_status, status_timestamp, humidity, temperature
     cast(year(make_timestamp(status_timestamp * 1000000)) as int) as year,
     cast(month(make_timestamp(status_timestamp * 1000000)) as int) as month, true as fewer_files
 from classified where reason is null""",
+    "json_document": _snapshot("case when whole then cast(json(v) as varchar) else v end"),
+    "clustered_span": """select event_id, user_id, cast(floor(epoch(ts)) as bigint) as at from events
+where user_id between 40 and 49 and cast(floor(epoch(ts)) as bigint) between 1704412800 and 1704412800 + 3 * 86400 - 1""",
+    "merged_small_files": f"""with {_MESSAGES}
+select station_id, s_no, battery_status, status_timestamp, humidity, temperature, wind_speed,
+    cast(year(make_timestamp(status_timestamp * 1000000)) as int) as year,
+    cast(month(make_timestamp(status_timestamp * 1000000)) as int) as month
+from classified where reason is null""",
+    "lookup_many": f"""select * from ({_LATEST})
+where user_id in (select user_id from events where event_type = 'signup' and "value" > 60)""",
+    "lookup_list": f"select * from ({_LATEST}) where user_id in (3, 77, 140, -1)",
+    "top_words": """select word, count(*) as n from (select unnest(string_split("text", ' ')) as word from documents)
+group by word order by n desc, word limit 10""",
     "compact_files": 'select event_id, "value", true as bounded from events',
     "stream_latest": _LATEST,
     "stream_alerts": _ALERTS,
+    "state_view": f"""with {_PARTS}
+select b as after_batch, user_id, max(event_id) as event_id, arg_max(event_type, event_id) as event_type
+from parts, (select unnest(range(4)) as b) where part <= b group by user_id, b""",
+    "state_changes": f"""with {_PARTS}
+select part as batch_id, user_id, max(event_id) as event_id, arg_max(event_type, event_id) as event_type
+from parts group by user_id, part""",
+    "stream_first_arrivals": _ARRIVALS,
+    "stream_status_windows": """with counted as (
+    select cast(floor(epoch(ts) / 86400) as bigint) * 86400 as begins, user_id % 10 + 1 as station_id,
+        event_type as status, count(*) as n
+    from events group by all
+)
+select *, round(cast(n as double) * 100 / cast(sum(n) over (partition by begins, station_id) as double), 4) as pct
+from counted""",
+    "stream_sequence_runs": _runs(
+        "select user_id, event_id, event_id % 1001 // 2 as s_no from events", "user_id", "s_no", "event_id"
+    ),
+    "stream_from_tail": f"""with {_PARTS}
+select event_id, user_id, event_type from parts where part > 1""",
+    "stream_from_start": "select event_id, user_id, event_type from events",
+    "stream_restarted": f"""with {_MESSAGES}
+select station_id, s_no, battery_status, status_timestamp, humidity, temperature, wind_speed,
+    cast(year(make_timestamp(status_timestamp * 1000000)) as int) as year,
+    cast(month(make_timestamp(status_timestamp * 1000000)) as int) as month, true as bounded
+from classified where reason is null""",
 }

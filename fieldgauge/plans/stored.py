@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions.json_text import loose_double
 from ..functions.times import epoch_seconds
 from ..operators import latest
-from ..operators.messages import with_default_key, with_validity
+from ..operators.messages import classify, readings, with_default_key, with_validity
 from ..session import scratch
 from ..sources import archive, exports, feeds
 from ..sources.change_log import ChangeLog
@@ -85,20 +85,22 @@ def feed_scan(spark: SparkSession, d: str) -> DataFrame:
     return current.select("time", *[loose_double(F.col(n)).alias(n) for n in numbers])
 
 
+LATEST_ROW = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+    ]
+)
+
+
 def compact_rebuild(spark: SparkSession, d: str) -> DataFrame:
     """Three batches; the first two are compacted, the view is rebuilt from all."""
-    schema = T.StructType(
-        [
-            T.StructField("user_id", T.LongType()),
-            T.StructField("event_id", T.LongType()),
-            T.StructField("event_type", T.StringType()),
-        ]
-    )
     events = table(spark, d, "events")
-    log = ChangeLog(spark, scratch(spark, "log"), schema, "user_id", "event_id")
+    log = ChangeLog(spark, scratch(spark, "log"), LATEST_ROW, "user_id", "event_id")
     for batch in range(3):
         log.append(events.filter(F.col("event_id") % 3 == batch), batch)
-    log.compact(through={"main": 1})
+    log.compact(through=(0, 1))
     return log.rebuild()
 
 
@@ -106,7 +108,7 @@ def compact_files(spark: SparkSession, d: str) -> DataFrame:
     """A snapshot in files of a bounded number of rows; each row says whether its file is."""
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
     most = 500
-    log = ChangeLog(spark, scratch(spark, "log"), schema, "event_id", "value", buckets=4)
+    log = ChangeLog(spark, scratch(spark, "log"), schema, "event_id", "value")
     log.append(table(spark, d, "events"), 0)
     log.compact(rows_per_file=most)
     rows = log.snapshot().select("*", F.col("_metadata.file_path").alias("file"))
@@ -114,6 +116,53 @@ def compact_files(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(sizes, "file").select("event_id", "value", "bounded")
 
 
+def json_document(spark: SparkSession, d: str) -> DataFrame:
+    """The view as one JSON object in many part files, read again member by member."""
+    path = scratch(spark, "json-document")
+    exports.write_json_document(_view(spark, d), path)
+    return exports.read_json_document(spark, path)
+
+
+def clustered_span(spark: SparkSession, d: str) -> DataFrame:
+    """Ten users over three days, from an archive clustered by user and second."""
+    seconds = epoch_seconds(F.col("ts"))
+    events = archive.with_partitions(table(spark, d, "events").withColumn("at", seconds), F.col("at"))
+    path = scratch(spark, "clustered")
+    archive.write_clustered(events.select("event_id", "user_id", "at", "year", "month"), path, "user_id", "at", page_rows=500)
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in ("event_id", "user_id", "at")])
+    first = 1704412800  # 5 January 2024
+    span = archive.read_span(archive.read_clustered(spark, path, schema), (40, 49), (first, first + 3 * 86400 - 1), "user_id", "at")
+    return span.select("event_id", "user_id", "at")
+
+
+def merged_small_files(spark: SparkSession, d: str) -> DataFrame:
+    """The archive of three batches after its small files were packed in place."""
+    path = scratch(spark, "archive")
+    rows = archive.with_partitions(readings(classify(messages(spark, d))))
+    for batch in range(3):
+        archive.write_archive(rows.filter(F.col("s_no") % 3 == batch), path, batch=f"main-{batch}")
+    archive.merge_small_files(spark, path)
+    return archive.read_archive(spark, path)
+
+
+def _event_log(spark: SparkSession, d: str) -> ChangeLog:
+    log = ChangeLog(spark, scratch(spark, "log"), LATEST_ROW, "user_id", "event_id")
+    log.append(table(spark, d, "events"), 0)
+    log.compact()
+    return log
+
+
+def lookup_many(spark: SparkSession, d: str) -> DataFrame:
+    """Latest rows of the users who have signed up with a high value."""
+    wanted = table(spark, d, "events").where((F.col("event_type") == "signup") & (F.col("value") > 60))
+    return latest.lookup_many(_event_log(spark, d).rebuild(), "user_id", wanted)
+
+
+def lookup_list(spark: SparkSession, d: str) -> DataFrame:
+    """Latest rows of a few users, of whom one is not there."""
+    return latest.lookup_list(_event_log(spark, d).rebuild(), "user_id", [3, 77, 140, -1])
+
+
 QUERIES = {
     "slice" if f is slice_rows else f.__name__: f
     for f in (
@@ -127,5 +176,10 @@ QUERIES = {
         feed_scan,
         compact_rebuild,
         compact_files,
+        json_document,
+        clustered_span,
+        merged_small_files,
+        lookup_many,
+        lookup_list,
     )
 }

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.bits import interleave, scaled
 from ..functions.times import month_text, utc_date
 from ..schema import READING
 from .storage import Folder
@@ -90,6 +94,142 @@ def compact_archive(
     write_archive(rows.withColumn("month", month), target, station, rows_per_file=rows_per_file)
 
 
+# ---- clustering inside a month
+
+# Rows of a page, the least that a reader can skip.
+PAGE_ROWS = 4_000
+
+
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    station: str = "station_id",
+    seconds: str = "status_timestamp",
+    files: int | None = None,
+    page_rows: int = PAGE_ROWS,
+) -> None:
+    """Write rows that carry `year` and `month` into year / month folders, clustered by
+    station and second.
+
+    Rows are ordered by a key whose bits are in turn those of the station and of the
+    second, so a page holds few stations over a short time, and the statistics of pages
+    let a reader skip by either column and most of all by both. Without a folder per
+    station there can be any number of stations. Rows without station or second come first.
+    """
+    bounds = df.agg(F.min(station), F.max(station), F.min(seconds), F.max(seconds)).first()
+    place = [
+        F.coalesce(scaled(F.col(name), low, high), F.lit(0))
+        for name, low, high in ((station, *bounds[:2]), (seconds, *bounds[2:]))
+        if low is not None
+    ]
+    key = interleave(*place) if len(place) == 2 else F.lit(0)
+    count = [files] if files is not None else []
+    (
+        df.withColumn("_cluster", key)
+        .repartitionByRange(*count, "year", "month", "_cluster")
+        .sortWithinPartitions("year", "month", "_cluster")
+        .drop("_cluster")
+        .write.partitionBy("year", "month")
+        .option("parquet.page.row.count.limit", page_rows)
+        .mode("append")
+        .parquet(path)
+    )
+
+
+def read_clustered(spark: SparkSession, path: str, data: T.StructType = READING) -> DataFrame:
+    inner = [f for f in data.fields if f.name not in PARTITIONS]
+    outer = [T.StructField(name, T.IntegerType()) for name in PARTITIONS]
+    return spark.read.schema(T.StructType(inner + outer)).parquet(path)
+
+
+def read_span(
+    clustered: DataFrame, stations: tuple[int, int], seconds: tuple[int, int],
+    station_col: str = "station_id", seconds_col: str = "status_timestamp",
+) -> DataFrame:
+    """Rows of a range of stations and a range of seconds, both ends included.
+
+    Folders are chosen by year and month, pages by their statistics.
+    """
+    first, last = (datetime.fromtimestamp(s, UTC) for s in seconds)
+    months = F.col("year") * 12 + F.col("month")
+    return clustered.where(
+        F.col(station_col).between(*stations)
+        & F.col(seconds_col).between(*seconds)
+        & months.between(first.year * 12 + first.month, last.year * 12 + last.month)
+    )
+
+
+# ---- small files
+
+FILE_BYTES = 128 * 1024**2
+# Small files that are merged in one job.
+FILES_AT_ONCE = 20_000
+
+
+def small_files(spark: SparkSession, path: str, station: str = "station_id", file_bytes: int = FILE_BYTES) -> DataFrame:
+    """(folder, files, bytes) of the station and month folders that hold several files of
+    less than half the target size. Only names and sizes are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    folder = F.regexp_extract("path", rf"^(.*/{station}=[^/]*/year=[^/]*/month=[^/]*)/", 1)
+    return (
+        files.where(F.col("length") < file_bytes // 2)
+        .select(folder.alias("folder"), "path", "length")
+        .groupBy("folder")
+        .agg(F.collect_list("path").alias("files"), F.sum("length").alias("bytes"))
+        .where(F.size("files") > 1)
+    )
+
+
+def merge_small_files(
+    spark: SparkSession,
+    path: str,
+    data: T.StructType = READING,
+    station: str = "station_id",
+    file_bytes: int = FILE_BYTES,
+) -> int:
+    """Pack the small files of each folder into files of about the target size, below
+    `batch=merged-...`, and delete them; all other files stay as they are, name and
+    content. Returns how many went.
+
+    Run it on months that are closed and without readers: between the writing and the
+    deleting rows are there twice. A run that dies in between has both: delete the folders of
+    its batch name, as the files it was made of are all still there, and run it again.
+    """
+    schema, gone = archive_schema(data, station), 0
+    files: list[str] = []
+    total = 0
+
+    def merge() -> None:
+        name = f"merged-{uuid.uuid4().hex}"
+        rows = spark.read.schema(schema).option("basePath", path).parquet(*files).select(*schema.names)
+        month = F.lpad(F.col("month").cast("string"), 2, "0")
+        folders = [station, *PARTITIONS]
+        parts = max(1, -(-total // file_bytes))
+        # Rows of a folder stay together; a folder that outgrows a task is cut by the hint.
+        (
+            rows.withColumn("month", month)
+            .withColumn("batch", F.lit(name))
+            .hint("rebalance", parts, *folders)
+            .write.partitionBy(*folders, "batch")
+            .option("compression", "snappy")
+            .mode("append")
+            .parquet(path)
+        )
+        for file in files:
+            folder, _, last = file.rpartition("/")
+            Folder(spark, folder).delete(last)
+
+    for row in small_files(spark, path, station, file_bytes).toLocalIterator():
+        files += row.files
+        total += row.bytes
+        if len(files) >= FILES_AT_ONCE:
+            merge()
+            gone, files, total = gone + len(files), [], 0
+    if files:
+        merge()
+    return gone + len(files)
+
+
 def read_slice(archive: DataFrame, **folder: object) -> DataFrame:
     """Rows of the given station, year and month; no other folder is scanned."""
     for name, value in folder.items():

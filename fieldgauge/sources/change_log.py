@@ -1,25 +1,15 @@
-"""Change log in batch folders, compacted into snapshots.
-
-    root/batches/<writer>.<id>.<attempt>/    rows of one micro-batch
-    root/closed/<writer>.<id>.<attempt>      empty file: that folder is complete
-    root/writers/<epoch>.json                {"writer": <name>}, in the order of starting
-    root/snapshots/<name>/bucket=<n>/        latest row per key of one bucket of keys
-    root/commits/<number>.json               {"buckets": {<n>: <name>}, "through": {<writer>: <id>}}
-
-A writer is whoever numbers batches from 0, such as one streaming checkpoint. A batch that
-runs again is a new folder, published when it is complete; until then readers see the
-attempt before. One listing of `closed` tells which batches there are. The newest commit
-names the snapshot of each bucket in force; readers merge them with the batches after
-`through`. Nothing is ever replaced, so a compaction that dies half way, or a reader that
-started earlier, sees whole data.
+"""Change log: a Parquet partition for each micro-batch, and snapshots of the latest rows.
+
+    root/batches/epoch=<n>/batch=<n>/   latest row per key of one batch
+    root/snapshots/<epoch>.<batch>/     latest row per key of all batches up to that one
+
+Both are ordinary Parquet. A batch that runs again replaces its partition (dynamic
+overwrite), a snapshot is a new folder that counts once Spark's writer has finished it.
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,20 +17,17 @@ from ..operators.latest import latest_per_key
 from ..schema import LOG, LOG_ROWS_PER_FILE
 from .storage import Folder
 
-MAIN = "main"
-BUCKETS = 64
-
-
-@dataclass(frozen=True)
-class Commit:
-    number: int = 0
-    buckets: dict[str, str] = field(default_factory=dict)
-    through: dict[str, int] = field(default_factory=dict)
+EPOCH, BATCH = T.StructField("epoch", T.LongType()), T.StructField("batch", T.LongType())
+# Distinct keys that the Bloom filter of a row group is made for: about 1.2 bytes for each.
+BLOOM_KEYS = 200_000
+# Epoch and number of a batch.
+Position = tuple[int, int]
 
 
 class ChangeLog:
     """`version` is the column, or the columns from the most significant on, by which the
-    latest row of a key is found. `buckets` counts for new logs; keep it for a log's life."""
+    latest row of a key is found. Columns `epoch` and `batch` of the schema are those of
+    the partition."""
 
     def __init__(
         self,
@@ -49,166 +36,110 @@ class ChangeLog:
         schema: T.StructType = LOG,
         key: str = "key",
         version: str | list[str] = "version",
-        buckets: int = BUCKETS,
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.key, self.version, self.buckets = key, version, buckets
-        self._commits = Folder(spark, f"{self.root}/commits")
-        self._closed = Folder(spark, f"{self.root}/closed")
+        self.key, self.version = key, version
         self._batches = Folder(spark, f"{self.root}/batches")
-        self._writers = Folder(spark, f"{self.root}/writers")
         self._snapshots = Folder(spark, f"{self.root}/snapshots")
 
-    # ---- writing
-
-    def append(
-        self, df: DataFrame, batch_id: int, writer: str = MAIN, reduce: bool = True
-    ) -> None:
-        """Write one batch. Repeating a batch id replaces that batch once it is complete.
+    def append(self, df: DataFrame, batch_id: int, epoch: int = 0, reduce: bool = True) -> None:
+        """Write one batch; the same batch again replaces it.
 
         Values that are no longer the latest inside the batch cannot be read by anyone,
         so they are left out, unless the caller says that keys are unique already.
         """
-        rows = df.select(*self.schema.names)
+        at = {"epoch": F.lit(epoch).cast("bigint"), "batch": F.lit(batch_id).cast("bigint")}
+        rows = df.withColumns({name: value for name, value in at.items() if name in self.schema.names})
+        rows = rows.select(*self.schema.names)
         if reduce:
-            rows = latest_per_key(rows, self.key, self.version).select(*rows.columns)
-        earlier = [a for w, i, a in self._attempts() if (w, i) == (writer, batch_id)]
-        number = 1 + max((int(a.partition("-")[0]) for a in earlier), default=0)
-        name = f"{writer}.{batch_id}.{number:06d}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self._batches.path}/{name}")
-        self._closed.create_text(name, "")
-
-    def epoch_of(self, writer: str) -> int:
-        """1 for the first writer that ever asked, 2 for the second, and so on."""
-        while True:
-            names = self._writers.names()
-            for name in names:
-                if self._writers.read_json(name)["writer"] == writer:
-                    return int(name.removesuffix(".json"))
-            epoch = 1 + int(names[-1].removesuffix(".json")) if names else 1
-            try:
-                self._writers.create_json(f"{epoch:06d}.json", {"writer": writer})
-            except Exception:
-                # Another writer took the number; without one the error is a real one.
-                if not self._writers.exists(f"{epoch:06d}.json"):
-                    raise
-
-    # ---- reading
-
-    def commit(self) -> Commit:
-        names = self._commits.names()
-        if not names:
-            return Commit()
-        return Commit(int(names[-1].removesuffix(".json")), **self._commits.read_json(names[-1]))
-
-    def _attempts(self) -> list[tuple[str, int, str]]:
-        """Writer, batch id and attempt of all complete folders, in this order."""
-        parts = (name.rsplit(".", 2) for name in self._closed.names())
-        return sorted((writer, int(i), attempt) for writer, i, attempt in parts)
-
-    def _last_attempts(
-        self, after: dict[str, int] | None = None, through: dict[str, int] | None = None
-    ) -> dict[tuple[str, int], str]:
-        after = after or {}
-        return {
-            (writer, i): attempt
-            for writer, i, attempt in self._attempts()
-            if i > after.get(writer, -1) and (through is None or i <= through.get(writer, -1))
-        }
-
-    def closed_batches(
-        self, after: dict[str, int] | None = None, through: dict[str, int] | None = None
-    ) -> list[tuple[str, int]]:
-        """Writer and id of the completely written batches in the given range."""
-        return list(self._last_attempts(after, through))
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def _batch_paths(self, batches: dict[tuple[str, int], str]) -> list[str]:
-        return [f"{self._batches.path}/{w}.{i}.{attempt}" for (w, i), attempt in batches.items()]
-
-    def _bucket_paths(self, buckets: dict[str, str]) -> list[str]:
-        return [f"{self._snapshots.path}/{name}/bucket={n}" for n, name in buckets.items()]
-
-    def rebuild(self) -> DataFrame:
-        """The latest view: snapshots in force merged with the batches after them."""
-        at = self.commit()
-        paths = self._bucket_paths(at.buckets) + self._batch_paths(self._last_attempts(at.through))
-        return latest_per_key(self._read(paths), self.key, self.version)
-
-    def snapshot(self) -> DataFrame:
-        """Rows of the snapshots in force, one per key, without the batches after them."""
-        return self._read(self._bucket_paths(self.commit().buckets))
-
-    # ---- maintenance
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets))
+            rows = latest_per_key(rows, self.key, self.version)
+        (
+            self._with_filter(rows.withColumns(at).write)
+            .partitionBy("epoch", "batch")
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .parquet(self._batches.path)
+        )
 
-    def compact(
-        self, through: dict[str, int] | None = None, rows_per_file: int = LOG_ROWS_PER_FILE
-    ) -> Commit:
-        """Merge the closed batches into the snapshots. Never changes what readers see.
+    def _with_filter(self, writer: DataFrameWriter) -> DataFrameWriter:
+        """With a Bloom filter of the keys in each row group, so that a look-up of few keys
+        skips those groups that only surround them."""
+        name = "parquet.bloom.filter"
+        return writer.option(f"{name}.enabled#{self.key}", True).option(f"{name}.expected.ndv#{self.key}", BLOOM_KEYS)
+
+    def positions(self) -> list[Position]:
+        """Epoch and number of all batches, in order."""
+        number = lambda name: int(name.partition("=")[2])
+        return sorted(
+            (number(epoch), number(batch))
+            for epoch in self._batches.names()
+            if epoch.startswith("epoch=")
+            for batch in Folder(self.spark, f"{self._batches.path}/{epoch}").names()
+        )
 
-        Only buckets with keys of these batches are read and written. A bucket is sorted
-        by key, so a lookup reads the row groups that can hold the key. Two compactions at
-        once cannot both commit the same number.
+    def batches(self, after: Position | None = None, through: Position | None = None) -> DataFrame:
+        """Rows of the batches in a range; partitions outside it are not read."""
+        inner = [f for f in self.schema.fields if f.name not in ("epoch", "batch")]
+        whole = T.StructType([*inner, EPOCH, BATCH])
+        if not self._batches.exists():
+            return self.spark.createDataFrame([], whole)
+        rows = self.spark.read.schema(whole).parquet(self._batches.path)
+        if after is not None:
+            rows = rows.where(~_up_to(after))
+        return rows if through is None else rows.where(_up_to(through))
+
+    def snapshots(self) -> list[Position]:
+        """The batches that finished snapshots reach to, in order."""
+        names = (n for n in self._snapshots.names() if self._snapshots.exists(n, "_SUCCESS"))
+        return sorted(tuple(map(int, n.split("."))) for n in names)
+
+    def snapshot(self, at: Position | None = None) -> DataFrame:
+        """Rows of a snapshot, the newest if none is named."""
+        at = at or max(self.snapshots(), default=None)
+        if at is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self._snapshots.path}/{at[0]}.{at[1]}")
+
+    def rebuild(self, through: Position | None = None) -> DataFrame:
+        """The latest view: the newest snapshot merged with the batches after it; with
+        `through` as it was after that batch, as long as nothing older was dropped."""
+        at = max((s for s in self.snapshots() if through is None or s <= through), default=None)
+        rows = self.batches(at, through).select(*self.schema.names)
+        if at is not None:
+            rows = rows.unionByName(self.snapshot(at))
+        return latest_per_key(rows, self.key, self.version).select(*self.schema.names)
+
+    def compact(self, through: Position | None = None, rows_per_file: int = LOG_ROWS_PER_FILE) -> Position | None:
+        """Write the latest rows as a new snapshot; never changes what readers see.
+
+        It is sorted by key, so a lookup reads the row groups that can hold the key.
+        Returns the batch that it reaches to.
         """
-        at = self.commit()
-        batches = self._last_attempts(at.through, through)
-        if not batches:
-            return at
-        name = f"v={at.number + 1}-{uuid.uuid4().hex}"
-        fresh = self._read(self._batch_paths(batches))
-        # At most one row per bucket.
-        touched = {str(r[0]) for r in fresh.select(self._bucket()).distinct().collect()}
-        old = self._read(self._bucket_paths({n: s for n, s in at.buckets.items() if n in touched}))
-        view = latest_per_key(old.unionByName(fresh), self.key, self.version)
+        last = max((p for p in self.positions() if through is None or p <= through), default=None)
+        if last is None or last in self.snapshots():
+            return last
+        view = self.rebuild(last).repartitionByRange(self.key).sortWithinPartitions(self.key)
         (
-            view.select(*self.schema.names, self._bucket().alias("bucket"))
-            .repartitionByRange("bucket", self.key)
-            .sortWithinPartitions("bucket", self.key)
-            .write.partitionBy("bucket")
+            self._with_filter(view.write)
             .option("maxRecordsPerFile", rows_per_file)
-            .parquet(f"{self._snapshots.path}/{name}")
-        )
-        # Sorted by id, so the last id of each writer stays.
-        done = Commit(at.number + 1, at.buckets | dict.fromkeys(touched, name), at.through | dict(batches.keys()))
-        self._commits.create_json(
-            f"{done.number:012d}.json", {"buckets": done.buckets, "through": done.through}
+            .mode("overwrite")
+            .parquet(f"{self._snapshots.path}/{last[0]}.{last[1]}")
         )
-        return done
+        return last
 
-    def vacuum(self, keep: int = 1) -> None:
-        """Delete what only commits older than the newest `keep` refer to.
+    def drop_compacted(self) -> None:
+        """Delete the batches and older snapshots that the newest snapshot stands for.
 
-        Readers that started before those commits must have ended.
+        Readers that started before it was written must have ended.
         """
-        names = self._commits.names()
-        if not names:
-            return
-        kept = [self._commits.read_json(n) for n in names[-max(keep, 1) :]]
-        for name in names[: -max(keep, 1)]:
-            self._commits.delete(name)
-        last = self._last_attempts()
-        for writer, i, attempt in self._attempts():
-            if i <= kept[0]["through"].get(writer, -1) or last[writer, i] != attempt:
-                # The mark first: a folder without one is not read.
-                self._closed.delete(f"{writer}.{i}.{attempt}")
-                self._batches.delete(f"{writer}.{i}.{attempt}")
-        in_use = {(name, n) for c in kept for n, name in c["buckets"].items()}
-        newest = int(names[-1].removesuffix(".json"))
-        for name in self._snapshots.names():
-            if int(name.removeprefix("v=").partition("-")[0]) > newest:
-                continue
-            folder = Folder(self.spark, f"{self._snapshots.path}/{name}")
-            buckets = [b for b in folder.names() if b.startswith("bucket=")]
-            unused = [b for b in buckets if (name, b.removeprefix("bucket=")) not in in_use]
-            if len(unused) == len(buckets):
-                self._snapshots.delete(name)
-            else:
-                for bucket in unused:
-                    folder.delete(bucket)
+        done = self.snapshots()
+        for epoch, batch in self.positions():
+            if done and (epoch, batch) <= done[-1]:
+                self._batches.delete(f"epoch={epoch}/batch={batch}")
+        for epoch, batch in done[:-1]:
+            self._snapshots.delete(f"{epoch}.{batch}")
+
+
+def _up_to(position: Position) -> Column:
+    epoch, batch = position
+    return (F.col("epoch") < epoch) | ((F.col("epoch") == epoch) & (F.col("batch") <= batch))

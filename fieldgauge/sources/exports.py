@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,53 @@ def snapshot_json(view: DataFrame, key: str = "key", value: str = "value") -> Da
     return view.select(F.concat(F.lit('{"key":'), name, F.lit(',"value":'), document, F.lit("}")).alias("value"))
 
 
+# Of the document: the first file in the order of names, and the last.
+FOOTER_FILE = "~footer"
+# Names of part files have five digits, and beyond that they no longer sort by number.
+MOST_FILES = 99_999
+
+
+def _json_text(text: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
+
+
+def write_json_document(view: DataFrame, path: str, key: str = "key", value: str = "value", files: int | None = None) -> None:
+    """The whole view as one JSON object `{"key": value, ...}`, in part files written in
+    parallel: all files in order of name, put one after the other, are the document.
+
+    Members are sorted by key. Each stands on a line of its own and begins with the comma
+    that separates it from the one before, whatever part file that is in; only the least
+    key has none. A value that is a JSON object stands there as an object, other text as a
+    string, null as null. A null key is the text `null`. The keys must differ.
+    """
+    if files is not None and files > MOST_FILES:
+        raise ValueError(f"at most {MOST_FILES} files stay in the order of their names")
+    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    rows = view.select(name.alias("_key"), F.col(value).alias("_value"))
+    # One row; nothing else of the view comes to the driver.
+    least = rows.agg(F.min("_key")).first()[0]
+    document = F.coalesce(compact_json(F.col("_value")), F.when(F.col("_value").isNotNull(), _json_text(F.col("_value"))), F.lit("null"))
+    comma = F.when(F.col("_key") == F.lit(least), F.lit("")).otherwise(F.lit(","))
+    order = [files] if files is not None else []
+    (
+        rows.repartitionByRange(*order, "_key")
+        .sortWithinPartitions("_key")
+        .select(F.concat(comma, _json_text(F.col("_key")), F.lit(":"), document).alias("value"))
+        .write.text(path)
+    )
+    folder = Folder(view.sparkSession, path)
+    folder.create_text(HEADER_FILE, "{\n")
+    folder.create_text(FOOTER_FILE, "}\n")
+
+
+def read_json_document(spark: SparkSession, path: str) -> DataFrame:
+    """key, value of such a document, read in parallel; objects as compact JSON text."""
+    line = F.concat(F.lit("{"), F.regexp_replace("value", "^,", ""), F.lit("}"))
+    members = F.from_json(line, T.MapType(T.StringType(), T.StringType()))
+    lines = spark.read.option("pathGlobFilter", "part-*").text(path)
+    return lines.select(F.explode(members).alias("key", "value"))
+
+
 def write_documents(df: DataFrame, path: str) -> None:
     """Newline-delimited JSON documents, the form bulk loaders of search indexes take."""
     df.write.json(path)

@@ -37,15 +37,19 @@ class Folder:
         finally:
             out.close()
 
-    def create_json(self, name: str, content: dict) -> None:
-        self.create_text(name, json.dumps(content))
+    def modified(self, name: str) -> int:
+        """When a file was written, in milliseconds."""
+        return self._fs.getFileStatus(self._at(name)).getModificationTime()
 
-    def read_json(self, name: str) -> dict:
+    def read_text(self, name: str) -> str:
         stream = self._fs.open(self._at(name))
         try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
+    def read_json(self, name: str) -> dict:
+        return json.loads(self.read_text(name))
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(name), True)

@@ -62,11 +62,32 @@ def write_topic(df: DataFrame, servers: str, topic: str) -> None:
 
 
 def stream_files(
-    spark: SparkSession, path: str, schema: T.StructType = MESSAGE, **options: object
+    spark: SparkSession, path: str, schema: T.StructType = MESSAGE, after: int | None = None, **options: object
 ) -> DataFrame:
-    """A folder of Parquet files, or one file, as a stream."""
+    """A folder of Parquet files, or one file, as a stream. With `after` only files written
+    later than that many milliseconds; older ones are not opened."""
     reader = spark.readStream.schema(schema)
     if not Folder(spark, path).is_folder():
         path, _, name = path.rpartition("/")
         reader = reader.option("pathGlobFilter", name)
-    return reader.options(**{k: str(v) for k, v in options.items()}).parquet(path)
+    rows = reader.options(**{k: str(v) for k, v in options.items()}).parquet(path)
+    if after is not None:
+        written = F.col("_metadata.file_modification_time")
+        rows = rows.where(written > F.timestamp_millis(F.lit(after))).select(*schema.names)
+    return rows
+
+
+def start_mark(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """Where a stream of files begins that is to start at the tail, like `latest` of a topic.
+
+    Asked the first time it is the newest file that is there; the answer is kept beside the
+    checkpoint, so that after a restart the checkpoint alone decides what was read, and
+    files that came in between are not skipped.
+    """
+    folder, _, name = checkpoint.rstrip("/").rpartition("/")
+    kept, name = Folder(spark, folder), f"{name}.start"
+    if not kept.exists(name):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        newest = files.agg(F.max(F.unix_millis("modificationTime"))).first()[0]
+        kept.create_text(name, str(newest or 0))
+    return int(kept.read_text(name))

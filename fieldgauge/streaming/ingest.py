@@ -19,9 +19,11 @@ from ..operators.messages import (
 )
 from ..schema import ARRIVAL, ARRIVALS, BATCH_DELAY, POLL_INTERVAL
 from ..sources.archive import with_partitions, write_archive
-from ..sources.change_log import MAIN, ChangeLog
+from ..sources.change_log import ChangeLog
 from ..sources.storage import Folder
 
+# Name of the only writer, where there is no checkpoint.
+MAIN = "main"
 # Drain everything that has arrived, in batches, then stop.
 DRAIN = {"availableNow": True}
 # For alerts: look for messages all the time.
@@ -41,6 +43,7 @@ def split_batch(
     batch_id: int,
     root: str,
     writer: str = MAIN,
+    epoch: int = 0,
     reject: Callable[[DataFrame, int], None] | None = None,
     **archive_options: object,
 ) -> None:
@@ -52,7 +55,8 @@ def split_batch(
 
     Every table is written per writer and batch id, so a batch that runs twice leaves
     one copy, and a query that starts over with a new checkpoint replaces nothing.
-    `reject` takes the dead letters instead of the table, to send them to a topic.
+    `epoch` is greater for writers that started later. `reject` takes the dead letters
+    instead of the table, to send them to a topic.
     `archive_options` are those of `write_archive`.
     """
 
@@ -67,9 +71,7 @@ def split_batch(
         rejected = dead_letters(classified, "key", "value", "partition", "offset", "timestamp")
         (reject or to_table)(rejected, batch_id)
         accepted = classified.filter(~classified.reason.eqNullSafe(NOT_ENVELOPE))
-        log = message_log(batch.sparkSession, root)
-        arrival = {"epoch": F.lit(log.epoch_of(writer)), "batch": F.lit(batch_id)}
-        log.append(accepted.withColumns(arrival), batch_id, writer)
+        message_log(batch.sparkSession, root).append(accepted, batch_id, epoch)
         write_archive(
             with_partitions(readings(classified)),
             f"{root}/archive",
@@ -85,6 +87,11 @@ def writer_of(batch: DataFrame, checkpoint: str) -> str:
     return Folder(batch.sparkSession, checkpoint).read_json("metadata")["id"]
 
 
+def epoch_of(batch: DataFrame, checkpoint: str) -> int:
+    """When a checkpoint was begun, in milliseconds: later ones count as later."""
+    return Folder(batch.sparkSession, checkpoint).modified("metadata")
+
+
 def start_batches(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -114,8 +121,7 @@ def start_ingest(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = writer_of(batch, checkpoint)
-        split_batch(batch, batch_id, root, writer, **options)
+        split_batch(batch, batch_id, root, writer_of(batch, checkpoint), epoch_of(batch, checkpoint), **options)
 
     return start_batches(messages, write, checkpoint, trigger)
 
@@ -157,6 +163,6 @@ def start_latest(
     latest = latest_per_key(stream.select(*log.schema.names), log.key, log.version)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log.append(batch, batch_id, writer_of(batch, checkpoint), reduce=False)
+        log.append(batch, batch_id, epoch_of(batch, checkpoint), reduce=False)
 
     return start_batches(latest, write, checkpoint, trigger, "update")

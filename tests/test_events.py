@@ -1,0 +1,231 @@
+"""Streams with event time, state read from checkpoints, starting positions."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fieldgauge.operators import audit
+from fieldgauge.operators.latest import latest_per_key
+from fieldgauge.operators.ordering import offset_block
+from fieldgauge.plans import streams
+from fieldgauge.schema import LOG
+from fieldgauge.sources.change_log import ChangeLog
+from fieldgauge.sources.topics import start_mark, stream_files
+from fieldgauge.streaming import state
+from fieldgauge.streaming.events import RunAudit, StatusWindows, first_arrivals
+from fieldgauge.streaming.ingest import DRAIN, start_latest
+
+SF_DIR = "/root/testdata/sf0.001"
+START = dt.datetime(2024, 5, 1)
+
+
+def land(spark, path, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def drain(stream, folder):
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/ck")
+    query.trigger(**DRAIN).start().awaitTermination()
+
+
+def test_every_stream_has_several_batches(spark, monkeypatch):
+    folders = []
+    keep = streams.scratch
+    monkeypatch.setattr(streams, "scratch", lambda spark, name: folders.append(keep(spark, name)) or folders[-1])
+    for query in (streams.stream_view, streams.stream_latest, streams.stream_alerts, streams.stream_sequence_runs, streams.stream_status_windows):
+        folders.clear()
+        query(spark, SF_DIR).collect()
+        done = [state.batches_done(spark, f"{folder}/checkpoint") for folder in folders]
+        assert max(map(len, done)) >= streams.PARTS, query.__name__
+
+
+def test_parts_are_all_events_in_order(spark):
+    found = [sorted(r.event_id for r in part.collect()) for part in streams.parts(spark, SF_DIR)]
+    assert len(found) == streams.PARTS and all(found)
+    assert sum(found, []) == sorted(r.event_id for r in spark.read.parquet(f"{SF_DIR}/events.parquet").collect())
+
+
+# ---- repeats and late rows
+
+ARRIVAL = "id long, at timestamp, n int"
+
+
+def test_repeats_and_late_rows(spark, tmp_path):
+    at = lambda hours: START + dt.timedelta(hours=hours)
+    batches = [
+        # The same twice in a batch; a row without a time.
+        [(1, at(0), 0), (1, at(0), 0), (2, at(10), 1), (3, None, 2)],
+        # 1 again at its old time, which is late by now; 2 within an hour; a new one.
+        [(1, at(0), 3), (2, at(10.5), 4), (4, at(14), 5)],
+        # 2 again, when its row is forgotten; 5 is late; 6 is not.
+        [(2, at(13.5), 6), (5, at(13), 7), (6, at(13.2), 8)],
+    ]
+    for rows in batches:
+        land(spark, f"{tmp_path}/in", rows, ARRIVAL)
+        stream = stream_files(spark, f"{tmp_path}/in", spark.createDataFrame([], ARRIVAL).schema)
+        drain(first_arrivals(stream, "id", "at", "1 hour"), tmp_path)
+    got = sorted((r.id, r.n) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(1, 0), (2, 1), (2, 6), (4, 5), (6, 8)]
+
+
+def test_keys_of_several_columns(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", [(1, START, 0), (1, START, 1), (1, START, 1)], ARRIVAL)
+    stream = stream_files(spark, f"{tmp_path}/in", spark.createDataFrame([], ARRIVAL).schema)
+    drain(first_arrivals(stream, ["id", "n"], "at", "1 hour"), tmp_path)
+    assert sorted(r.n for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 1]
+
+
+# ---- windows
+
+
+def windows_of(spark, root):
+    types = T.StructType([T.StructField("station", T.LongType()), T.StructField("status", T.StringType())])
+    return StatusWindows(spark, str(root), "station", "status", "1 hour", "10 minutes", types)
+
+
+def test_windows_close_once(spark, tmp_path):
+    schema = "station long, status string, at timestamp"
+    rng, rows = random.Random(1), []
+    for minute in range(0, 600, 3):
+        at = START + dt.timedelta(minutes=minute + rng.randint(-8, 0))
+        rows.append((rng.choice([1, 1, 2, None]), rng.choice(["low", "high", None]), at))
+    windows = windows_of(spark, tmp_path / "w")
+    for begin in range(0, 200, 50):
+        land(spark, f"{tmp_path}/in", rows[begin : begin + 50], schema)
+        stream = stream_files(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+        windows.start(stream, "at", DRAIN).awaitTermination()
+    hour = lambda r: r[2].replace(minute=0)
+    want = {}
+    for r in rows:
+        want[hour(r), r[0], r[1]] = want.get((hour(r), r[0], r[1]), 0) + 1
+    found = lambda: {(r.window.start, r.station, r.status): r.n for r in windows.read().collect()}
+    last = max(hour(r) for r in rows)
+    assert found() == {k: n for k, n in want.items() if k[0] < last}
+    windows.close()
+    windows.start(stream, "at", DRAIN).awaitTermination()
+    assert found() == want and windows.read().count() == len(want)
+    totals = windows.read().groupBy("window", "station").agg(F.round(F.sum("pct"), 6).alias("p")).collect()
+    assert all(r.p == 100 for r in totals)
+    # Closing again, with nothing open, and a run without rows change nothing.
+    windows.close()
+    windows.start(stream, "at", DRAIN).awaitTermination()
+    assert found() == want
+    # Rows after the closed windows are counted, rows of closed ones are late.
+    land(spark, f"{tmp_path}/in", [(7, "low", last + dt.timedelta(hours=5)), (7, "low", START)], schema)
+    windows.start(stream, "at", DRAIN).awaitTermination()
+    windows.close()
+    windows.start(stream, "at", DRAIN).awaitTermination()
+    assert found() == want | {(last + dt.timedelta(hours=5), 7, "low"): 1}
+
+
+def test_windows_without_rows(spark, tmp_path):
+    assert windows_of(spark, tmp_path / "w").read().collect() == []
+
+
+# ---- runs
+
+MESSAGES = "station long, s_no long, arrival long"
+
+
+def random_messages(seed):
+    rng, rows, last = random.Random(seed), [], {}
+    for arrival in range(600):
+        station = rng.choice([1, 1, 1, 2, 3])
+        step = rng.choice([0, 1, 1, 1, 1, 2, 5, -100])
+        last[station] = max(last.get(station, 0) + step, 1)
+        rows.append((station, None if rng.random() < 0.02 else last[station], arrival))
+    return rows + [(9, 5, 600)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_runs_over_batches(spark, tmp_path, seed):
+    rows, rng = random_messages(seed), random.Random(seed)
+    df = spark.createDataFrame(rows, MESSAGES)
+    block = offset_block(F.col("arrival"), 40) if seed else None
+    want = sorted(map(tuple, audit.sequence_runs(df, "station", "s_no", ["arrival"], offset_block(F.col("arrival"), 50)).collect()))
+    runs = RunAudit(spark, f"{tmp_path}/runs", T.StructField("station", T.LongType()), "s_no", ["arrival"], block)
+    cuts = sorted(rng.sample(range(1, len(rows)), 3))
+    for batch, (begin, end) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
+        part = spark.createDataFrame(rows[begin:end], MESSAGES)
+        runs.add(part, batch)
+        if batch == 2:
+            runs.compact()
+            # The newest batch can still run again.
+            runs.add(part, batch)
+    assert sorted(map(tuple, runs.read().collect())) == want
+    assert len(want) > 20
+
+
+def test_runs_of_a_stream(spark, tmp_path):
+    rows = random_messages(8)
+    runs = RunAudit(spark, f"{tmp_path}/runs", T.StructField("station", T.LongType()), "s_no", ["arrival"])
+    for begin in range(0, len(rows), 160):
+        land(spark, f"{tmp_path}/in", rows[begin : begin + 160], MESSAGES)
+        stream = stream_files(spark, f"{tmp_path}/in", spark.createDataFrame([], MESSAGES).schema)
+        runs.start(stream, f"{tmp_path}/ck", DRAIN).awaitTermination()
+    df = spark.createDataFrame(rows, MESSAGES)
+    want = sorted(map(tuple, audit.sequence_runs(df, "station", "s_no", ["arrival"], offset_block(F.col("arrival"), 50)).collect()))
+    assert sorted(map(tuple, runs.read().collect())) == want
+
+
+# ---- state
+
+
+def test_state_after_each_batch(spark, tmp_path):
+    rng, rows = random.Random(2), []
+    log = ChangeLog(spark, f"{tmp_path}/log")
+    checkpoint = f"{tmp_path}/ck"
+    for batch in range(4):
+        own = [(f"k{rng.randint(0, 30)}", f"v{batch}.{i}", 100 * batch + i) for i in range(40)]
+        own.append(("late", "old", 100 - batch))
+        rows.append(own)
+        land(spark, f"{tmp_path}/in", own, LOG)
+        start_latest(stream_files(spark, f"{tmp_path}/in", LOG), log, checkpoint, DRAIN).awaitTermination()
+    assert state.batches_done(spark, checkpoint) == [0, 1, 2, 3]
+    so_far = []
+    for batch in range(4):
+        so_far += rows[batch]
+        want = latest_per_key(spark.createDataFrame(so_far, LOG), "key", "version")
+        view = state.latest_view(spark, checkpoint, batch)
+        as_set = lambda df: {(r.key, r.value, r.version) for r in df.collect()}
+        assert as_set(view) == as_set(want) and view.count() == want.count()
+        changed = as_set(state.latest_changes(spark, checkpoint, batch, batch))
+        before = as_set(latest_per_key(spark.createDataFrame(so_far[: -len(rows[batch])], LOG), "key", "version"))
+        # A key whose row stays is written again if rows of it came.
+        assert as_set(want) - before <= changed <= as_set(want)
+    assert as_set(state.latest_view(spark, checkpoint)) == as_set(log.rebuild())
+    names = {r.operatorName for r in state.operators(spark, checkpoint).collect()}
+    assert names == {"stateStoreSave"}
+
+
+# ---- starting positions
+
+
+def test_tail_and_start(spark, tmp_path):
+    path, schema = f"{tmp_path}/in", "id long"
+    types = spark.createDataFrame([], schema).schema
+
+    def run(name, from_tail):
+        after = start_mark(spark, path, f"{tmp_path}/{name}/ck") if from_tail else None
+        drain(stream_files(spark, path, types, after), tmp_path / name)
+        out = f"{tmp_path}/{name}/out"
+        return sorted(r.id for r in spark.read.schema(types).parquet(out).collect())
+
+    (tmp_path / "tail").mkdir()
+    land(spark, path, [(1,)], schema)
+    land(spark, path, [(2,)], schema)
+    assert run("tail", True) == [] and run("start", False) == [1, 2]
+    # While the query is down: the checkpoint decides, nothing is skipped.
+    land(spark, path, [(3,)], schema)
+    assert run("tail", True) == [3] and run("start", False) == [1, 2, 3]
+    land(spark, path, [(4,)], schema)
+    land(spark, path, [(5,)], schema)
+    assert run("tail", True) == [3, 4, 5]
+
+
+def test_tail_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert start_mark(spark, f"{tmp_path}/in", f"{tmp_path}/ck") == 0

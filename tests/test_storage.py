@@ -31,8 +31,8 @@ def log(spark, tmp_path):
 
 def test_empty_log(log):
     assert view_of(log) == {}
-    assert log.compact().number == 0
-    log.vacuum()
+    assert log.compact() is None and log.snapshot().collect() == []
+    log.drop_compacted()
 
 
 def test_update_replaces_and_reopen_keeps(spark, log):
@@ -43,59 +43,41 @@ def test_update_replaces_and_reopen_keeps(spark, log):
 
 
 def test_repeated_batch_counts_once(spark, log):
+    log.append(rows_of(spark, ("b", "1", 1)), 1)
     for _ in range(2):
         log.append(rows_of(spark, ("a", "1", 1), ("a", "0", 0)), 0)
-    assert log.closed_batches() == [("main", 0)] and view_of(log) == {"a": "1"}
-    (batch, attempt), = log._last_attempts().items()
-    assert spark.read.parquet(*log._batch_paths({batch: attempt})).count() == 1
+    assert log.positions() == [(0, 0), (0, 1)] and view_of(log) == {"a": "1", "b": "1"}
+    assert log.batches().count() == 2
 
 
-def test_reader_sees_a_batch_while_it_is_repeated(spark, log):
-    log.append(rows_of(spark, ("a", "1", 1)), 0)
-    before = log.rebuild()
-    # A second attempt that is not complete yet, then one that is.
-    rows_of(spark, ("a", "9", 9)).write.parquet(f"{log.root}/batches/main.0.000002-unfinished")
-    assert view_of(log) == {"a": "1"}
-    log.append(rows_of(spark, ("a", "2", 1)), 0)
-    assert view_of(log) == {"a": "2"}
-    assert [r.value for r in before.collect()] == ["1"]
-    log.compact()
-    log.vacuum()
-    assert view_of(log) == {"a": "2"} and log.closed_batches() == []
-
-
-def test_compaction_leaves_other_buckets_alone(spark, log):
-    log.append(rows_of(spark, *[(f"k{i}", "v", 1) for i in range(500)]), 0)
-    first = log.compact()
-    log.append(rows_of(spark, ("k7", "new", 2)), 1)
-    second = log.compact()
-    assert len(first.buckets) == 64 and set(first.buckets.values()) == {next(iter(first.buckets.values()))}
-    assert sum(first.buckets[n] != second.buckets[n] for n in first.buckets) == 1
-    log.vacuum()
-    assert view_of(log) == {f"k{i}": "v" for i in range(500)} | {"k7": "new"}
-
-
-def test_epochs_follow_the_order_of_starting(log):
-    assert [log.epoch_of(w) for w in "xyxzy"] == [1, 2, 1, 3, 2]
+def test_only_batches_in_the_range_are_read(spark, log):
+    for epoch, batch in ((0, 7), (1, 0), (1, 1), (2, 0)):
+        log.append(rows_of(spark, ("a", f"{epoch}.{batch}", 10 * epoch + batch)), batch, epoch)
+    rows = log.batches((0, 7), (1, 1))
+    assert {r.value for r in rows.collect()} == {"1.0", "1.1"}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "epoch" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r.value for r in log.rebuild((1, 0)).collect()] == ["1.0"]
 
 
 def test_compaction_never_changes_the_answer(spark, log):
     for batch in range(5):
         log.append(rows_of(spark, *[(f"k{i}", f"v{batch}", batch) for i in range(batch, 10)]), batch)
     before = view_of(log)
-    log.compact(through={"main": 2})
+    assert log.compact(through=(0, 2)) == (0, 2)
     assert view_of(log) == before
     log.append(rows_of(spark, ("k0", "new", 9)), 5)
-    log.compact(through={"main": 3})
+    log.compact(through=(0, 3))
     assert view_of(log) == before | {"k0": "new"}
-    log.vacuum()
+    # As it was earlier, while the older snapshot is there.
+    assert {r.key: r.value for r in log.rebuild((0, 2)).collect()} == before | {k: "v2" for k in before if k > "k2"} | {"k2": "v2"}
+    log.drop_compacted()
     assert view_of(log) == before | {"k0": "new"}
-    assert log.closed_batches() == [("main", 4), ("main", 5)]
+    assert log.positions() == [(0, 4), (0, 5)] and log.snapshots() == [(0, 3)]
     log.compact()
-    log.vacuum()
-    assert log.closed_batches() == []
-    kept = {(p.parent.name, p.name) for p in pathlib.Path(log.root, "snapshots").glob("*/bucket=*")}
-    assert kept == {(name, f"bucket={n}") for n, name in log.commit().buckets.items()}
+    log.drop_compacted()
+    assert log.positions() == [] and log.snapshots() == [(0, 5)]
+    assert log.compact() is None
     assert view_of(log) == before | {"k0": "new"}
 
 
@@ -119,38 +101,33 @@ def test_older_arrival_in_a_later_batch_loses(spark, log):
 
 
 def test_writers_number_their_batches_alone(spark, log):
-    log.append(rows_of(spark, ("a", "1", 1)), 0, "first")
+    log.append(rows_of(spark, ("a", "1", 1)), 0, epoch=10)
     log.compact()
-    log.append(rows_of(spark, ("a", "2", 2)), 0, "second")
+    log.append(rows_of(spark, ("a", "2", 2)), 0, epoch=20)
     assert view_of(log) == {"a": "2"}
-    assert log.compact().through == {"first": 0, "second": 0}
-    log.vacuum()
-    assert view_of(log) == {"a": "2"} and log.closed_batches() == []
+    assert log.compact() == (20, 0)
+    log.drop_compacted()
+    assert view_of(log) == {"a": "2"} and log.positions() == []
 
 
-def test_unfinished_batch_and_snapshot_are_not_read(spark, log):
+def test_unfinished_snapshot_is_not_read(spark, log):
     log.append(rows_of(spark, ("a", "1", 1)), 0)
     log.append(rows_of(spark, ("a", "2", 2)), 1)
-    os.remove(next(str(p) for p in pathlib.Path(log.root, "closed").glob("main.1.*")))
-    os.makedirs(f"{log.root}/snapshots/v=1-dead")
-    assert view_of(log) == {"a": "1"}
-    log.compact()
-    assert view_of(log) == {"a": "1"}
-
-
-def test_two_compactions_cannot_both_commit(spark, log):
-    log.append(rows_of(spark, ("a", "1", 1)), 0)
-    log.compact()
-    with pytest.raises(Exception):
-        log._commits.create_json("000000000001.json", {"buckets": {}, "through": {}})
-    assert view_of(log) == {"a": "1"}
+    log.compact((0, 0))
+    rows_of(spark, ("a", "9", 9)).write.parquet(f"{log.root}/snapshots/0.1")
+    os.remove(f"{log.root}/snapshots/0.1/_SUCCESS")
+    assert view_of(log) == {"a": "2"}
+    # A compaction that runs again replaces what the one before it left.
+    assert log.compact() == (0, 1)
+    log.drop_compacted()
+    assert view_of(log) == {"a": "2"}
 
 
 def test_snapshot_files_are_bounded(spark, log):
     log.append(rows_of(spark, *[(f"k{i}", "v", i) for i in range(100)]), 0)
-    done = log.compact(rows_per_file=10)
-    files = [str(f) for name in set(done.buckets.values()) for f in pathlib.Path(log.root, "snapshots", name).glob("*/*.parquet")]
-    assert files and all(spark.read.parquet(f).count() <= 10 for f in files)
+    log.compact(rows_per_file=10)
+    files = [str(f) for f in pathlib.Path(log.root, "snapshots").glob("*/*.parquet")]
+    assert len(files) >= 10 and all(spark.read.parquet(f).count() <= 10 for f in files)
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -165,11 +142,11 @@ def test_random_batches_and_compactions(spark, log, seed):
             want[key] = f"v{version}"
         rng.shuffle(rows)
         log.append(rows_of(spark, *rows), batch)
-        step = rng.choice(["compact", "vacuum", "both", "none"])
+        step = rng.choice(["compact", "drop", "both", "none"])
         if step in ("compact", "both"):
             log.compact()
-        if step in ("vacuum", "both"):
-            log.vacuum()
+        if step in ("drop", "both"):
+            log.drop_compacted()
         assert view_of(log) == want
 
 
