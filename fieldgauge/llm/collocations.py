@@ -1,18 +1,20 @@
 """Collocations: phrases whose words occur together more often than apart, counted exactly.
 
-Counting uses a prefix-free parse. A piece of text (what punctuation and line ends leave
-together) is cut wherever the hash of the next REACH words falls on a trigger value, so
-equal passages are cut alike whatever stands around them, and a chunk takes these REACH
-words along. Every phrase of up to REACH + 1 words then lies whole inside the chunk in
-which it starts, and is counted there alone: a chunk that goes on has REACH words at its
-end at which no phrase starts. Documents that copy each other share their chunks, so the
-dictionary of distinct chunks with their frequencies is what gets counted.
+Counting uses a prefix-free parse. A text is a row of tokens: its words, and a break
+wherever punctuation or a line end keeps phrases apart. It is cut wherever the hash of the
+next REACH tokens falls on a trigger value, so equal passages are cut alike whatever
+stands around them, and a chunk takes these REACH tokens along. Every phrase of up to
+REACH + 1 words then lies whole inside the chunk in which it starts, and is counted there
+alone: at the tokens that a chunk took along no phrase starts. Documents that copy each
+other share their chunks, so the dictionary of distinct chunks with their frequencies is
+what gets counted.
 
 Phrases of two words and more are first counted by hash into a table of fixed size, from
 which one bit per bucket is kept: whether it reaches the least frequency. A phrase that is
 frequent enough, and each phrase inside it, always falls into such buckets; the others
 are left out before anything is shuffled. The table decides about the cost and never about
-the result: what passes is counted exactly, by its words.
+the result: what passes is counted exactly, by its words. With many more words than
+buckets times the least frequency all buckets fill up, and all phrases are shuffled.
 
 Texts are taken whole; a null text is empty and a null language is `und`. Repeated
 documents count as often as they occur. Empty tables give no phrases.
@@ -25,9 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from .common import bound_batches, release_memory, stored, text_array, text_slices
 
@@ -41,6 +43,7 @@ MOST_STARTS = 256
 # A phrase goes into a longer one that has this share of its occurrences.
 SHARE = 80
 SCALE = 2_000_000
+RANK_SHARES = 64
 NO_LANGUAGE = "und"
 
 # Buckets of the table of hashes, as powers of two; it follows the number of words. The
@@ -51,18 +54,20 @@ RANGE_BITS = 12
 # Text of chunks that is counted together.
 GATHER_BYTES = 4 << 20
 
+BREAK = "\n"
 # Bytes of a text to what the parse sees: small letters, blanks, and one sign for whatever
-# ends a piece.
+# ends a piece; and the sign between texts, which none has any more.
 _SEEN = bytes(
-    0x0A if chr(b) in ".,;:!?\n\x0b\x0c\r" else 0x20 if chr(b) == "\t" else b + 32 if 0x41 <= b <= 0x5A else b
+    ord(BREAK) if chr(b) in ".,;:!?\n\x0b\x0c\r" else 0x20 if chr(b) == "\t" else b + 32 if 0x41 <= b <= 0x5A else b
     for b in range(256)
 )
+_TEXT_END = b"\x0b"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def hashes_of(words: pa.Array) -> np.ndarray:
     """A hash of each text, the same on every machine."""
-    return np.fromiter((xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+    return hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
 
 
 def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -75,81 +80,84 @@ def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 # ---- chunks
 
 
-def cut(raw: bytes) -> tuple[list[bytes], list[int], np.ndarray]:
-    """Chunks of texts that each end in a line break: their words, joined by blanks; the
-    number of places in each at which phrases start; and where in `raw` each begins."""
-    seen = np.frombuffer(raw.translate(_SEEN), np.uint8)
-    broken = seen == 0x0A
-    blank = broken | (seen == 0x20)
-    # Each word with the one separator after it: the last sign is a break.
-    after = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
+def cut(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks of the texts: their tokens, joined by blanks; the number of tokens in each at
+    which phrases can start; how many of these are words; and the number of its text."""
+    raw = _TEXT_END.join(t.translate(_SEEN) for t in texts) + _TEXT_END
+    seen = np.frombuffer(raw.replace(b"\n", b" \n "), np.uint8)
+    text_end = seen == _TEXT_END[0]
+    blank = text_end | (seen == 0x20)
     begins = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    after = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
+    breaks = seen[begins] == 0x0A
+    owner = np.searchsorted(np.flatnonzero(text_end), begins)
+    # Of breaks in a row one stays.
+    again = breaks[1:] & breaks[:-1] & (owner[1:] == owner[:-1])
+    stays = ~np.concatenate([[False], again])[: len(begins)]
+    kept = ~blank
+    kept[begins[~stays]] = False
+    begins, after, breaks, owner = begins[stays], after[stays], breaks[stays], owner[stays]
     count = len(begins)
     if not count:
-        return [], [], begins
-    kept = ~blank
+        return [], begins, begins, begins
+    sizes = after - begins
+    letters = seen[kept].tobytes()
+    # Each token with the one separator after it.
     kept[after] = True
     line = np.where(blank, np.uint8(0x20), seen)[kept].tobytes()
-    places = np.concatenate([[0], np.cumsum(after - begins + 1)])
-    letters = seen[~blank]
-    offsets = np.concatenate([[0], np.cumsum(after - begins)])
+    places = np.concatenate([[0], np.cumsum(sizes + 1)])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
     words = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), count, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters.tobytes())]
+        pa.large_binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
     ).dictionary_encode()
     hashes = hashes_of(words.dictionary)[words.indices.to_numpy()]
-    # The piece of each word, and whether the next words are of the same piece.
-    pieces = np.cumsum(broken)[begins]
-    new = np.concatenate([[True], pieces[1:] != pieces[:-1]])
+    new = np.concatenate([[True], owner[1:] != owner[:-1]])
     trigger = np.zeros(count, bool)
     if count >= REACH:
         key = hashes[: count - REACH + 1]
         for n in range(1, REACH):
             key = mixed(key, hashes[n : count - REACH + 1 + n])
-        whole = pieces[REACH - 1 :] == pieces[: count - REACH + 1]
+        whole = owner[REACH - 1 :] == owner[: count - REACH + 1]
         trigger[: count - REACH + 1] = whole & (key % np.uint64(TRIGGER) == 0)
     starts = np.flatnonzero(new | trigger)
     # Long stretches without a trigger are cut by their length.
-    sizes = np.diff(np.append(starts, count))
-    extra = (sizes - 1) // MOST_STARTS
+    extra = (np.diff(np.append(starts, count)) - 1) // MOST_STARTS
     if extra.any():
-        more = np.concatenate([s + MOST_STARTS * np.arange(1, n + 1) for s, n in zip(starts[extra > 0], extra[extra > 0])])
-        starts = np.sort(np.concatenate([starts, more]))
+        more = [s + MOST_STARTS * np.arange(1, n + 1) for s, n in zip(starts[extra > 0], extra[extra > 0])]
+        starts = np.sort(np.concatenate([starts, *more]))
     stops = np.append(starts[1:], count)
-    ends_piece = np.append(new[starts[1:]], True)
-    # A chunk that goes on takes up to REACH words along, as many as its piece has.
-    piece_end = np.flatnonzero(np.append(new[1:], True)) + 1
-    last = piece_end[np.searchsorted(piece_end, starts, "right")]
-    ends = np.where(ends_piece, stops, np.minimum(stops + REACH, last))
+    # A chunk takes up to REACH tokens along, as many as its text has.
+    last = np.append(np.flatnonzero(new)[1:], count)
+    ends = np.minimum(stops + REACH, last[np.searchsorted(last, starts, "right")])
     froms, tos = places[starts].tolist(), (places[ends] - 1).tolist()
-    return [line[a:b] for a, b in zip(froms, tos)], (stops - starts).tolist(), begins[starts]
+    spoken = np.concatenate([[0], np.cumsum(~breaks)])
+    return [line[a:b] for a, b in zip(froms, tos)], stops - starts, spoken[stops] - spoken[starts], owner[starts]
 
 
 def chunk_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, chunk, starts, weight): the distinct chunks and how often each occurs."""
+    """(lang, chunk, starts, weight, words): the distinct chunks, how often each occurs,
+    and the words that start in all its occurrences."""
     bound_batches(docs.sparkSession)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_array(batch["text"])
-            for at, part in text_slices(texts):
-                raws = [t.encode() for t in part.to_pylist()]
-                chunks, starts, begins = cut(b"\n".join(raws) + b"\n")
-                ends = np.cumsum([len(r) + 1 for r in raws])
-                owner = pa.array(np.searchsorted(ends, begins, "right") + at)
+            for at, part in text_slices(text_array(batch["text"])):
+                chunks, starts, words, owner = cut([t.encode() for t in part.to_pylist()])
                 arrays = [
-                    batch["lang"].take(owner),
+                    batch["lang"].take(pa.array(owner + at)),
                     pa.array(chunks, pa.large_binary()).cast(pa.large_string()),
                     pa.array(starts, pa.int32()),
+                    pa.array(words, pa.int64()),
                 ]
-                found = pa.Table.from_arrays(arrays, ["lang", "chunk", "starts"])
-                found = found.group_by(found.column_names).aggregate([([], "count_all")])
-                yield from found.rename_columns([*found.column_names[:3], "weight"]).to_batches(10_000)
+                found = pa.Table.from_arrays(arrays, ["lang", "chunk", "starts", "words"])
+                found = found.group_by(["lang", "chunk", "starts"]).aggregate([([], "count_all"), ("words", "sum")])
+                yield from found.rename_columns(["lang", "chunk", "starts", "weight", "words"]).to_batches(10_000)
 
     given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
     return (
-        given.mapInArrow(parse, "lang string, chunk string, starts int, weight bigint")
+        given.mapInArrow(parse, "lang string, chunk string, starts int, weight bigint, words bigint")
         .groupBy("lang", "chunk", "starts")
-        .agg(F.sum("weight").alias("weight"))
+        .agg(F.sum("weight").alias("weight"), F.sum("words").alias("words"))
     )
 
 
@@ -168,9 +176,12 @@ class Words:
         bounds = lists.offsets.to_numpy().astype(np.int64)
         bounds = bounds - bounds[0]
         chunk = np.repeat(np.arange(len(lists)), np.diff(bounds))
-        place = np.arange(len(chunk)) - bounds[:-1][chunk]
-        self.left = bounds[1:][chunk] - np.arange(len(chunk))
-        self.starting = place < table["starts"].to_numpy()[chunk]
+        at = np.arange(len(chunk))
+        broken = np.where(self.codes == pc.index(self.names, BREAK).as_py(), at, len(at))
+        following = np.minimum.accumulate(broken[::-1])[::-1]
+        # Words up to the next break or the end of the chunk; a break itself has none.
+        self.left = np.minimum(bounds[1:][chunk], following) - at
+        self.starting = at - bounds[:-1][chunk] < table["starts"].to_numpy()[chunk]
         self.weights = table["weight"].to_numpy()[chunk]
         langs = table["lang"].combine_chunks().dictionary_encode()
         self.langs = langs.dictionary
@@ -182,16 +193,10 @@ class Words:
             longer[:-n] = mixed(longer[:-n], own[n:])
             self.hashes.append(longer)
 
-    def places(self, n: int, floors: dict[int, np.ndarray], counted: bool = True) -> np.ndarray:
-        """Where phrases of n words are, all parts of which can be frequent.
-
-        With `counted` only places that count in this chunk, otherwise also those that
-        another chunk counts.
-        """
-        fits = self.left >= n
-        if counted:
-            fits &= self.starting
-        places = np.flatnonzero(fits)
+    def places(self, n: int, floors: dict[int, np.ndarray]) -> np.ndarray:
+        """Where phrases of n words start that count in this chunk and can be frequent, as
+        far as that is known of their parts."""
+        places = np.flatnonzero(self.starting & (self.left >= n))
         for size in sorted(floors):
             for shift in range(n - size + 1):
                 places = places[passes(self.hashes[size - 1][places + shift], floors[size])]
@@ -281,7 +286,7 @@ def frequent_buckets(
     shared = chunks.mapInArrow(count, schema).repartition("n", "range").mapInArrow(merge, schema)
     found = {n: np.zeros((ranges, range_size // 8), np.uint8) for n in sizes}
     # At most 2**bits bits per length.
-    for row in shared.toLocalIterator():
+    for row in shared.collect():
         found[row["n"]][row["range"]] = np.frombuffer(row["counts"], np.uint8)
     return {n: bits.reshape(-1) for n, bits in found.items()}
 
@@ -293,7 +298,7 @@ def phrase_counts(chunks: DataFrame, least: int = LEAST, bits: int | None = None
     """(lang, phrase, f): exact counts of the phrases of 1 to LONGEST words that occur
     `least` times or more. `chunks` should be stored, it is read several times."""
     if bits is None:
-        words = chunks.agg(F.sum("starts")).first()[0] or 0
+        words = chunks.agg(F.sum("words")).first()[0] or 0
         bits = min(max(int(words).bit_length(), LEAST_BITS), MOST_BITS)
     pairs = frequent_buckets(chunks, [2], {}, least, bits)
     floors = pairs | frequent_buckets(chunks, list(range(3, LONGEST + 1)), pairs, least, bits)
@@ -367,17 +372,23 @@ def collocations(
     docs: DataFrame, text: str = "text", lang: str = "lang", *, least: int = LEAST, top: int = 2000
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the `top` phrases of each language, by
-    score, then count, then in byte order. A task sends on no more than `top` of each.
+    score, then count, then in byte order.
 
     n is the number of words of the language. Shares and scores are whole numbers,
     computed without rounding.
     """
     chunks = stored(chunk_counts(docs, text, lang), "chunks")
-    total = chunks.groupBy("lang").agg(F.sum(F.col("starts") * F.col("weight")).alias("n"))
+    total = chunks.groupBy("lang").agg(F.sum("words").alias("n"))
     counts = stored(phrase_counts(chunks, least), "phrases")
     kept = not_contained(scored(counts), counts)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # The best of each share of a language first, so that the one task that ranks a language
+    # gets RANK_SHARES * top rows at most, whatever the number of tasks before it.
+    share = F.pmod(F.xxhash64("phrase"), F.lit(RANK_SHARES))
+    place = F.row_number().over(Window.partitionBy("lang", "_share").orderBy(*order))
+    best = kept.withColumn("_share", share).withColumn("_place", place).where(F.col("_place") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = best.withColumn("rank", rank).where(F.col("rank") <= top)
     return ranked.join(total, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
