@@ -35,11 +35,13 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, release_memory, stored
 
-# The format's version, its line end, the end of a record and the profile of
-# a record that stands for an earlier equal one.
+# The format's version, its line end, the end of a record, the header lines each
+# record has, the one it can have twice, and the profile of one that stands for an equal one.
 VERSION = b"WARC/1.1"
 LINE = b"\r\n"
 RECORD_END = b"\r\n\r\n"
+REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
+MAY_REPEAT = "warc-concurrent-to"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER_START = b"\x1f\x8b\x08"
 RESPONSE, REVISIT = "response", "revisit"
@@ -199,9 +201,16 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line without a colon")
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        name = name.strip().lower().decode("latin-1")
+        if name in fields and name != MAY_REPEAT:
+            # The lines of two records run together.
+            raise Damaged("header line twice")
+        fields[name] = value.strip().decode("utf-8", "replace")
     start = end + len(RECORD_END)
-    size = fields.get("content-length", "")
+    missing = [name for name in REQUIRED if name not in fields]
+    if missing:
+        raise Damaged(f"{missing[0]} is missing")
+    size = fields["content-length"]
     if not size.isascii() or not size.isdigit():
         raise Damaged("no length")
     stop = start + int(size)
