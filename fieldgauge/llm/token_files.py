@@ -120,13 +120,38 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_span(spark: SparkSession, path: str, start: int, length: int) -> DataFrame:
-    """Documents that hold ids of the span, with the ids that lie in it."""
-    rows = read_tokens(spark, path).where(
-        (F.col("start") < start + length) & (F.col("start") + F.col("n_tokens") > start)
+    """Documents that hold ids of the span, with the ids that lie in it.
+
+    The table of files tells which of them the span lies in, and the numbers alone of the
+    first of these which document it begins in. With both known as plain numbers the reader
+    skips all other files, row groups and pages.
+    """
+    stop = start + length
+    parts = spark.read.schema("part int, n_docs long, n_tokens long, start long").parquet(f"{path}/parts")
+    within = parts.where((F.col("start") < stop) & (F.col("start") + F.col("n_tokens") > start))
+    # Two rows at most.
+    ends = within.agg(F.min_by(F.struct("part", "start"), "part"), F.max_by(F.struct("part", "start"), "part")).first()
+    tokens = spark.read.schema(SCHEMA).parquet(f"{path}/tokens")
+    if ends[0] is None or length <= 0:
+        rows = tokens.limit(0).withColumn("start", F.lit(0).cast("long"))
+    else:
+        (first, first_start), (last, last_start) = ends
+        at = F.col("part_start")
+        before = tokens.where((F.col("part") == first) & (at <= max(start - first_start, 0)))
+        least = before.agg(F.max("part_start")).first()[0] or 0
+        rows = tokens.where(
+            F.col("part").between(first, last)
+            & ((F.col("part") > first) | (at >= least))
+            & ((F.col("part") < last) | (at < stop - last_start))
+        )
+        known = within.select("part", F.col("start").alias("file_start"))
+        rows = rows.join(known, "part").withColumn("start", F.col("file_start") + at)
+    inside = rows.where((F.col("start") < stop) & (F.col("start") + F.col("n_tokens") > start))
+    begin = F.greatest(F.lit(start) - F.col("start"), F.lit(0))
+    end = F.least(F.lit(stop) - F.col("start"), F.col("n_tokens"))
+    return inside.select(
+        "doc_id", "start", "n_tokens", F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids")
     )
-    first = F.greatest(F.lit(start) - F.col("start"), F.lit(0))
-    stop = F.least(F.lit(start + length) - F.col("start"), F.col("n_tokens"))
-    return rows.withColumn("ids", F.slice("ids", (first + 1).cast("int"), (stop - first).cast("int")))
 
 
 @F.arrow_udf(T.LongType())

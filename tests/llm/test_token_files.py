@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from fieldgauge.llm import queries, token_files
 from fieldgauge.llm.common import table
@@ -60,3 +61,38 @@ def test_empty_table(spark, vocab, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     token_files.write_tokens(df, f"{tmp_path}/none", vocab)
     assert token_files.read_tokens(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_span_reads_few_rows(spark, vocab, tmp_path):
+    """Bounds reach the reader as numbers, and pages outside the span are not read."""
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("some words of a text " * 10).alias("text"))
+    path = f"{tmp_path}/t"
+    token_files.write_tokens(df, path, vocab, page_bytes=4096)
+    all_ids = [i for r in token_files.read_tokens(spark, path).orderBy("start").select("ids").collect() for i in r.ids]
+    for start, length in ((0, 1), (77_777, 500), (len(all_ids) - 3, 100), (40_000, 60_000), (-5, 10), (len(all_ids), 5), (9, 0)):
+        span = token_files.read_span(spark, path, start, length)
+        got = [i for r in span.orderBy("start").collect() for i in r.ids]
+        assert got == all_ids[max(start, 0) : max(start + length, 0)]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    try:
+        plan = token_files.read_span(spark, path, 77_777, 500)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = next(part for part in plan.split("PushedFilters: ")[1:] if "part_start" in part)
+    assert "GreaterThanOrEqual(part_start," in pushed and "LessThan(part_start," in pushed
+
+
+def test_spans_over_files(spark, vocab, tmp_path):
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), F.col("id").cast("int") % 7).alias("text"))
+    path = f"{tmp_path}/t"
+    # Otherwise so few rows end up in one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        token_files.write_tokens(df, path, vocab)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    all_ids = [i for r in token_files.read_tokens(spark, path).orderBy("start").select("ids").collect() for i in r.ids]
+    assert spark.read.parquet(f"{path}/parts").count() > 1
+    for start in range(0, len(all_ids), 97):
+        span = token_files.read_span(spark, path, start, 350)
+        assert [i for r in span.orderBy("start").collect() for i in r.ids] == all_ids[start : start + 350]
