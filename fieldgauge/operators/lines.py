@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import duration_ms, field_text, size_bytes
-from .ordering import BLOCK, of_mark, offset_block, with_marks
+from .ordering import BLOCK, keep, of_mark, offset_block, with_marks
 
 
 def to_lines(df: DataFrame, file: str, text: str) -> DataFrame:
@@ -133,19 +133,13 @@ def top_k_sketched(df: DataFrame, by: str, k: int = 10, buckets: int = SKETCH_BU
     """
     hashed = df.select(F.col(by), F.pmod(F.xxhash64(by), F.lit(buckets)).alias("_bucket"))
     # A fixed number of rows, whatever the input.
-    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size")).persist()
-    try:
-        fullest = sizes.orderBy(F.desc("_size"), "_bucket").limit(2 * k).select("_bucket")
-        counts = hashed.join(F.broadcast(fullest), "_bucket", "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-        best = [row.n for row in counts.orderBy(F.desc("n")).limit(k).collect()]
-        threshold = best[-1] if len(best) == k else 0
-        # At most `buckets` numbers, as bits in the plan.
-        kept = [row._bucket for row in sizes.where(F.col("_size") >= threshold).select("_bucket").collect()]
-    finally:
-        sizes.unpersist()
-    session = df.sparkSession
-    chosen = F.broadcast(session.createDataFrame([(b,) for b in kept], "_bucket bigint"))
-    return top_k(hashed.join(chosen, "_bucket", "left_semi"), by, k)
+    sizes = keep(hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size")))
+    inside = lambda buckets: hashed.join(F.broadcast(buckets.select("_bucket")), "_bucket", "left_semi")
+    fullest = sizes.orderBy(F.desc("_size"), "_bucket").limit(2 * k)
+    counts = inside(fullest).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    best = [row.n for row in counts.orderBy(F.desc("n")).limit(k).collect()]
+    threshold = best[-1] if len(best) == k else 0
+    return top_k(inside(sizes.where(F.col("_size") >= threshold)), by, k)
 
 
 def top_pairs(

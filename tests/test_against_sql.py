@@ -78,7 +78,7 @@ def test_query(spark, duck, name):
     "name", ["latest_per_key", "alert_render", "adapt_feed", "stream_latest", "stream_view", "stream_alerts"]
 )
 def test_query_on_folder(spark, duck, folder_dir, name, monkeypatch):
-    monkeypatch.setattr("fieldgauge.plans.streams.BATCH_BYTES", 100_000)
+    monkeypatch.setattr("fieldgauge.plans.streams.FILE_BYTES", 20_000)
     got = contract.queries()[name](spark, folder_dir)
     want = duck.execute(contract.oracle_sql()[name])
     names = [c[0] for c in want.description]
