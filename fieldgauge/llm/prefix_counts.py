@@ -34,6 +34,12 @@ from .tokens import LETTERS, PIECE, SLICE_BYTES, Encoder, Memory
 STEP = np.dtype("<i2")
 # Prefixes up to this length are shared by so many pieces that they are remembered.
 HEAD = 6
+# Entries of each of the memories of such prefixes and of pairs of tokens, about 100 bytes each.
+MEMORIES = 400_000
+# Pieces that are remembered, so many of late and as many before, about 250 bytes each.
+PIECES = 500_000
+# What a string can be in the vocabulary, as bits.
+INSIDE, ENDING = 1, 2
 # Pieces that are looked at again before a half-finished character.
 MARGIN = 2
 
@@ -50,12 +56,14 @@ class PrefixEncoder(Encoder):
     """As Encoder, but what is known of a word is the step of the count at each character."""
 
     kind = STEP
+    # The steps of a piece cost more to find than its ids.
+    memory = PIECES
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.heads = Memory(self._head)
-        self.inner_pairs = Memory(self._inner_pair)
-        self.last_pairs = Memory(self._last_pair)
+        self.heads = Memory(self._head, MEMORIES)
+        self.inner_pairs = Memory(self._inner_pair, MEMORIES)
+        self.last_pairs = Memory(self._last_pair, MEMORIES)
         special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self._inner = None
@@ -70,9 +78,14 @@ class PrefixEncoder(Encoder):
                 model = json.load(file)["model"]
             merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
             self._inner = BPE(vocab=model["vocab"], merges=merges)
-            self._known = model["vocab"].keys()
             self._suffix = model["end_of_word_suffix"] or ""
-            self._reach = max(map(len, self._known))
+            # What a string can be: a token inside a word, one that ends a word, or both.
+            self._kinds = {}
+            for token in model["vocab"]:
+                ends = token.endswith(self._suffix)
+                name = token.removesuffix(self._suffix) if ends else token
+                self._kinds[name] = self._kinds.get(name, 0) | (ENDING if ends else INSIDE)
+            self._reach = max(map(len, self._kinds))
         return self._inner
 
     def _inner_pair(self, pair: tuple[str, str]) -> bool:
@@ -100,47 +113,56 @@ class PrefixEncoder(Encoder):
         cut = [PIECE.findall(piece[:n]) for n in range(1, len(piece) + 1)]
         return [sum(self.run_counts(p)[-1] for p in own) for own in cut]
 
-    def _step(self, text: str, last: list[str | None], number: list[int]) -> tuple[str | None, int, int]:
-        """What is known of a prefix, from its shorter prefixes: the last token and the
-        number of tokens if the word goes on, and the number if it ends here.
+    def _head(self, head: str) -> tuple[str | None, int, int]:
+        shorter = [("", 0, 0), *(self.heads[head[:n]] for n in range(1, len(head)))]
+        last, number, ended = map(list, zip(*shorter))
+        self._extend(head, last, number, ended)
+        return last[-1], number[-1], ended[-1]
+
+    def _extend(self, text: str, last: list[str | None], number: list[int], ended: list[int]) -> None:
+        """Add what is known of each further prefix, from its shorter prefixes: the last
+        token and the number of tokens if the word goes on, and the number if it ends there.
 
-        Of the tokens that end here, the last one is that which the merges leave as it is
+        Of the tokens that end there, the last one is that which the merges leave as it is
         behind the last token of the prefix before it.
         """
-        end = len(last)
-        known, suffix = self._known, self._suffix
-        token_here, number_here, ended = None, 0, 0
-        for start in range(end - 1, max(-1, end - self._reach - 1), -1):
-            token, before = text[start:end], last[start]
-            if before is None:
-                continue
-            if token_here is None and token in known and self.inner_pairs[before, token]:
-                token_here, number_here = token, number[start] + 1
-            if not ended and token + suffix in known and self.last_pairs[before, token]:
-                ended = number[start] + 1
-            if ended and token_here is not None:
-                break
-        return token_here, number_here, ended or len(self.model.tokenize(text[:end]))
-
-    def _head(self, head: str) -> tuple[str | None, int, int]:
-        shorter = [("", 0, 0), *(self.heads[head[:n]] for n in range(1, len(head)))]
-        return self._step(head, [s[0] for s in shorter], [s[1] for s in shorter])
+        kinds, reach, inner, closing = self._kinds, self._reach, self.inner_pairs, self.last_pairs
+        for end in range(len(last), len(text) + 1):
+            token_here, number_here, ended_here, wanted = None, 0, 0, INSIDE | ENDING
+            for start in range(end - 1, max(-1, end - reach - 1), -1):
+                token = text[start:end]
+                kind = kinds.get(token, 0) & wanted
+                if not kind:
+                    continue
+                before = last[start]
+                if before is None:
+                    continue
+                pair = before, token
+                if kind & INSIDE and inner[pair]:
+                    token_here, number_here = token, number[start] + 1
+                    wanted &= ENDING
+                if kind & ENDING and closing[pair]:
+                    ended_here = number[start] + 1
+                    wanted &= INSIDE
+                if not wanted:
+                    break
+            last.append(token_here)
+            number.append(number_here)
+            ended.append(ended_here or len(self.model.tokenize(text[:end])))
 
     def run_counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of a piece that is one run of letters or one of signs."""
         assert self.inner
         shown = piece.isascii() and piece.isprintable()
         text = piece if shown else "".join(LETTERS[b] for b in piece.encode())
-        last, number, counts = [""], [0], [0]
-        for end in range(1, len(text) + 1):
-            step = self.heads[text[:end]] if end <= HEAD else self._step(text, last, number)
-            last.append(step[0])
-            number.append(step[1])
-            counts.append(step[2])
+        heads = self.heads
+        known = [heads[text[:n]] for n in range(1, min(len(text), HEAD) + 1)]
+        last, number, ended = map(list, zip(("", 0, 0), *known))
+        self._extend(text, last, number, ended)
         if len(text) == len(piece):
-            return counts[1:]
+            return ended[1:]
         ends = np.cumsum([len(char.encode()) for char in piece])
-        return [counts[end] for end in ends.tolist()]
+        return [ended[end] for end in ends.tolist()]
 
     def word_counts(self, word: str) -> list[int]:
         """Tokens of each prefix of a word of any characters, special strings included."""

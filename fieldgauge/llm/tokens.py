@@ -69,6 +69,7 @@ class Encoder:
     """Ids of texts under one vocabulary file of the tokenizers library."""
 
     kind = np.dtype("<u4")
+    memory = MEMORY
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -104,7 +105,7 @@ class Encoder:
 
     def values(self, words: list[str]) -> list[bytes]:
         """What is known of each word."""
-        if len(self.late) > MEMORY:
+        if len(self.late) > self.memory:
             self.late, self.before = {}, self.late
         return [self.word(w) for w in words]
 
