@@ -82,22 +82,6 @@ def plain_words(texts: pa.Array) -> pa.ListArray:
     return pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
 
 
-def most_frequent(counted: DataFrame, n: str, most: int) -> DataFrame:
-    """The rows of greatest count, at most `most` of them; `counted` should be stored.
-
-    Counts fall into levels a sixteenth of a power of two wide. As many levels are taken
-    from the top as fit as a whole, so no task sends its own candidates to the driver.
-    """
-    level = F.floor(16 * F.log2(n))
-    taken, lowest = 0, None
-    for row in sorted(counted.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
-        taken += row["count"]
-        if taken > most:
-            break
-        lowest = row.level
-    return counted.where(level >= lowest) if lowest is not None else counted.limit(0)
-
-
 def isotonic(scores: list[float], hits: list[float], counts: list[float]) -> list[tuple[float, float]]:
     """Points (score, share of hits) of the rising step function nearest to the data.
 

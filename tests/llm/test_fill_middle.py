@@ -5,7 +5,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from fieldgauge.llm import fill_middle as fm
 from fieldgauge.llm import queries
