@@ -29,19 +29,19 @@ PARTS = 4
 FILE_BYTES = 256 * 1024**2
 
 
-def part_of(events: DataFrame) -> Column:
-    """The number of the part that an event is dealt to: equal ranges of event numbers."""
-    last = events.agg(F.max("event_id")).first()[0] or 0
-    return F.floor(F.col("event_id") * PARTS / F.lit(last + 1))
-
-
 def parts(spark: SparkSession, d: str, make: Callable[[DataFrame, Column], DataFrame] | None = None) -> Iterator[DataFrame]:
-    """The parts in order. `make` turns the events and their part into other rows with a
-    column `part`."""
+    """The events dealt into PARTS equal ranges of their numbers, in order. `make` turns the
+    events and the number of their part into other rows with a column `part`."""
     events = table(spark, d, "events")
-    rows = (make or (lambda events, part: events.withColumn("part", part)))(events, part_of(events))
-    for number in range(PARTS):
-        yield rows.where(F.col("part") == number).drop("part")
+    count = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    bounds = [-(-number * count // PARTS) for number in range(PARTS + 1)]
+    rows = make(events, F.floor(F.col("event_id") * PARTS / F.lit(count))) if make else None
+    for number, (first, stop) in enumerate(zip(bounds, bounds[1:])):
+        if rows is None:
+            # A range of numbers reaches the scan.
+            yield events.where((F.col("event_id") >= first) & (F.col("event_id") < stop))
+        else:
+            yield rows.where(F.col("part") == number).drop("part")
 
 
 def land(part: DataFrame, path: str) -> int:
