@@ -7,8 +7,8 @@ the lowest and the highest score that is possible. Exact vectors are then read i
 order of the highest possible score, until the k-th result so far is above all bounds that
 are left. The k best of each block are merged per query.
 
-Queries go through in blocks of a bounded number, each against all blocks of vectors; the
-vectors are never shuffled.
+Queries go through in parts of a bounded number, one after the other, each against all
+blocks of vectors; the vectors are never shuffled. Of the queries the driver holds one part.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import scratch
 from .common import bound_batches, stored
 
 SCALE = 256
@@ -30,6 +31,7 @@ READ = 64
 # Sums of products below this are exact in a double.
 EXACT = 2.0**52
 
+RESULT = ("query_id", "rank", "vec_id", "score")
 BLOCKS = (
     "dim int, rows int, ids binary, low binary, width binary, cells binary, exact binary"
 )
@@ -178,9 +180,9 @@ def top_k(
     known = queries.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector")).where(
         "vec_id is not null"
     )
-    count = known.count()
-    parts = max(1, -(-count // query_rows))
-    found = None
+    spark, path = blocks.sparkSession, scratch(blocks.sparkSession, "nearest")
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    parts = max(1, -(-known.count() // query_rows))
     for n in range(parts):
         part = known.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == n).dropDuplicates(["vec_id"]).toArrow()
         part = part.combine_chunks()
@@ -188,9 +190,8 @@ def top_k(
             dim: (ids, numbers)
             for dim, ids, numbers in whole_vectors(part.column(0), part.column(1).combine_chunks(), scale)
         }
-        one = blocks.mapInArrow(search(own, k), "query_id long, vec_id long, score long")
-        found = one if found is None else found.unionByName(one)
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+        found = blocks.mapInArrow(search(own, k), "query_id long, vec_id long, score long")
+        best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        # Written before the next part is fetched, so the driver and the plans hold one.
+        best.select(*RESULT).write.mode("append").parquet(path)
+    return spark.read.schema("query_id long, rank int, vec_id long, score long").parquet(path)
