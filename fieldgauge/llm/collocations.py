@@ -9,8 +9,7 @@ alone: at the tokens that a chunk took along no phrase starts. Documents that co
 other share their chunks, so the dictionary of distinct chunks with their frequencies is
 what gets counted.
 
-Phrases of two words and more are first counted by hash into a table of fixed size, from
-which one bit per bucket is kept: whether it reaches the least frequency. A phrase that is
+Phrases are first counted by hash into a table of fixed size, from which one bit per bucket is kept: whether it reaches the least frequency. A phrase that is
 frequent enough, and each phrase inside it, always falls into such buckets; the others
 are left out before anything is shuffled. The table decides about the cost and never about
 the result: what passes is counted exactly, by its words. With many more words than
@@ -300,8 +299,8 @@ def phrase_counts(chunks: DataFrame, least: int = LEAST, bits: int | None = None
     if bits is None:
         words = chunks.agg(F.sum("words")).first()[0] or 0
         bits = min(max(int(words).bit_length(), LEAST_BITS), MOST_BITS)
-    pairs = frequent_buckets(chunks, [2], {}, least, bits)
-    floors = pairs | frequent_buckets(chunks, list(range(3, LONGEST + 1)), pairs, least, bits)
+    short = frequent_buckets(chunks, [1, 2], {}, least, bits)
+    floors = short | frequent_buckets(chunks, list(range(3, LONGEST + 1)), short, least, bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches):
