@@ -24,9 +24,10 @@ from ..streaming.ingest import DRAIN, POLL, message_log, start_alerts, start_ing
 from ..streaming.state import batches_done, latest_changes, latest_view
 from .tables import as_messages, messages, over_partitions, table
 
-# Batches of a query, and bytes of a landed file.
+# Batches of a query, and bytes of a landed file. A file of one row group is read by one task,
+# and a megabyte of events is about a second of making and parsing messages.
 PARTS = 4
-FILE_BYTES = 256 * 1024**2
+FILE_BYTES = 2 * 1024**2
 
 
 def parts(spark: SparkSession, d: str, make: Callable[[DataFrame, Column], DataFrame] | None = None) -> Iterator[DataFrame]:
@@ -46,7 +47,12 @@ def parts(spark: SparkSession, d: str, make: Callable[[DataFrame, Column], DataF
 
 def land(part: DataFrame, path: str) -> int:
     """Add the files of one part to a folder; returns how many there are."""
-    files = max(1, -(-estimated_bytes(part) // FILE_BYTES))
+    # The estimate is that of all events, since it does not follow the filter of a part.
+    files = max(1, -(-estimated_bytes(part) // (PARTS * FILE_BYTES)))
+    cores = part.sparkSession.sparkContext.defaultParallelism
+    if 1 < files and cores < 2 * files:
+        # So that no core waits for the last few; at most twice as many.
+        files = -(-files // cores) * cores
     part.repartition(files).write.mode("append").parquet(path)
     return files
 

@@ -48,6 +48,45 @@ def test_parts_are_all_events_in_order(spark):
     assert sum(found, []) == sorted(r.event_id for r in spark.read.parquet(f"{SF_DIR}/events.parquet").collect())
 
 
+def many_events(spark, folder, rows=300_000):
+    """Events of more than 40 MB, in one file."""
+    number = F.col("id")
+    words = [F.sha2(F.concat(number.cast("string"), F.lit(salt)), 512) for salt in ("a", "b")]
+    spark.range(rows).select(
+        number.alias("event_id"),
+        F.timestamp_seconds(1704067200 + number).cast("timestamp_ntz").alias("ts"),
+        (number % 500).alias("user_id"),
+        F.when(number % 3 == 0, "view").otherwise("error").alias("event_type"),
+        (number % 1000 / 7).alias("value"),
+        F.concat(F.lit('{"k": '), number % 90, F.lit(', "id": "'), *words, F.lit('"}')).alias("props"),
+    ).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_a_batch_of_many_events_is_cut_for_all_cores(spark, tmp_path, monkeypatch):
+    d, folders = many_events(spark, tmp_path), []
+    keep = streams.scratch
+    monkeypatch.setattr(streams, "scratch", lambda spark, name: folders.append(keep(spark, name)) or folders[-1])
+    stream = streams.event_stream(spark, d)
+    landed = spark.read.parquet(folders[0])
+    files = landed.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"), F.min("event_id").alias("first")).collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert len(files) >= streams.PARTS * cores and len(files) % (streams.PARTS * cores) == 0
+    assert max(f.n for f in files) <= 2 * 300_000 / len(files)
+    drain(stream.select("event_id"), tmp_path)
+    assert state.batches_done(spark, f"{tmp_path}/ck") == list(range(streams.PARTS))
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.distinct().count() == 300_000
+
+
+def test_few_events_are_one_file_a_part(spark, monkeypatch):
+    folders = []
+    keep = streams.scratch
+    monkeypatch.setattr(streams, "scratch", lambda spark, name: folders.append(keep(spark, name)) or folders[-1])
+    streams.event_stream(spark, SF_DIR)
+    assert len(spark.read.parquet(folders[0]).inputFiles()) == streams.PARTS
+
+
 # ---- repeats and late rows
 
 ARRIVAL = "id long, at timestamp, n int"
