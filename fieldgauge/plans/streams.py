@@ -7,6 +7,7 @@ one batch, so that every query runs over several batches and its state is carrie
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,15 @@ from ..sources.change_log import ChangeLog
 from ..sources.topics import start_mark, stream_files
 from ..streaming.events import RunAudit, StatusWindows, first_arrivals
 from ..streaming.ingest import DRAIN, POLL, message_log, start_alerts, start_ingest, start_latest
-from ..streaming.state import batches_done, latest_changes, latest_view
+from ..streaming.state import batches_done, latest_changes, latest_view, state_partitions
 from .tables import as_messages, messages, over_partitions, table
 
 # Batches of a query, and bytes of a landed file. A file of one row group is read by one task,
 # and a megabyte of events is about a second of making and parsing messages.
 PARTS = 4
 FILE_BYTES = 2 * 1024**2
+# Bytes of events whose state shares a partition, of which there is at least one per core.
+STATE_BYTES = 16 * 1024**2
 
 
 def parts(spark: SparkSession, d: str, make: Callable[[DataFrame, Column], DataFrame] | None = None) -> Iterator[DataFrame]:
@@ -64,6 +67,12 @@ def event_stream(spark: SparkSession, d: str, **options: object) -> DataFrame:
     return stream_files(spark, path, table(spark, d, "events").schema, maxFilesPerTrigger=files, **options)
 
 
+def bounded_state(spark: SparkSession, d: str) -> AbstractContextManager[None]:
+    """State of queries over the events in as many partitions as their size needs."""
+    size = estimated_bytes(table(spark, d, "events"))
+    return state_partitions(spark, max(spark.sparkContext.defaultParallelism, -(-size // STATE_BYTES)))
+
+
 def _ingest(spark: SparkSession, d: str, deal=lambda messages: messages) -> str:
     root = scratch(spark, "ingest")
     start_ingest(deal(as_messages(event_stream(spark, d))), root, f"{root}/checkpoint", DRAIN).awaitTermination()
@@ -121,7 +130,9 @@ LATEST = T.StructType(
 def stream_latest(spark: SparkSession, d: str) -> DataFrame:
     root = scratch(spark, "latest")
     log = ChangeLog(spark, f"{root}/log", LATEST, "user_id", "event_id")
-    start_latest(event_stream(spark, d), log, f"{root}/checkpoint", DRAIN).awaitTermination()
+    stream = event_stream(spark, d)
+    with bounded_state(spark, d):
+        start_latest(stream, log, f"{root}/checkpoint", DRAIN).awaitTermination()
     return log.rebuild()
 
 
@@ -132,7 +143,8 @@ def _latest_by_parts(spark: SparkSession, d: str) -> str:
     for part in parts(spark, d):
         land(part, landing)
         stream = stream_files(spark, landing, table(spark, d, "events").schema)
-        start_latest(stream, log, f"{root}/checkpoint", DRAIN).awaitTermination()
+        with bounded_state(spark, d):
+            start_latest(stream, log, f"{root}/checkpoint", DRAIN).awaitTermination()
     return f"{root}/checkpoint"
 
 
@@ -183,14 +195,15 @@ def stream_first_arrivals(spark: SparkSession, d: str) -> DataFrame:
     for part in parts(spark, d, with_repeats):
         land(part, landing)
         stream = first_arrivals(stream_files(spark, landing, schema), "event_id", "at", "1 day")
-        (
-            stream.writeStream.format("parquet")
-            .option("path", f"{root}/out")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(**DRAIN)
-            .start()
-            .awaitTermination()
-        )
+        with bounded_state(spark, d):
+            (
+                stream.writeStream.format("parquet")
+                .option("path", f"{root}/out")
+                .option("checkpointLocation", f"{root}/checkpoint")
+                .trigger(**DRAIN)
+                .start()
+                .awaitTermination()
+            )
     found = spark.read.schema(schema).parquet(f"{root}/out")
     return found.select("event_id", "user_id", F.unix_micros("at").alias("at_micros"))
 
@@ -204,9 +217,10 @@ def stream_status_windows(spark: SparkSession, d: str) -> DataFrame:
     stream = event_stream(spark, d).select(
         (F.col("user_id") % 10 + 1).alias("station_id"), F.col("event_type").alias("status"), F.col("ts").cast("timestamp").alias("at")
     )
-    windows.start(stream, "at", DRAIN).awaitTermination()
-    windows.close()
-    windows.start(stream, "at", DRAIN).awaitTermination()
+    with bounded_state(spark, d):
+        windows.start(stream, "at", DRAIN).awaitTermination()
+        windows.close()
+        windows.start(stream, "at", DRAIN).awaitTermination()
     return windows.read().select(
         F.unix_seconds("window.start").alias("begins"), "station_id", "status", "n", F.round("pct", 4).alias("pct")
     )

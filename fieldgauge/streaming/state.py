@@ -8,11 +8,31 @@ hundred, by Spark's default) cannot be asked for any more.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.storage import Folder
 
+SHUFFLES = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, most: int) -> Iterator[None]:
+    """Queries that run inside begin their state with `most` partitions, or fewer if the
+    session has fewer shuffle partitions. A checkpoint keeps the number it began with.
+
+    A partition is a task and a store of its own in every batch, whatever it holds.
+    """
+    before = spark.conf.get(SHUFFLES)
+    spark.conf.set(SHUFFLES, str(min(int(before), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES, before)
+
 
 def batches_done(spark: SparkSession, checkpoint: str) -> list[int]:
     """Numbers of the batches that a query has finished."""

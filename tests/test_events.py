@@ -240,6 +240,34 @@ def test_state_after_each_batch(spark, tmp_path):
     assert names == {"stateStoreSave"}
 
 
+@pytest.mark.parametrize("shuffles, kept", [(64, 8), (3, 3)])
+def test_state_has_a_partition_per_core_at_most(spark, monkeypatch, shuffles, kept):
+    checkpoints, name = [], "spark.sql.shuffle.partitions"
+    begin = streams.start_latest
+    monkeypatch.setattr(streams, "start_latest", lambda *a: checkpoints.append(a[2]) or begin(*a))
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(shuffles))
+    try:
+        rows = streams.state_changes(spark, SF_DIR).collect()
+        assert spark.conf.get(name) == str(shuffles)
+    finally:
+        spark.conf.set(name, before)
+    assert len(set(checkpoints)) == 1
+    found = state.operators(spark, checkpoints[0]).first()
+    assert found.numPartitions == min(kept, spark.sparkContext.defaultParallelism)
+    assert {r.batch_id for r in rows} == set(range(streams.PARTS))
+
+
+def test_state_partitions_come_back_after_an_error(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError):
+        with state.state_partitions(spark, 2):
+            assert spark.conf.get(name) == "2"
+            raise ValueError
+    assert spark.conf.get(name) == before
+
+
 # ---- starting positions
 
 
