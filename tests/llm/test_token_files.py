@@ -1,13 +1,14 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import queries, token_files
 from fieldgauge.llm.common import table
-from fieldgauge.llm.tokens import Encoder
+from fieldgauge.llm.tokens import LETTERS, Encoder, as_letters, distinct_words
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,3 +97,33 @@ def test_spans_over_files(spark, vocab, tmp_path):
     for start in range(0, len(all_ids), 97):
         span = token_files.read_span(spark, path, start, 350)
         assert [i for r in span.orderBy("start").collect() for i in r.ids] == all_ids[start : start + 350]
+
+
+def test_words_seen_before_are_only_looked_up(vocab, monkeypatch):
+    known = Encoder(vocab)
+    texts = pa.array(["Alpha beta, naïve 日本 it's 's alpha", "", "beta alpha日 x<|y ÉÉ éé", "it's beta"], pa.large_string())
+    want = [known.tokenizer.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    asked = []
+    word = Encoder.word
+    monkeypatch.setattr(Encoder, "word", lambda self, w: asked.append(w) or word(self, w))
+    for limit in (known.memory, 0, known.memory):
+        known.memory = limit
+        for first, count in ((0, 4), (1, 1), (0, 1)):
+            asked.clear()
+            ids, bounds = known.encode(texts.slice(first, count))
+            got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+            assert got == want[first : first + count]
+    # Of the last texts, all but the word of two pieces is known as it is.
+    assert asked == ["it's"]
+
+
+def test_distinct_words_are_plain_strings():
+    words, places, bounds = distinct_words(pa.array(["b A b", "", "ñ, 日"], pa.large_string()))
+    assert [type(w) for w in words] == [str] * len(words)
+    assert [[words[p] for p in places[a:b]] for a, b in zip(bounds, bounds[1:])] == [["b", "a", "b"], [""], ["ñ,", "日"]]
+    assert distinct_words(pa.array([], pa.large_string()))[0] == []
+
+
+def test_letters_of_bytes():
+    for piece in ("abc", "é", "ß²", "日本", "\x80\xff"):
+        assert as_letters(piece) == "".join(LETTERS[b] for b in piece.encode())
